@@ -102,3 +102,18 @@ def union_counts(parts: dict[str, DataFrame]) -> DataFrame:
         tagged = t if tagged is None else tagged.unionByName(t)
     counted = tagged.rollup("part").agg(F.count(F.lit(1)).alias("rows"))
     return counted.select(F.coalesce("part", F.lit("all")).alias("part"), "rows")
+
+
+def merge_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
+    """Put several one-row results (with distinct columns) side by side.
+
+    The rows are stacked with null padding and folded by one aggregate, so
+    no join between the single-row plans is needed.
+    """
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    cols = []
+    for f in frames:
+        cols.extend(f.columns)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

@@ -128,13 +128,22 @@ def cyclic_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dag_edges(spark, sf_dir).unionByName(back).distinct()
 
 
-def keyed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed-table input: n-gram rows in a fully specified order, no key yet."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
+LINEITEM_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                  "l_shipdate")
+
+
+def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed n-gram table: string row keys 0..n-1 over a sort on every
+    lineitem column, then ``bigram, year, match_count, volume_count``."""
+    from rill.operators.keyed import with_row_keys
+
+    li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
+    keyed = with_row_keys(li, list(LINEITEM_ORDER))
+    return keyed.select(
+        "row_key",
         F.col("l_partkey").cast("string").alias("bigram"),
         F.year("l_shipdate").cast("int").alias("year"),
-        F.col("l_quantity").cast("int").alias("match_count"),
+        F.floor(F.col("l_extendedprice") / 100).cast("int").alias("match_count"),
         F.col("l_linenumber").alias("volume_count"),
-        "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount",
     )
