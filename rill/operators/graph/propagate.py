@@ -4,7 +4,9 @@ Each superstep joins the *active* vertices (those whose value changed in
 the previous step) to their out-edges, merges the messages per
 destination with one aggregate, and updates only vertices that received
 something.  It stops when no value changes or after ``max_iter`` steps.
-State is checkpointed to the shared checkpoint folder every few steps.
+Each step reads the previous state once, so the plan grows linearly;
+``steps_per_job`` steps run as one Spark job, after which the state is
+written to the shared checkpoint folder and the stop test runs.
 """
 
 from __future__ import annotations
@@ -17,6 +19,11 @@ from pyspark.sql import functions as F
 
 from rill.session import cut_lineage
 
+def msg_type(trip: DataFrame, message) -> str:
+    """Spark type of the message expression (for typed null placeholders)."""
+    return trip.select(message(F.col("value"), trip).alias("m")).schema["m"].dataType.simpleString()
+
+
 MERGES: dict[str, Callable[[Column], Column]] = {
     "max": F.max, "min": F.min, "sum": F.sum,
 }
@@ -27,7 +34,7 @@ def propagate(edges: DataFrame, state: DataFrame,
               merge: str | Callable[[Column], Column],
               update: Callable[[Column, Column], Column],
               max_iter: int = 100, only_changed: bool = True,
-              checkpoint_every: int = 8, raise_on_overrun: bool = False) -> DataFrame:
+              steps_per_job: int = 8, raise_on_overrun: bool = False) -> DataFrame:
     """Run a vertex program over ``edges (src, dst, ...)``.
 
     ``state`` holds ``id, value``.  ``message(src_value, edge_row)`` gives the
@@ -39,34 +46,38 @@ def propagate(edges: DataFrame, state: DataFrame,
     neighbour aggregation).  Returns the final ``id, value``.
     """
     merge_fn = MERGES[merge] if isinstance(merge, str) else merge
-    e = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    state = state.select("id", "value")
-    active = state
-    prev = None
-    for step in range(max_iter):
-        senders = active if only_changed else state
-        trip = e.join(senders.withColumnRenamed("id", "src").withColumnRenamed("value", "src_value"),
-                      "src")
-        msgs = (trip.select(F.col("dst").alias("id"),
-                            message(F.col("src_value"), trip).alias("msg"))
-                .groupBy("id").agg(merge_fn("msg").alias("msg")))
-        joined = state.join(msgs, "id", "left")
-        new_value = F.when(F.col("msg").isNull(), F.col("value")).otherwise(
-            update(F.col("value"), F.col("msg")))
-        nxt = joined.select("id", new_value.alias("value"), F.col("value").alias("old"))
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        changed = nxt.where(~F.col("value").eqNullSafe(F.col("old")))
-        n_changed = changed.count()
-        if prev is not None:
-            prev.unpersist()
-        prev = nxt
-        state = nxt.select("id", "value")
-        active = changed.select("id", "value")
-        if checkpoint_every and (step + 1) % checkpoint_every == 0:
-            state = cut_lineage(state)
-            active = state.join(active.select("id"), "id", "left_semi") if only_changed else state
-        if n_changed == 0:
-            return state
+    # the edge side never changes: partition it on ``src`` once and keep it
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = edges.repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
+    vtype = state.schema["value"].dataType
+    state = cut_lineage(state.select("id", "value", F.lit(True).alias("changed")))
+    step = 0
+    while step < max_iter:
+        # ``steps_per_job`` supersteps are chained into one plan; each reads
+        # the previous state once (its own value plus the messages it sends
+        # come out of one join with the out-edges), so the plan is linear
+        for _ in range(min(steps_per_job, max_iter - step)):
+            trip = state.join(e, state.id == e.src, "left")
+            sends = F.col("dst").isNotNull()
+            if only_changed:
+                sends = sends & F.col("changed")
+            msg = F.when(sends, message(F.col("value"), trip))
+            rows = trip.select(F.explode(F.array(
+                F.struct(F.col("id").alias("id"), F.col("value").alias("self"),
+                         F.lit(None).cast(msg_type(trip, message)).alias("msg")),
+                F.struct(F.col("dst").alias("id"), F.lit(None).cast(vtype).alias("self"),
+                         msg.alias("msg")))).alias("r")).select("r.*").where(F.col("id").isNotNull())
+            agg = rows.groupBy("id").agg(F.max("self").alias("old"), merge_fn("msg").alias("msg"))
+            new_value = F.when(F.col("msg").isNull(), F.col("old")).otherwise(
+                update(F.col("old"), F.col("msg")))
+            state = (agg.select("id", new_value.alias("value"), F.col("old"))
+                     .select("id", "value",
+                             (~F.col("value").eqNullSafe(F.col("old"))).alias("changed")))
+            step += 1
+        state = cut_lineage(state)
+        # a step without any change is a fixpoint: later steps change nothing
+        if state.where("changed").limit(1).count() == 0:
+            return state.select("id", "value")
     if raise_on_overrun:
         raise RuntimeError(f"vertex program did not converge in {max_iter} steps")
-    return state
+    return state.select("id", "value")

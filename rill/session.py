@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,11 +78,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder and return a
-    DataFrame whose plan starts from those files.
+    """Materialise ``df`` as parquet in the shared checkpoint folder and
+    return a DataFrame that starts from those files.
 
-    Reliable checkpoints (not ``localCheckpoint``) are used so that the loss
-    of an executor never forces a replay of every earlier loop round.
+    One job writes the rows (``Dataset.checkpoint`` would compute the plan
+    twice unless cached); the files live in the fault-tolerant shared folder,
+    so losing an executor never forces a replay of earlier loop rounds.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{folder}/rill-cut-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
