@@ -73,15 +73,29 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def activity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def activity_edges(spark: SparkSession, sf_dir: str,
+                   window: tuple[int, int] | None = None) -> DataFrame:
     """Activity graph edges ``(src, dst, timestamp)``: user -> target ``k`` of
-    the JSON props (shifted), time in seconds since the activity epoch."""
+    the JSON props (shifted), time in seconds since the activity epoch.
+
+    ``window = (lo, hi)`` keeps ``lo < timestamp <= hi``; the bounds are also
+    stated on the raw ``ts`` column (exactly equivalent for whole seconds),
+    so the parquet scan skips row groups outside the window.
+    """
     ev = table(spark, sf_dir, "events")
+    if window is not None:
+        lo, hi = window
+        epoch = F.expr(f"TIMESTAMP_NTZ'{ACTIVITY_EPOCH}'")
+        ev = ev.where((F.col("ts") > epoch + F.expr(f"INTERVAL {int(lo)} SECONDS"))
+                      & (F.col("ts") <= epoch + F.expr(f"INTERVAL {int(hi)} SECONDS")))
     k = F.get_json_object("props", "$.k").cast("long")
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{ACTIVITY_EPOCH}', ts)")
-    return ev.select(F.col("user_id").alias("src"),
-                     (k + ACTIVITY_TARGET_SHIFT).alias("dst"),
-                     (micros / F.lit(1e6)).alias("timestamp"))
+    edges = ev.select(F.col("user_id").alias("src"),
+                      (k + ACTIVITY_TARGET_SHIFT).alias("dst"),
+                      (micros / F.lit(1e6)).alias("timestamp"))
+    if window is not None:
+        edges = edges.where((F.col("timestamp") > window[0]) & (F.col("timestamp") <= window[1]))
+    return edges
 
 
 def activity_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,13 +151,15 @@ def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed n-gram table: string row keys 0..n-1 over a sort on every
     lineitem column, then ``bigram, year, match_count, volume_count``."""
     from rill.operators.keyed import with_row_keys
+    from rill.session import cut_lineage
 
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
     keyed = with_row_keys(li, list(LINEITEM_ORDER))
-    return keyed.select(
+    # stored as its own table, so key and cell filters push into its scan
+    return cut_lineage(keyed.select(
         "row_key",
         F.col("l_partkey").cast("string").alias("bigram"),
         F.year("l_shipdate").cast("int").alias("year"),
         F.floor(F.col("l_extendedprice") / 100).cast("int").alias("match_count"),
         F.col("l_linenumber").alias("volume_count"),
-    )
+    ))

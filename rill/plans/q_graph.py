@@ -46,11 +46,6 @@ _AE = f"""ae AS (SELECT user_id AS src,
 _SL = f"sl AS (SELECT * FROM ae WHERE timestamp > {MOTIF_WINDOW[0]} AND timestamp <= {MOTIF_WINDOW[1]})"
 
 
-def _window(edges, lo_hi):
-    lo, hi = lo_hi
-    return edges.where((F.col("timestamp") > lo) & (F.col("timestamp") <= hi))
-
-
 # ---- counts, degrees, subgraph ----
 
 @query("graph_counts", sql=f"""
@@ -93,7 +88,7 @@ SELECT (SELECT COUNT(*) FROM (SELECT src FROM s UNION SELECT dst FROM s)) AS ver
 def time_subgraph(spark, sf_dir):
     """Keep edges in a half-open time range, then drop vertices
     left without edges."""
-    e = _window(ds.activity_edges(spark, sf_dir), SUBGRAPH_WINDOW)
+    e = ds.activity_edges(spark, sf_dir, SUBGRAPH_WINDOW)
     v = drop_isolated(ds.activity_vertices(spark, sf_dir), e)
     return merge_single_rows([v.agg(F.count(F.lit(1)).alias("vertices")),
                               e.agg(F.count(F.lit(1)).alias("edges"))])
@@ -112,7 +107,7 @@ WHERE e1.src <> e2.src AND e1.timestamp < e2.timestamp
 """)
 def motif_1(spark, sf_dir):
     """(v1)-[e1]->(v3); (v2)-[e2]->(v3), v1 != v2, e1 before e2."""
-    e = _window(ds.activity_edges(spark, sf_dir), MOTIF_WINDOW)
+    e = ds.activity_edges(spark, sf_dir, MOTIF_WINDOW)
     m = find_motif(e, [("v1", "e1", "v3"), ("v2", "e2", "v3")],
                    [({"v1", "v2"}, F.col("v1") != F.col("v2")),
                     ({"e1", "e2"}, _ts("e1") < _ts("e2"))])
@@ -126,7 +121,7 @@ SELECT COUNT(*) AS cnt FROM sl e1 JOIN sl e2 ON e1.dst = e2.src
 def motif_2(spark, sf_dir):
     """Two-hop paths (v1)-[e1]->(v2); (v2)-[e2]->(v3) on the activity
     slice (users are never targets, so there are none)."""
-    e = _window(ds.activity_edges(spark, sf_dir), MOTIF_WINDOW)
+    e = ds.activity_edges(spark, sf_dir, MOTIF_WINDOW)
     m = find_motif(e, [("v1", "e1", "v2"), ("v2", "e2", "v3")])
     return m.agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -153,7 +148,7 @@ def motif_3(spark, sf_dir):
     """(v1)-[e1]->(v2); (v4)-[e4]->(v2); (v1)-[e3]->(v3); (v4)-[e2]->(v3)
     with v1 != v4, v2 != v3 and e1 < e2 < e3 < e4 in time.  The implied
     orders (e1 < e4, e1 < e3, e3 < e4) prune each join as soon as it binds."""
-    e = _window(ds.activity_edges(spark, sf_dir), MOTIF_WINDOW)
+    e = ds.activity_edges(spark, sf_dir, MOTIF_WINDOW)
     m = find_motif(e, [("v1", "e1", "v2"), ("v4", "e4", "v2"), ("v1", "e3", "v3"),
                        ("v4", "e2", "v3")],
                    [({"v1", "v4"}, F.col("v1") != F.col("v4")),
@@ -178,7 +173,7 @@ WHERE e1.src <> e4.src AND e1.dst <> e3.dst AND e3.dst <> e2.dst AND e1.dst <> e
 def motif_4(spark, sf_dir):
     """(v2)-[e1]->(v1); (v2)-[e3]->(v3); (v4)-[e4]->(v3); (v4)-[e2]->(v5)
     with v2 != v4, v1 != v3, v3 != v5, v1 != v5 and e1 < e2 < e3 < e4."""
-    e = _window(ds.activity_edges(spark, sf_dir), MOTIF_WINDOW)
+    e = ds.activity_edges(spark, sf_dir, MOTIF_WINDOW)
     m = find_motif(e, [("v2", "e1", "v1"), ("v2", "e3", "v3"), ("v4", "e4", "v3"),
                        ("v4", "e2", "v5")],
                    [({"v1", "v3"}, F.col("v1") != F.col("v3")),

@@ -9,6 +9,7 @@ from rill.operators.relational import pivot_ranks
 from rill.operators.similarity import co_occurrence, top_k_similar, top_pairs
 from rill.plans import datasets as ds
 from rill.plans.registry import query
+from rill.session import cut_lineage
 
 # Oracle building blocks (DuckDB): baskets, per-user counts, shared counts.
 _B = """b AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i
@@ -23,8 +24,15 @@ _R = """r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY u1 ORDER BY sim DESC, u2
               FROM s)"""
 
 
-def _ranked_lists(spark, sf_dir, k):
-    top = top_k_similar(ds.baskets(spark, sf_dir), k=k)
+def _baskets(spark, sf_dir):
+    """The basket table, written once: every similarity query reads it two
+    to four times (block plan, users, pairs), and recomputing the
+    orders-lineitem join each time would dominate at scale."""
+    return cut_lineage(ds.baskets(spark, sf_dir))
+
+
+def _ranked_lists(b, k):
+    top = top_k_similar(b, k=k)
     ordered = F.array_sort(F.collect_list(F.struct("sim_rank", "u2")))
     return top.groupBy("u1").agg(
         F.concat_ws(",", F.transform(ordered, lambda x: x["u2"].cast("string"))).alias("sim_users"),
@@ -37,7 +45,7 @@ SELECT u1, u2, shared AS common_cnt FROM p ORDER BY shared DESC, u1, u2 LIMIT 10
 """)
 def top_pairs_shared_items(spark, sf_dir):
     """The ten ordered user pairs sharing the most items."""
-    return top_pairs(ds.baskets(spark, sf_dir), k=10)
+    return top_pairs(_baskets(spark, sf_dir), k=10)
 
 
 @query("top3_similar_users", sql=f"""
@@ -49,8 +57,9 @@ GROUP BY d.u
 def top3_similar_users(spark, sf_dir):
     """Every user's three most similar users by
     Jaccard (ties: smaller id); users sharing nothing get a null list."""
-    users = ds.baskets(spark, sf_dir).select("user_id").distinct()
-    lists = _ranked_lists(spark, sf_dir, 3)
+    b = _baskets(spark, sf_dir)
+    users = b.select("user_id").distinct()
+    lists = _ranked_lists(b, 3)
     return (users.join(lists, users.user_id == lists.u1, "left")
             .select("user_id", "sim_users"))
 
@@ -65,8 +74,9 @@ FROM res RIGHT JOIN (SELECT DISTINCT u FROM b) t5 ON t5.u = res.u1
 """)
 def top3_similar_users_right_join(spark, sf_dir):
     """The same lists (with their rank lists) right-joined to all users."""
-    users = ds.baskets(spark, sf_dir).select(F.col("user_id").alias("uid")).distinct()
-    lists = _ranked_lists(spark, sf_dir, 3)
+    b = _baskets(spark, sf_dir)
+    users = b.select(F.col("user_id").alias("uid")).distinct()
+    lists = _ranked_lists(b, 3)
     return (lists.join(users, users.uid == lists.u1, "right")
             .select(F.col("uid").alias("user_id"), F.col("sim_users").alias("sim_users_list"),
                     F.col("sim_ranks").alias("sim_rank_list")))
@@ -79,7 +89,7 @@ FROM r WHERE rk <= 15
 """)
 def top15_similarity_audit(spark, sf_dir):
     """Each user's top 15 with every part of the score kept."""
-    top = top_k_similar(ds.baskets(spark, sf_dir), k=15)
+    top = top_k_similar(_baskets(spark, sf_dir), k=15)
     return top.select(F.col("u1").alias("uid1"), F.col("u2").alias("uid2"),
                       F.col("shared").alias("cmn_cnt"), "all_cnt", "sim", "sim_rank")
 
@@ -96,7 +106,7 @@ def overlap_ratio_rank(spark, sf_dir):
     """``shared / (n1 * n2)`` per pair, ``RANK() <= 3`` (ties
     kept).  Computed over pairs that share an item; a pair sharing nothing
     has ratio 0 and is never listed (no users x users product is built)."""
-    top = top_k_similar(ds.baskets(spark, sf_dir), k=3, score="overlap", rank_fn="rank")
+    top = top_k_similar(_baskets(spark, sf_dir), k=3, score="overlap", rank_fn="rank")
     return top.select(F.col("u1").alias("uid1"), F.col("u2").alias("uid2"),
                       F.col("shared").alias("cmn_cnt"),
                       (F.col("n1") * F.col("n2")).alias("all_cnt"),
@@ -113,7 +123,7 @@ JOIN (SELECT u1, u2 FROM r WHERE rk = 3) c3 ON c1.u1 = c3.u1
 def top3_users_wide(spark, sf_dir):
     """Ranks 1-3 as one wide row per user; users with fewer than three
     similar users are dropped, as the three-way inner join does."""
-    top = top_k_similar(ds.baskets(spark, sf_dir), k=3)
+    top = top_k_similar(_baskets(spark, sf_dir), k=3)
     wide = pivot_ranks(top, "u1", "sim_rank", "u2", [1, 2, 3], prefix="sim_uid")
     return wide.withColumnRenamed("u1", "uid")
 
@@ -134,7 +144,7 @@ def left_join_flags(spark, sf_dir):
     one join with the per-item degree gives the same numbers without
     emitting deg(item)^2 rows.
     """
-    b = ds.baskets(spark, sf_dir)
+    b = _baskets(spark, sf_dir)
     deg = b.groupBy("item_id").agg(F.count(F.lit(1)).alias("deg"))
     return (b.join(deg, "item_id")
             .groupBy("user_id")
@@ -156,7 +166,7 @@ def nested_filter_count(spark, sf_dir):
     Pairs sharing nothing are counted as ``U(U-1) - (pairs sharing
     something)`` from two aggregates, so no users x users product is built.
     """
-    b = ds.baskets(spark, sf_dir)
+    b = _baskets(spark, sf_dir)
     pairs = co_occurrence(b)
     hist = pairs.groupBy(F.col("shared").alias("common_cnt")).agg(F.count(F.lit(1)).alias("pairs"))
     n_users = b.agg(F.count_distinct("user_id").alias("v")).select(F.lit("u").alias("kind"), "v")

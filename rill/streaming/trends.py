@@ -107,3 +107,19 @@ def run_available(stream: DataFrame, sink: str, output_mode: str = "complete",
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def run_to_memory(stream: DataFrame, name: str, output_mode: str = "complete") -> None:
+    """K7: land a stream in an in-memory table ``name`` readable by SQL.
+    The memory sink keeps everything on the driver: for tests only."""
+    q = (stream.writeStream.outputMode(output_mode).format("memory").queryName(name)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def run_to_console(stream: DataFrame, output_mode: str = "complete", rows: int = 20) -> None:
+    """K9: print each micro-batch (bounded to ``rows`` rows per batch)."""
+    q = (stream.writeStream.outputMode(output_mode).format("console")
+         .option("numRows", rows).option("truncate", False)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()

@@ -68,3 +68,14 @@ def test_kafka_reader_options(spark):
                                 "timestamp string, value binary, partition int, offset long")
     row = kafka_lines(raw).first()
     assert row.value == "#a x,2021" and row.offset == 5
+
+
+def test_memory_sink_read_by_sql(spark):
+    tw = ds.tweets(spark, SF_SMALL)
+    folder = scratch_path(spark, "mem")
+    write_in_time_order(tw, "timestamp", folder)
+    from rill.streaming.trends import run_to_memory
+
+    counts = sliding_counts(hashtags(_stream(spark, folder, tw.schema)))
+    run_to_memory(counts, "hashtag_cnts")
+    assert spark.sql("SELECT COUNT(*) AS n FROM hashtag_cnts").first().n == _batch_answer(spark).count()
