@@ -130,12 +130,15 @@ def _local_top(pairs: pd.DataFrame, mode: str, score: str, k: int, rank_fn: str)
 
 
 def plan_blocks(n_rows: int, max_user_rows: int, parallelism: int,
-                rows_per_block: int = 2_000_000) -> tuple[int, int]:
+                rows_per_block: int = 8_000_000) -> tuple[int, int]:
     """Choose (user blocks, item slices) from the table's size.
 
-    Blocks keep one user block near ``rows_per_block`` rows and give at least
-    two block pairs per core; item slices split a user whose own rows exceed
-    a quarter block (a heavy user would otherwise fill one block alone).
+    Every row is routed to ``blocks`` tasks, so the shuffle volume is
+    ``blocks x rows``: blocks are therefore as large as one task's memory
+    allows (``rows_per_block`` rows, so a block pair task holds at most
+    twice that), and only as many as give two block pairs per core.  Item
+    slices split a user whose own rows exceed a quarter block (a heavy user
+    would otherwise fill one block alone).
     """
     blocks = max(1, math.ceil(n_rows / rows_per_block))
     while blocks * (blocks + 1) // 2 < 2 * parallelism:

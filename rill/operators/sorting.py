@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from rill.session import cut_lineage
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id << 33 | position
+_MAX_BROADCAST_PARTITIONS = 1_000_000  # offset rows (16 bytes each) small enough to broadcast
 
 
 def _cols(cols) -> list[Column]:
@@ -52,33 +53,44 @@ def global_sort(df: DataFrame, keys, partitions: int | None = None) -> DataFrame
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def _row_hash(cols: Sequence[str]) -> Column:
+    """First 8 hex digits of the row's md5, as a number (order-free sums)."""
+    h = F.md5(F.concat_ws("|", *[F.col(c) for c in cols]))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+
+
 def _partition_summary(key: str):
     def summarize(it):
         import numpy as np
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        keys = []
+        keys, total = [], 0
         for pdf in it:
             keys.append(pdf[key].to_numpy(dtype=object))
+            total += int(pdf["__h"].sum())
         k = np.concatenate(keys) if keys else np.array([], dtype=object)
         ordered = bool(len(k) < 2 or (k[1:] >= k[:-1]).all())
         yield pd.DataFrame({"pid": [pid], "rows": [len(k)], "ordered": [ordered],
                             "min_key": [k[0] if len(k) else None],
-                            "max_key": [k[-1] if len(k) else None]})
+                            "max_key": [k[-1] if len(k) else None], "hsum": [total]})
     return summarize
 
 
-def validate_sorted(df: DataFrame, key: str = "key") -> DataFrame:
+def validate_sorted(df: DataFrame, key: str = "key",
+                    checksum_cols: Sequence[str] | None = None) -> DataFrame:
     """Is ``df`` globally sorted on ``key`` in partition order?
 
-    One summary row per partition (order inside, min, max, count); then the
-    partitions' ranges must not overlap in partition order.  Returns one row
-    ``rows, partitions, partitions_ordered, boundaries_ordered``.
+    One pass over ``df``: each partition reports its order, min, max, count
+    and a row-hash sum; then the partitions' ranges must not overlap in
+    partition order.  Returns one row ``rows, partitions,
+    partitions_ordered, boundaries_ordered, checksum, min_key, max_key``
+    (``checksum`` over ``checksum_cols``, default all columns).
     """
-    summary = df.select(key).mapInPandas(
+    cols = list(checksum_cols or df.columns)
+    summary = df.select(key, _row_hash(cols).alias("__h")).mapInPandas(
         _partition_summary(key),
-        schema="pid int, rows long, ordered boolean, min_key string, max_key string")
+        schema="pid int, rows long, ordered boolean, min_key string, max_key string, hsum long")
     nonempty = summary.where(F.col("rows") > 0)
     w = Window.orderBy("pid")        # one row per partition: tiny
     bounds = nonempty.withColumn("prev_max", F.lag("max_key").over(w))
@@ -87,13 +99,15 @@ def validate_sorted(df: DataFrame, key: str = "key") -> DataFrame:
         F.count(F.lit(1)).alias("partitions"),
         F.bool_and("ordered").alias("partitions_ordered"),
         F.bool_and(F.coalesce(F.col("prev_max") <= F.col("min_key"), F.lit(True)))
-        .alias("boundaries_ordered"))
+        .alias("boundaries_ordered"),
+        F.sum("hsum").alias("checksum"),
+        F.min("min_key").alias("min_key"),
+        F.max("max_key").alias("max_key"))
 
 
 def checksum(df: DataFrame, cols: Sequence[str], name: str = "checksum") -> Column:
     """Order-free checksum: sum of the first 8 hex digits of each row's md5."""
-    h = F.md5(F.concat_ws("|", *[F.col(c) for c in cols]))
-    return F.sum(F.conv(F.substring(h, 1, 8), 16, 10).cast("long")).alias(name)
+    return F.sum(_row_hash(cols)).alias(name)
 
 
 def add_row_index(df: DataFrame, order, name: str = "row_index",
@@ -107,13 +121,19 @@ def add_row_index(df: DataFrame, order, name: str = "row_index",
     """
     order = _cols(order)
     mono = "__mono"
-    ranked = global_sort(df, order, partitions).withColumn(mono, F.monotonically_increasing_id())
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = global_sort(df, order, n_parts).withColumn(mono, F.monotonically_increasing_id())
     ranked = cut_lineage(ranked)
     pid = F.shiftright(F.col(mono), _POS_BITS)
     counts = ranked.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     local = F.col(mono).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    return (ranked.join(F.broadcast(offsets.select("__pid", "__off")), pid == F.col("__pid"))
+    off = offsets.select("__pid", "__off")
+    # one offset row per partition: broadcast while the partition count is
+    # within bounds (a plain join beyond)
+    if n_parts <= _MAX_BROADCAST_PARTITIONS:
+        off = F.broadcast(off)
+    return (ranked.join(off, pid == F.col("__pid"))
             .withColumn(name, F.col("__off") + local)
             .drop(mono, "__pid", "__off"))
