@@ -51,6 +51,9 @@ def propagate(edges: DataFrame, state: DataFrame,
     e = edges.repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
     vtype = state.schema["value"].dataType
     state = cut_lineage(state.select("id", "value", F.lit(True).alias("changed")))
+    # the message type is fixed: find it once (every DataFrame call analyses
+    # the whole fused plan, so per-step schema lookups would cost O(steps^2))
+    mtype = msg_type(state.join(e, state.id == e.src, "left"), message)
     step = 0
     while step < max_iter:
         # ``steps_per_job`` supersteps are chained into one plan; each reads
@@ -64,15 +67,16 @@ def propagate(edges: DataFrame, state: DataFrame,
             msg = F.when(sends, message(F.col("value"), trip))
             rows = trip.select(F.explode(F.array(
                 F.struct(F.col("id").alias("id"), F.col("value").alias("self"),
-                         F.lit(None).cast(msg_type(trip, message)).alias("msg")),
+                         F.lit(None).cast(mtype).alias("msg")),
                 F.struct(F.col("dst").alias("id"), F.lit(None).cast(vtype).alias("self"),
-                         msg.alias("msg")))).alias("r")).select("r.*").where(F.col("id").isNotNull())
-            agg = rows.groupBy("id").agg(F.max("self").alias("old"), merge_fn("msg").alias("msg"))
+                         msg.alias("msg")))).alias("r"))
+            agg = (rows.groupBy(F.col("r.id").alias("id"))
+                   .agg(F.max("r.self").alias("old"), merge_fn(F.col("r.msg")).alias("msg")))
             new_value = F.when(F.col("msg").isNull(), F.col("old")).otherwise(
                 update(F.col("old"), F.col("msg")))
-            state = (agg.select("id", new_value.alias("value"), F.col("old"))
-                     .select("id", "value",
-                             (~F.col("value").eqNullSafe(F.col("old"))).alias("changed")))
+            state = agg.select("id", new_value.alias("value"),
+                               (~new_value.eqNullSafe(F.col("old"))).alias("changed")) \
+                .where(F.col("id").isNotNull())
             step += 1
         state = cut_lineage(state)
         # a step without any change is a fixpoint: later steps change nothing
