@@ -64,16 +64,25 @@ def _partition_summary(key: str):
         import numpy as np
         from pyspark import TaskContext
 
+        # batch by batch with constant memory: order inside each batch, and
+        # the first key of a batch against the last key of the one before
         pid = TaskContext.get().partitionId()
-        keys, total = [], 0
+        rows, total, ordered = 0, 0, True
+        first = last = None
         for pdf in it:
-            keys.append(pdf[key].to_numpy(dtype=object))
-            total += int(pdf["__h"].sum())
-        k = np.concatenate(keys) if keys else np.array([], dtype=object)
-        ordered = bool(len(k) < 2 or (k[1:] >= k[:-1]).all())
-        yield pd.DataFrame({"pid": [pid], "rows": [len(k)], "ordered": [ordered],
-                            "min_key": [k[0] if len(k) else None],
-                            "max_key": [k[-1] if len(k) else None], "hsum": [total]})
+            if pdf.empty:
+                continue
+            k = pdf[key].to_numpy(dtype=object)
+            ordered = ordered and bool((k[1:] >= k[:-1]).all())
+            if last is not None and k[0] < last:
+                ordered = False
+            if first is None:
+                first = k[0]
+            last = k[-1]
+            rows += len(k)
+            total += int(np.asarray(pdf["__h"], dtype=np.int64).sum())
+        yield pd.DataFrame({"pid": [pid], "rows": [rows], "ordered": [ordered],
+                            "min_key": [first], "max_key": [last], "hsum": [total]})
     return summarize
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from rill.plans import datasets as ds
 from rill.plans.registry import query
-from rill.streaming.trends import (flat_windows, hashtags, run_available, scratch_path,
-                                   sliding_counts, top_per_window, write_in_time_order)
+from rill.streaming.trends import (flat_windows, hashtags, read_sink, run_available,
+                                   scratch_path, sliding_counts, top_per_window,
+                                   write_in_time_order)
 
 FILES_PER_TRIGGER = 4
 TOP_K = 3
@@ -44,7 +45,7 @@ def _sliding(spark, sf_dir, window, slide, mode="complete", fn=None):
     counts = sliding_counts(hashtags(_tweet_stream(spark, sf_dir)), window, slide, "5 minutes")
     sink = scratch_path(spark, "sink")
     run_available(counts, sink, mode, batch_fn=fn or (lambda b, _i: flat_windows(b)))
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink)
 
 
 @query("stream_sliding_counts", sql="WITH " + _windows_sql(300, 120) + " SELECT * FROM c")
@@ -110,4 +111,4 @@ def stream_batch_counts(spark, sf_dir):
                          F.count(F.lit(1)).alias("rows"))
 
     run_available(stream, sink, "append", batch_fn=report)
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink)

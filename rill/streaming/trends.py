@@ -87,17 +87,21 @@ def run_available(stream: DataFrame, sink: str, output_mode: str = "complete",
     each micro-batch in parquet at ``sink``.
 
     In complete mode every batch holds the whole result and overwrites the
-    sink; in append/update mode batches are appended.  ``batch_fn`` maps a
-    micro-batch before it is written (K8/X5: errors propagate and stop the
-    query).
+    sink; in append/update mode each batch overwrites its own ``batch=<id>``
+    folder.  Either way a batch replayed after a failure replaces what it
+    wrote before instead of duplicating it.  ``batch_fn`` maps a micro-batch
+    before it is written (K8/X5: errors propagate and stop the query).
+    Read the result with ``read_sink``.
     """
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
-    mode = "overwrite" if output_mode == "complete" else "append"
 
     def land(batch: DataFrame, batch_id: int) -> None:
         out = batch_fn(batch, batch_id) if batch_fn else batch
-        out.write.mode(mode).parquet(sink)
+        if output_mode == "complete":
+            out.write.mode("overwrite").parquet(sink)
+        else:
+            out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     q = (stream.writeStream.outputMode(output_mode)
          .option("checkpointLocation", ckpt)
@@ -109,6 +113,12 @@ def run_available(stream: DataFrame, sink: str, output_mode: str = "complete",
         raise RuntimeError(str(q.exception()))
 
 
+def read_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """The rows ``run_available`` landed (without the batch folder column)."""
+    df = spark.read.parquet(sink)
+    return df.drop("batch") if "batch" in df.columns else df
+
+
 def run_to_memory(stream: DataFrame, name: str, output_mode: str = "complete") -> None:
     """K7: land a stream in an in-memory table ``name`` readable by SQL.
     The memory sink keeps everything on the driver: for tests only."""

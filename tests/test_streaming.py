@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from rill.plans import datasets as ds
 from rill.sources.files import kafka_lines, kafka_stream
-from rill.streaming.trends import (flat_windows, hashtags, run_available, scratch_path,
-                                   sliding_counts, write_in_time_order)
+from rill.streaming.trends import (flat_windows, hashtags, read_sink, run_available,
+                                   scratch_path, sliding_counts, write_in_time_order)
 from conftest import SF_SMALL
 
 
@@ -25,7 +25,7 @@ def test_stream_complete_equals_batch(spark):
     sink = scratch_path(spark, "s")
     counts = sliding_counts(hashtags(_stream(spark, folder, tw.schema)))
     run_available(counts, sink, "complete", batch_fn=lambda b, _i: flat_windows(b))
-    got = spark.read.parquet(sink)
+    got = read_sink(spark, sink)
     want = _batch_answer(spark)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
@@ -43,7 +43,7 @@ def test_late_rows_append_drops_complete_keeps(spark):
         sink = scratch_path(spark, mode)
         counts = sliding_counts(hashtags(_stream(spark, folder, tw.schema, files=1)))
         run_available(counts, sink, mode, batch_fn=lambda b, _i: flat_windows(b))
-        results[mode] = spark.read.parquet(sink).count()
+        results[mode] = read_sink(spark, sink).count()
     assert results["complete"] == _batch_answer(spark).count()
     assert results["append"] < results["complete"]
 
