@@ -6,9 +6,11 @@ item through the shuffle; one popular item then produces most of the
 job's data in a single reduce task.  Here the product ``A·Aᵀ`` is blocked
 instead:
 
-* users are hashed into ``B`` blocks; every (user, item) row is sent to the
-  ``B`` block pairs ``(min(b, x), max(b, x))`` it takes part in, so each task
-  sees two bounded slices of the table, whatever the item popularity;
+* users are hashed into ``B`` blocks; a (user, item) row of block ``b`` is
+  sent to the block pairs ``(min(b, x), max(b, x))`` for every block ``x``
+  that holds the same item (found from the distinct (item, block) set), so
+  a rare item is sent almost nowhere and a popular one to at most ``B``
+  pairs; each task sees two bounded slices of the table;
 * a user with very many items is handled by also slicing the item axis
   (``item_slices``); the partial counts are then summed by a shuffle;
 * inside a task, shared counts are accumulated with numpy (sorted item
@@ -133,8 +135,8 @@ def plan_blocks(n_rows: int, max_user_rows: int, parallelism: int,
                 rows_per_block: int = 8_000_000) -> tuple[int, int]:
     """Choose (user blocks, item slices) from the table's size.
 
-    Every row is routed to ``blocks`` tasks, so the shuffle volume is
-    ``blocks x rows``: blocks are therefore as large as one task's memory
+    A row is routed to at most ``blocks`` tasks (fewer for rare items), so
+    the shuffle volume is at most ``blocks x rows``: blocks are as large as one task's memory
     allows (``rows_per_block`` rows, so a block pair task holds at most
     twice that), and only as many as give two block pairs per core.  Item
     slices split a user whose own rows exceed a quarter block (a heavy user
@@ -170,11 +172,12 @@ def co_occurrence(baskets: DataFrame, user: str = "user_id", item: str = "item_i
         b, s = plan_blocks(int(st["rows"] or 0), int(st["mx"] or 0), par)
         blocks = blocks or b
         item_slices = item_slices or s
-    rows = pairs_in.join(degree, "user")
     blk = F.pmod(F.xxhash64("user"), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("x")
-    routed = (rows.withColumn("b", blk)
-              .select("user", "item", "n", "b", other)
+    rows = pairs_in.join(degree, "user").withColumn("b", blk)
+    # a row only meets users of blocks that hold its item: route it to those
+    # block pairs alone (replication min(deg(item), B) instead of B)
+    item_blocks = rows.select("item", F.col("b").alias("x")).distinct()
+    routed = (rows.join(item_blocks, "item")
               .select("user", "item", "n", "b",
                       F.least("b", "x").alias("ti"), F.greatest("b", "x").alias("tj"),
                       F.pmod(F.xxhash64("item"), F.lit(item_slices)).cast("int").alias("sl")))
