@@ -117,3 +117,75 @@ def merge_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames:
         cols.extend(f.columns)
     return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+
+
+def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
+                  out: str = "nxt", partitions: int | None = None) -> DataFrame:
+    """``lead(value) over (partition by group order by order)`` without
+    putting a whole group into one task.
+
+    Rows are range partitioned on ``(group, *order)``, so a very large group
+    is split over several tasks.  Each task walks its sorted rows in Arrow
+    batches and sets the successor inside the partition; the last row of a
+    partition takes the first row of the next non-empty partition when it is
+    of the same group.  Those first rows form a table with one row per
+    partition, the only thing combined across tasks.  ``(group, *order)``
+    should be unique for a reproducible answer.  Returns ``group, value, out``.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from rill.session import cut_lineage
+
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [group, *order]
+    gtype = df.schema[group].dataType.simpleString()
+    vtype = df.schema[value].dataType.simpleString()
+    srt = (df.select(*dict.fromkeys([*keys, value]))
+           .repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+
+    def walk(batches):
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        pend = None                      # last row of the previous batch: (g, v, first)
+        first = True
+
+        def frame(g, v, nx, fst, lst):
+            return pd.DataFrame({group: g, value: v, out: pd.array(nx, dtype="object"),
+                                 "__pid": np.full(len(g), pid, dtype=np.int32),
+                                 "__first": fst, "__last": lst})
+
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            g, v = pdf[group].to_numpy(), pdf[value].to_numpy()
+            if pend is not None:
+                pg, pv, pf = pend
+                yield frame([pg], [pv], [v[0] if g[0] == pg else None], [pf], [False])
+            nx = np.empty(len(g), dtype=object)
+            nx[:-1] = np.where(g[1:] == g[:-1], v[1:], None)
+            fst = np.zeros(len(g), dtype=bool)
+            fst[0] = first
+            first = False
+            if len(g) > 1:
+                yield frame(g[:-1], v[:-1], nx[:-1], fst[:-1], np.zeros(len(g) - 1, dtype=bool))
+            pend = (g[-1], v[-1], bool(fst[-1]))
+        if pend is not None:
+            pg, pv, pf = pend
+            yield frame([pg], [pv], [None], [pf], [True])
+
+    walked = cut_lineage(srt.mapInPandas(
+        walk, f"{group} {gtype}, {value} {vtype}, {out} {vtype}, "
+              "__pid int, __first boolean, __last boolean"))
+    heads = walked.where("__first").select("__pid", F.col(group).alias("__g"),
+                                           F.col(value).alias("__v"))
+    w = Window.orderBy("__pid")          # one row per non-empty partition
+    nxt_head = heads.select("__pid", F.lead("__g").over(w).alias("__ng"),
+                            F.lead("__v").over(w).alias("__nv"))
+    if n <= 1_000_000:                   # one row per partition: safe to broadcast
+        nxt_head = F.broadcast(nxt_head)
+    fixed = F.when(F.col("__last") & (F.col("__ng") == F.col(group)), F.col("__nv"))
+    return (walked.join(nxt_head, "__pid", "left")
+            .select(group, value, F.coalesce(F.col(out), fixed).alias(out)))

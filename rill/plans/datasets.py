@@ -8,9 +8,10 @@ plain DataFrame plans, so Catalyst prunes the parquet columns they do not use.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rill.operators.relational import next_in_group
 from rill.sources.tables import table
 
 # Fixed values of the stand-in rules (they must equal the SQL oracle text).
@@ -111,26 +112,26 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
 
 
-def _next_in_order(parts: DataFrame, *order: Column) -> DataFrame:
-    # One window partition per order: its size is the order's line count.
-    w = Window.partitionBy("o").orderBy(*order)
-    return (parts.withColumn("nxt", F.lead("p").over(w))
-            .where(F.col("nxt").isNotNull())
+def _next_in_order(parts: DataFrame, order: list[str]) -> DataFrame:
+    # successor of each part inside its order; a huge order is split over
+    # tasks by range partitioning instead of forming one window partition
+    nxt = next_in_group(parts, "o", order, "p")
+    return (nxt.where(F.col("nxt").isNotNull())
             .select(F.col("p").alias("src"), F.col("nxt").alias("dst")))
 
 
 def item_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cyclic item graph: the distinct parts of each order in a hashed order,
     an edge from each to the next; duplicate edges (other orders) kept."""
-    parts = _order_parts(spark, sf_dir)
-    key = (F.col("p") * ITEM_ORDER_MULT + F.col("o")) % ITEM_ORDER_MOD
-    return _next_in_order(parts, key, F.col("p"))
+    parts = _order_parts(spark, sf_dir).withColumn(
+        "k", (F.col("p") * ITEM_ORDER_MULT + F.col("o")) % ITEM_ORDER_MOD)
+    return _next_in_order(parts, ["k", "p"])
 
 
 def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acyclic part graph: the distinct parts of each order in ascending order,
     an edge from each to the next (always src < dst); duplicates kept."""
-    return _next_in_order(_order_parts(spark, sf_dir), F.col("p"))
+    return _next_in_order(_order_parts(spark, sf_dir), ["p"])
 
 
 def cyclic_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,16 @@ def test_union_counts(spark):
     b = spark.range(7)
     got = {r.part: r.rows for r in union_counts({"a": a, "b": b}).collect()}
     assert got == {"a": 5, "b": 7, "all": 12}
+
+
+def test_next_in_group_matches_lead_with_hot_group(spark):
+    from pyspark.sql import Window
+
+    from rill.operators.relational import next_in_group
+
+    rows = [(1, i) for i in range(300)] + [(g, g * 10 + j) for g in range(2, 40) for j in range(3)]
+    df = spark.createDataFrame(rows, "o long, p long")
+    got = {(r.o, r.p): r.nxt for r in next_in_group(df, "o", ["p"], "p", partitions=7).collect()}
+    want = {(r.o, r.p): r.nxt for r in df.withColumn(
+        "nxt", F.lead("p").over(Window.partitionBy("o").orderBy("p"))).collect()}
+    assert got == want
