@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rill.operators.graph.core import vertices_of
-from rill.session import cut_lineage
+from rill.session import cut_lineage, release
 
 
 def _undirected(edges: DataFrame) -> DataFrame:
@@ -58,6 +58,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         nxt = cut_lineage(_small_star(_large_star(e)))
         diff = (nxt.withColumn("n", F.lit(1)).join(e.withColumn("o", F.lit(1)), ["a", "b"], "full_outer")
                 .agg(F.count_if(F.col("o").isNull() | F.col("n").isNull()).alias("d")).first()["d"])
+        release(e)
         e = nxt
         if diff == 0:
             break
@@ -71,12 +72,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 def _min_label_forward(e: DataFrame, verts: DataFrame, max_iter: int) -> DataFrame:
     """Colour = smallest id that reaches the vertex (inside ``e``)."""
     color = verts.select("id", F.col("id").alias("c"))
+    prev = None
     for i in range(max_iter):
         msg = (e.join(color.withColumnRenamed("id", "src"), "src")
                .groupBy(F.col("dst").alias("id")).agg(F.min("c").alias("m")))
         nxt = (color.join(msg, "id", "left")
                .select("id", F.least("c", F.coalesce("m", "c")).alias("c"), F.col("c").alias("old")))
         nxt = cut_lineage(nxt)
+        release(prev)
+        prev = nxt
         if nxt.where(F.col("c") != F.col("old")).limit(1).count() == 0:
             return nxt.select("id", "c")
         color = nxt.select("id", "c")

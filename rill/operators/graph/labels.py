@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rill.operators.graph.core import vertices_of
-from rill.session import cut_lineage
+from rill.session import cut_lineage, release
 
 
 def label_propagation(edges: DataFrame, rounds: int = 50, checkpoint_every: int = 5) -> DataFrame:
@@ -25,6 +25,7 @@ def label_propagation(edges: DataFrame, rounds: int = 50, checkpoint_every: int
                      .unionByName(e.select(F.col("dst").alias("frm"), F.col("src").alias("to"))))
     labels = cut_lineage(vertices_of(edges).select("id", F.col("id").alias("label")))
     prev = None
+    last_cut = labels
     for i in range(rounds):
         votes = (to.join(labels.withColumnRenamed("id", "frm"), "frm")
                  .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
@@ -36,6 +37,8 @@ def label_propagation(edges: DataFrame, rounds: int = 50, checkpoint_every: int
                .select("id", F.coalesce("new", "label").alias("label"), F.col("label").alias("old")))
         if (i + 1) % checkpoint_every == 0:
             nxt = cut_lineage(nxt)
+            release(last_cut)
+            last_cut = nxt
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         changed = nxt.where(F.col("label") != F.col("old")).limit(1).count()

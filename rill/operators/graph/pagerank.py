@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rill.session import cut_lineage
+from rill.session import cut_lineage, release
 
 
 def _weighted_edges(edges: DataFrame) -> DataFrame:
@@ -37,6 +37,7 @@ def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85,
         e = e.repartition(partitions, "src")
     e = e.persist(StorageLevel.MEMORY_AND_DISK)
     ranks = e.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
+    ranks_cut = None
     base = 1.0 - damping
     for i in range(rounds):
         contrib = e.join(ranks, e.src == ranks.id).select(
@@ -44,7 +45,9 @@ def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85,
         ranks = (contrib.groupBy(F.col("dst").alias("id"))
                  .agg((F.lit(base) + F.lit(damping) * F.sum("c")).alias("rank")))
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
-            ranks = cut_lineage(ranks)
+            prev, ranks = ranks_cut, cut_lineage(ranks)
+            ranks_cut = ranks
+            release(prev)
     return ranks
 
 
@@ -63,6 +66,7 @@ def personalized_pagerank(edges: DataFrame, source: int, rounds: int = 20,
     spark = edges.sparkSession
     src_row = spark.range(1).select(F.lit(source).cast("long").alias("id"))
     ranks = src_row.withColumn("rank", F.lit(1.0))
+    ranks_cut = None
     for i in range(rounds):
         contrib = e.join(ranks, e.src == ranks.id).select(
             F.col("dst").alias("id"), (F.col("rank") / F.col("outdeg")).alias("c"))
@@ -82,5 +86,7 @@ def personalized_pagerank(edges: DataFrame, source: int, rounds: int = 20,
         else:
             ranks = new
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
-            ranks = cut_lineage(ranks)
+            prev, ranks = ranks_cut, cut_lineage(ranks)
+            ranks_cut = ranks
+            release(prev)
     return ranks

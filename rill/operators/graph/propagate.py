@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rill.session import cut_lineage
+from rill.session import cut_lineage, release
 
 def msg_type(trip: DataFrame, message) -> str:
     """Spark type of the message expression (for typed null placeholders)."""
@@ -54,6 +54,7 @@ def propagate(edges: DataFrame, state: DataFrame,
     # the message type is fixed: find it once (every DataFrame call analyses
     # the whole fused plan, so per-step schema lookups would cost O(steps^2))
     mtype = msg_type(state.join(e, state.id == e.src, "left"), message)
+    state_cut = state
     step = 0
     while step < max_iter:
         # ``steps_per_job`` supersteps are chained into one plan; each reads
@@ -78,7 +79,9 @@ def propagate(edges: DataFrame, state: DataFrame,
                                (~new_value.eqNullSafe(F.col("old"))).alias("changed")) \
                 .where(F.col("id").isNotNull())
             step += 1
-        state = cut_lineage(state)
+        prev, state = state_cut, cut_lineage(state)
+        state_cut = state
+        release(prev)
         # a step without any change is a fixpoint: later steps change nothing
         if state.where("changed").limit(1).count() == 0:
             return state.select("id", "value")

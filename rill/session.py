@@ -89,4 +89,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{folder}/rill-cut-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._rill_cut = path          # lets ``release`` delete the files later
+    return out
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete the files behind a DataFrame returned by ``cut_lineage`` once
+    nothing reads it any more (loops call this for the previous round's
+    state after the next one is written, so the shared folder does not fill
+    up with one copy of the state per round).  Other DataFrames are left
+    alone."""
+    path = getattr(df, "_rill_cut", None) if df is not None else None
+    if not path:
+        return
+    jvm = df.sparkSession._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    fs.delete(hpath, True)
+    df._rill_cut = None
