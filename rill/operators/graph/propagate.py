@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rill.session import cut_lineage, release
+from rill.session import cut_lineage, loop_partitions, release
 
 def msg_type(trip: DataFrame, message) -> str:
     """Spark type of the message expression (for typed null placeholders)."""
@@ -47,7 +47,7 @@ def propagate(edges: DataFrame, state: DataFrame,
     """
     merge_fn = MERGES[merge] if isinstance(merge, str) else merge
     # the edge side never changes: partition it on ``src`` once and keep it
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = loop_partitions(edges.sparkSession)
     e = edges.repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
     vtype = state.schema["value"].dataType
     state = cut_lineage(state.select("id", "value", F.lit(True).alias("changed")))

@@ -18,6 +18,7 @@ from rill.operators.graph.propagate import propagate
 from rill.operators.relational import merge_single_rows
 from rill.plans import datasets as ds
 from rill.plans.registry import query
+from rill.session import loop_partitions
 
 # Fixed parameters of the graph queries.
 SUBGRAPH_WINDOW = (10000, 50000)      # G5: 10000 < timestamp <= 50000
@@ -210,7 +211,7 @@ def pagerank_q(spark, sf_dir):
 def pagerank_partitioned(spark, sf_dir):
     """The same with the edge side pre-partitioned on ``src`` and
     persisted, so each round shuffles only the rank table."""
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = loop_partitions(spark)
     r = pagerank(ds.item_graph(spark, sf_dir), rounds=PR_ROUNDS, partitions=parts)
     return r.select("id", F.round("rank", 6).alias("rank"))
 

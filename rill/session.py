@@ -77,6 +77,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def loop_partitions(spark: SparkSession) -> int:
+    """Partition count for the fixed side of an iterative loop: the session's
+    shuffle partitions, capped at four task waves of the cluster (a loop
+    runs many small rounds, so per-task overhead is paid every round)."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as parquet in the shared checkpoint folder and
     return a DataFrame that starts from those files.
