@@ -189,3 +189,10 @@ def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
     fixed = F.when(F.col("__last") & (F.col("__ng") == F.col(group)), F.col("__nv"))
     return (walked.join(nxt_head, "__pid", "left")
             .select(group, value, F.coalesce(F.col(out), fixed).alias(out)))
+
+
+def id_ends_with(col: str | Column, suffix: str) -> Column:
+    """The report filter ``ENDSWITH(CAST(id AS STRING), suffix)``
+    (same rows as ``CAST(id AS STRING) LIKE CONCAT('%', suffix)``)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("string").endswith(suffix)

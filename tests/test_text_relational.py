@@ -90,3 +90,26 @@ def test_next_in_group_matches_lead_with_hot_group(spark):
     want = {(r.o, r.p): r.nxt for r in df.withColumn(
         "nxt", F.lead("p").over(Window.partitionBy("o").orderBy("p"))).collect()}
     assert got == want
+
+
+def test_id_suffix_filter_equals_like(spark):
+    from rill.operators.relational import id_ends_with
+
+    df = spark.range(0, 500).withColumnRenamed("id", "uid")
+    a = {r.uid for r in df.where(id_ends_with("uid", "35")).collect()}
+    b = {r.uid for r in df.where(F.expr("CAST(uid AS STRING) LIKE CONCAT('%', '35')")).collect()}
+    assert a == b == {35, 135, 235, 335, 435}
+
+
+def test_reduce_groups_runs_reducer_per_key(spark):
+    import pandas as pd
+
+    from rill.operators.custom import reduce_groups
+
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "word string, cnt long")
+
+    def reducer(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"word": [pdf.word.iloc[0]], "cnt": [int(pdf.cnt.sum())]})
+
+    got = {r.word: r.cnt for r in reduce_groups(df, "word", reducer, "word string, cnt long").collect()}
+    assert got == {"a": 3, "b": 5}
