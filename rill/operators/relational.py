@@ -120,11 +120,14 @@ def merge_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
-                  out: str = "nxt", partitions: int | None = None) -> DataFrame:
+                  out: str = "nxt", partitions: int | None = None,
+                  max_group_rows: int = 1_000_000) -> DataFrame:
     """``lead(value) over (partition by group order by order)`` without
     putting a whole group into one task.
 
-    Rows are range partitioned on ``(group, *order)``, so a very large group
+    One aggregate finds the largest group; while it holds at most
+    ``max_group_rows`` rows the plain window is safe and is used.  Otherwise
+    rows are range partitioned on ``(group, *order)``, so a very large group
     is split over several tasks.  Each task walks its sorted rows in Arrow
     batches and sets the successor inside the partition; the last row of a
     partition takes the first row of the next non-empty partition when it is
@@ -138,8 +141,12 @@ def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
     from rill.session import cut_lineage
 
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group, *order]
+    largest = df.groupBy(group).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
+    if (largest or 0) <= max_group_rows:
+        w = Window.partitionBy(group).orderBy(*order)
+        return df.select(group, value, F.lead(value).over(w).alias(out))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gtype = df.schema[group].dataType.simpleString()
     vtype = df.schema[value].dataType.simpleString()
     srt = (df.select(*dict.fromkeys([*keys, value]))

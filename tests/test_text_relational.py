@@ -86,10 +86,13 @@ def test_next_in_group_matches_lead_with_hot_group(spark):
 
     rows = [(1, i) for i in range(300)] + [(g, g * 10 + j) for g in range(2, 40) for j in range(3)]
     df = spark.createDataFrame(rows, "o long, p long")
-    got = {(r.o, r.p): r.nxt for r in next_in_group(df, "o", ["p"], "p", partitions=7).collect()}
     want = {(r.o, r.p): r.nxt for r in df.withColumn(
         "nxt", F.lead("p").over(Window.partitionBy("o").orderBy("p"))).collect()}
-    assert got == want
+    # max_group_rows=50 forces the split walk for the 300-row group
+    walked = next_in_group(df, "o", ["p"], "p", partitions=7, max_group_rows=50)
+    assert {(r.o, r.p): r.nxt for r in walked.collect()} == want
+    windowed = next_in_group(df, "o", ["p"], "p")
+    assert {(r.o, r.p): r.nxt for r in windowed.collect()} == want
 
 
 def test_id_suffix_filter_equals_like(spark):
