@@ -10,7 +10,7 @@ from rill.operators.relational import (argmax, average_per_distinct, complete_ro
                                        count_by, share_of_total, top_n, union_counts)
 from rill.plans import datasets as ds
 from rill.plans.registry import query
-from rill.sources.tables import table
+from rill.sources.tables import spread, table
 
 # Oracle regex: the same ASCII whitespace class as rill.functions.text.WHITESPACE
 _WS = r"[\t\n\x0B\f\r ]+"
@@ -23,7 +23,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("text"))
     words = docs.select(F.explode(tokens("text")).alias("word"))
     return count_by(words, "word")
 
@@ -35,7 +35,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count_single_space(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("text"))
     words = docs.select(F.explode(space_tokens("text")).alias("word")).where(F.col("word") != "")
     return count_by(words, "word")
 
@@ -52,7 +52,7 @@ def word_count_skip_malformed(spark, sf_dir):
     """Every token is read as a count record keyed by the document's
     language; tokens that are not integers are skipped (and counted as
     skipped) instead of failing the job."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("lang", "text"))
     recs = (docs.select("lang", F.explode(tokens("text")).alias("tok"))
             .withColumn("ok", is_integer_text("tok", 9)))
     return (recs.groupBy("lang")
