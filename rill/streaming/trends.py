@@ -85,6 +85,33 @@ def write_in_time_order(df: DataFrame, ts: str, folder: str, unit: str = "day")
     return len(units)
 
 
+def _lander(sink: str, output_mode: str,
+            batch_fn: Callable[[DataFrame, int], DataFrame] | None):
+    def land(batch: DataFrame, batch_id: int) -> None:
+        out = batch_fn(batch, batch_id) if batch_fn else batch
+        if output_mode == "complete":
+            out.write.mode("overwrite").parquet(sink)
+        else:
+            out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    return land
+
+
+def start_stream(stream: DataFrame, sink: str, interval: str = "5 minutes",
+                 output_mode: str = "complete",
+                 batch_fn: Callable[[DataFrame, int], DataFrame] | None = None,
+                 checkpoint: str | None = None):
+    """R8 (live form): run ``stream`` on a processing-time trigger (a batch
+    every ``interval``) into the same idempotent parquet sink as
+    ``run_available``; returns the ``StreamingQuery`` to monitor or stop."""
+    spark = stream.sparkSession
+    ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
+    return (stream.writeStream.outputMode(output_mode)
+            .option("checkpointLocation", ckpt)
+            .foreachBatch(_lander(sink, output_mode, batch_fn))
+            .trigger(processingTime=interval)
+            .start())
+
+
 def run_available(stream: DataFrame, sink: str, output_mode: str = "complete",
                   batch_fn: Callable[[DataFrame, int], DataFrame] | None = None,
                   checkpoint: str | None = None) -> None:
@@ -100,17 +127,9 @@ def run_available(stream: DataFrame, sink: str, output_mode: str = "complete",
     """
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
-
-    def land(batch: DataFrame, batch_id: int) -> None:
-        out = batch_fn(batch, batch_id) if batch_fn else batch
-        if output_mode == "complete":
-            out.write.mode("overwrite").parquet(sink)
-        else:
-            out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
     q = (stream.writeStream.outputMode(output_mode)
          .option("checkpointLocation", ckpt)
-         .foreachBatch(land)
+         .foreachBatch(_lander(sink, output_mode, batch_fn))
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()

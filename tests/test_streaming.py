@@ -79,3 +79,20 @@ def test_memory_sink_read_by_sql(spark):
     counts = sliding_counts(hashtags(_stream(spark, folder, tw.schema)))
     run_to_memory(counts, "hashtag_cnts")
     assert spark.sql("SELECT COUNT(*) AS n FROM hashtag_cnts").first().n == _batch_answer(spark).count()
+
+
+def test_live_trigger_and_console(spark):
+    from rill.streaming.trends import run_to_console, start_stream
+
+    tw = ds.tweets(spark, SF_SMALL)
+    folder = scratch_path(spark, "live")
+    write_in_time_order(tw, "timestamp", folder)
+    sink = scratch_path(spark, "s")
+    counts = sliding_counts(hashtags(_stream(spark, folder, tw.schema)))
+    q = start_stream(counts, sink, "1 second", batch_fn=lambda b, _i: flat_windows(b))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_sink(spark, sink).count() == _batch_answer(spark).count()
+    run_to_console(hashtags(_stream(spark, folder, tw.schema)), "append", rows=2)
