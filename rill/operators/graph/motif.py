@@ -55,3 +55,47 @@ def find_motif(edges: DataFrame, pattern: Sequence[Triple],
     if pending:
         raise ValueError(f"conditions use unbound names: {[sorted(c[0]) for c in pending]}")
     return result
+
+
+def _ordered_pairs(edges: DataFrame, keys: list[str], time_col: str):
+    """Σ over groups of ``keys`` of the pairs (e1, e2) with e1.t < e2.t:
+    C(n, 2) per group minus C(m, 2) per set of equal times, from counts only."""
+    from pyspark.sql import functions as F
+
+    def c2(col):
+        # exact: n(n-1) is even; decimal keeps hub-sized counts exact
+        n = col.cast("decimal(38,0)")
+        return ((n * (n - 1)) / 2).cast("decimal(38,0)")
+
+    per_group = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_time = edges.groupBy(*keys, time_col).agg(F.count(F.lit(1)).alias("m"))
+    return (per_group.agg(F.sum(c2(F.col("n"))).alias("v")),
+            per_time.agg(F.sum(c2(F.col("m"))).alias("v")))
+
+
+def count_converging_pairs(edges: DataFrame, time_col: str = "timestamp") -> DataFrame:
+    """G7 as a count over a whole graph: pairs of edges into the same target
+    from different sources, the first strictly earlier.  Computed from group
+    counts only (no pair is materialised and no group is gathered in one
+    task): pairs into a target ordered in time, minus those whose two edges
+    also share the source.  Returns one row ``cnt``."""
+    from pyspark.sql import functions as F
+
+    tgt_all, tgt_ties = _ordered_pairs(edges, ["dst"], time_col)
+    same_all, same_ties = _ordered_pairs(edges, ["src", "dst"], time_col)
+    parts = (tgt_all.select(F.col("v").alias("a")).unionByName(tgt_ties.select((-F.col("v")).alias("a")))
+             .unionByName(same_all.select((-F.col("v")).alias("a")))
+             .unionByName(same_ties.select(F.col("v").alias("a"))))
+    return parts.agg(F.coalesce(F.sum("a"), F.lit(0)).cast("long").alias("cnt"))
+
+
+def count_two_hop_paths(edges: DataFrame) -> DataFrame:
+    """G8 as a count over a whole graph: Σ over vertices of in-degree times
+    out-degree (duplicate edges count), one join of two degree tables."""
+    from pyspark.sql import functions as F
+
+    ind = edges.groupBy(F.col("dst").alias("v")).agg(F.count(F.lit(1)).alias("i"))
+    outd = edges.groupBy(F.col("src").alias("v")).agg(F.count(F.lit(1)).alias("o"))
+    prod = F.col("i").cast("decimal(38,0)") * F.col("o").cast("decimal(38,0)")
+    return (ind.join(outd, "v")
+            .agg(F.coalesce(F.sum(prod), F.lit(0)).cast("long").alias("cnt")))

@@ -11,7 +11,7 @@ from rill.operators.graph import components as comp
 from rill.operators.graph.core import (drop_isolated, induced_subgraph, max_degree_vertex,
                                        out_degrees, vertices_of)
 from rill.operators.graph.labels import label_propagation
-from rill.operators.graph.motif import find_motif
+from rill.operators.graph.motif import count_converging_pairs, count_two_hop_paths, find_motif
 from rill.operators.graph.pagerank import pagerank, personalized_pagerank
 from rill.operators.graph.paths import longest_distance
 from rill.operators.graph.propagate import propagate
@@ -136,6 +136,25 @@ def motif_2_item(spark, sf_dir):
     return m.agg(F.count(F.lit(1)).alias("cnt"))
 
 
+@query("motif_1_all", sql=f"""
+WITH {_AE}
+SELECT COUNT(*) AS cnt FROM ae e1 JOIN ae e2 ON e1.dst = e2.dst
+WHERE e1.src <> e2.src AND e1.timestamp < e2.timestamp
+""")
+def motif_1_all(spark, sf_dir):
+    """G7 over the whole activity graph, counted from group sizes (no pair
+    enumeration, no time slice)."""
+    return count_converging_pairs(ds.activity_edges(spark, sf_dir))
+
+
+@query("motif_2_item_all", sql=f"""
+WITH {_IG} SELECT COUNT(*) AS cnt FROM ig e1 JOIN ig e2 ON e1.dst = e2.src
+""")
+def motif_2_item_all(spark, sf_dir):
+    """G8 over the whole item graph as in-degree x out-degree per vertex."""
+    return count_two_hop_paths(ds.item_graph(spark, sf_dir))
+
+
 @query("motif_3", sql=f"""
 WITH {_AE}, {_SL}
 SELECT COUNT(*) AS cnt

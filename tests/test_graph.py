@@ -80,3 +80,14 @@ def test_degrees_and_subgraph(spark):
     assert got == {"in": (3, 3), "out": (1, 2)}
     keep = spark.createDataFrame([(1,), (3,)], "id long")
     assert [tuple(r) for r in induced_subgraph(e, keep).select("src", "dst").collect()] == [(1, 3)]
+
+
+def test_motif_counts_without_enumeration(spark):
+    from rill.operators.graph.motif import count_converging_pairs, count_two_hop_paths
+
+    rows = [(1, 9, 1.0), (2, 9, 2.0), (3, 9, 2.0), (1, 9, 3.0), (1, 8, 1.0), (2, 8, 1.0), (9, 1, 5.0)]
+    e = edges(spark, rows, "timestamp double")
+    brute = sum(1 for a in rows for b in rows if a[1] == b[1] and a[0] != b[0] and a[2] < b[2])
+    assert count_converging_pairs(e).first().cnt == brute
+    hops = sum(1 for a in rows for b in rows if a[1] == b[0])
+    assert count_two_hop_paths(e).first().cnt == hops
