@@ -57,36 +57,29 @@ def find_motif(edges: DataFrame, pattern: Sequence[Triple],
     return result
 
 
-def _ordered_pairs(edges: DataFrame, keys: list[str], time_col: str):
-    """Σ over groups of ``keys`` of the pairs (e1, e2) with e1.t < e2.t:
-    C(n, 2) per group minus C(m, 2) per set of equal times, from counts only."""
-    from pyspark.sql import functions as F
-
-    def c2(col):
-        # exact: n(n-1) is even; decimal keeps hub-sized counts exact
-        n = col.cast("decimal(38,0)")
-        return ((n * (n - 1)) / 2).cast("decimal(38,0)")
-
-    per_group = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    per_time = edges.groupBy(*keys, time_col).agg(F.count(F.lit(1)).alias("m"))
-    return (per_group.agg(F.sum(c2(F.col("n"))).alias("v")),
-            per_time.agg(F.sum(c2(F.col("m"))).alias("v")))
-
-
 def count_converging_pairs(edges: DataFrame, time_col: str = "timestamp") -> DataFrame:
     """G7 as a count over a whole graph: pairs of edges into the same target
-    from different sources, the first strictly earlier.  Computed from group
-    counts only (no pair is materialised and no group is gathered in one
-    task): pairs into a target ordered in time, minus those whose two edges
-    also share the source.  Returns one row ``cnt``."""
+    from different sources, the first strictly earlier.
+
+    Built from group sizes only -- no pair is materialised and no group is
+    gathered in one task.  Per target, C(n, 2) pairs minus C(m, 2) for each
+    set of equal times gives the time-ordered pairs; the same for each
+    (source, target) removes pairs sharing the source.  All four group
+    sizes come out of one grouping-sets aggregate (one scan, one shuffle),
+    and ``grouping_id()`` tells which sign each group carries.  Counts use
+    exact decimals.  Returns one row ``cnt``.
+    """
     from pyspark.sql import functions as F
 
-    tgt_all, tgt_ties = _ordered_pairs(edges, ["dst"], time_col)
-    same_all, same_ties = _ordered_pairs(edges, ["src", "dst"], time_col)
-    parts = (tgt_all.select(F.col("v").alias("a")).unionByName(tgt_ties.select((-F.col("v")).alias("a")))
-             .unionByName(same_all.select((-F.col("v")).alias("a")))
-             .unionByName(same_ties.select(F.col("v").alias("a"))))
-    return parts.agg(F.coalesce(F.sum("a"), F.lit(0)).cast("long").alias("cnt"))
+    e = edges.select("src", "dst", F.col(time_col).alias("t"))
+    sets = [["dst"], ["dst", "t"], ["src", "dst"], ["src", "dst", "t"]]
+    g = e.groupingSets(sets, "src", "dst", "t").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
+    # grouping_id bits (src, dst, t): (dst)=5 +, (dst,t)=4 -, (src,dst)=1 -, (src,dst,t)=0 +
+    sign = F.when(F.col("gid").isin(5, 0), F.lit(1)).otherwise(F.lit(-1))
+    n = F.col("n").cast("decimal(38,0)")
+    pairs = ((n * (n - 1)) / 2).cast("decimal(38,0)")      # n(n-1) is even: exact
+    return g.agg(F.coalesce(F.sum(sign * pairs), F.lit(0)).cast("long").alias("cnt"))
 
 
 def count_two_hop_paths(edges: DataFrame) -> DataFrame:
