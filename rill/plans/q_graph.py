@@ -8,8 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rill.operators.graph import components as comp
-from rill.operators.graph.core import (drop_isolated, induced_subgraph, max_degree_vertex,
-                                       out_degrees, vertices_of)
+from rill.operators.graph.core import (drop_isolated, graph_summary, induced_subgraph,
+                                       max_degree_vertex, out_degrees, vertices_of)
 from rill.operators.graph.labels import label_propagation
 from rill.operators.graph.motif import count_converging_pairs, count_two_hop_paths, find_motif
 from rill.operators.graph.pagerank import pagerank, personalized_pagerank
@@ -57,15 +57,11 @@ SELECT (SELECT COUNT(*) FROM (SELECT src FROM ae UNION SELECT dst FROM ae)) AS v
        (SELECT COUNT(*) FROM ae) AS edges
 """)
 def graph_counts(spark, sf_dir):
-    """Vertex, user, activity and edge counts as one report row."""
-    v = ds.activity_vertices(spark, sf_dir)
-    e = ds.activity_edges(spark, sf_dir)
-    return merge_single_rows([
-        v.agg(F.count(F.lit(1)).alias("vertices"),
-              F.count_if(F.col("type") == "User").alias("users"),
-              F.count_if(F.col("type") == "Course Activity").alias("activities")),
-        e.agg(F.count(F.lit(1)).alias("edges")),
-    ])
+    """Vertex, user, activity and edge counts as one report row,
+    from one scan (users are the edge sources, activities the targets)."""
+    summary = graph_summary(ds.activity_edges(spark, sf_dir))
+    return summary.select("vertices", F.col("sources").alias("users"),
+                          F.col("targets").alias("activities"), "edges")
 
 
 @query("max_degree", sql=f"""
