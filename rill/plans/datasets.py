@@ -102,9 +102,11 @@ def activity_edges(spark: SparkSession, sf_dir: str,
 def activity_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity graph vertices ``(id, type)``: users and course activities."""
     e = activity_edges(spark, sf_dir)
-    users = e.select(F.col("src").alias("id")).distinct().withColumn("type", F.lit("User"))
-    acts = e.select(F.col("dst").alias("id")).distinct().withColumn("type", F.lit("Course Activity"))
-    return users.unionByName(acts)
+    # one scan: each edge yields its user and its activity, then one distinct
+    ends = e.select(F.explode(F.array(
+        F.struct(F.col("src").alias("id"), F.lit("User").alias("type")),
+        F.struct(F.col("dst").alias("id"), F.lit("Course Activity").alias("type")))).alias("v"))
+    return ends.select("v.id", "v.type").distinct()
 
 
 def _order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ SELECT (SELECT COUNT(*) FROM (SELECT src FROM s UNION SELECT dst FROM s)) AS ver
 def time_subgraph(spark, sf_dir):
     """Keep edges in a half-open time range, then drop vertices
     left without edges."""
-    e = ds.activity_edges(spark, sf_dir, SUBGRAPH_WINDOW)
+    e = _stored(ds.activity_edges(spark, sf_dir, SUBGRAPH_WINDOW))   # read three times below
     v = drop_isolated(ds.activity_vertices(spark, sf_dir), e)
     return merge_single_rows([v.agg(F.count(F.lit(1)).alias("vertices")),
                               e.agg(F.count(F.lit(1)).alias("edges"))])
