@@ -25,18 +25,33 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
 
 
+def _vertex_degrees(edges: DataFrame) -> DataFrame:
+    """``id, out_deg, in_deg`` from one scan: every edge yields its source
+    and its target once, then one aggregate per vertex."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("src").alias("id"), F.lit(1).alias("s"), F.lit(0).alias("d")),
+        F.struct(F.col("dst").alias("id"), F.lit(0).alias("s"), F.lit(1).alias("d")))).alias("x"))
+    return ends.groupBy("x.id").agg(F.sum("x.s").alias("out_deg"), F.sum("x.d").alias("in_deg"))
+
+
 def max_degree_vertex(edges: DataFrame) -> DataFrame:
     """The vertex with the largest in-degree and the one with the
-    largest out-degree (ties: smaller id), as rows ``kind, id, degree``."""
-    ind = in_degrees(edges).select(F.lit("in").alias("kind"), "id",
-                                   F.col("in_degree").alias("degree"))
-    outd = out_degrees(edges).select(F.lit("out").alias("kind"), "id",
-                                     F.col("out_degree").alias("degree"))
-    both = ind.unionByName(outd)
-    # max of (degree, -id) per kind: an aggregate, no sort of all vertices
-    best = both.groupBy("kind").agg(
-        F.max(F.struct(F.col("degree"), (-F.col("id")).alias("neg_id"))).alias("b"))
-    return best.select("kind", (-F.col("b.neg_id")).alias("id"), F.col("b.degree").alias("degree"))
+    largest out-degree (ties: smaller id), as rows ``kind, id, degree``.
+
+    One scan and two aggregates: per-vertex degrees, then both arg-maxes as
+    ``max`` of (degree, -id) structs -- no sort of all vertices."""
+    deg = _vertex_degrees(edges)
+    best = deg.agg(
+        F.max(F.when(F.col("in_deg") > 0, F.struct(F.col("in_deg").alias("degree"),
+                                                   (-F.col("id")).alias("neg")))).alias("i"),
+        F.max(F.when(F.col("out_deg") > 0, F.struct(F.col("out_deg").alias("degree"),
+                                                    (-F.col("id")).alias("neg")))).alias("o"))
+    rows = best.select(F.explode(F.array(
+        F.struct(F.lit("in").alias("kind"), F.col("i").alias("b")),
+        F.struct(F.lit("out").alias("kind"), F.col("o").alias("b")))).alias("r"))
+    return (rows.where(F.col("r.b").isNotNull())
+            .select(F.col("r.kind").alias("kind"), (-F.col("r.b.neg")).alias("id"),
+                    F.col("r.b.degree").cast("long").alias("degree")))
 
 
 def filter_edges(edges: DataFrame, condition: Column) -> DataFrame:
@@ -64,10 +79,7 @@ def graph_summary(edges: DataFrame) -> DataFrame:
     """G3/K11 in one scan: every edge yields its source and its target once;
     one aggregate per vertex, then one global aggregate, give the vertex,
     source-vertex, target-vertex and edge counts (one row)."""
-    ends = edges.select(F.explode(F.array(
-        F.struct(F.col("src").alias("id"), F.lit(1).alias("s"), F.lit(0).alias("d")),
-        F.struct(F.col("dst").alias("id"), F.lit(0).alias("s"), F.lit(1).alias("d")))).alias("x"))
-    per_vertex = ends.groupBy("x.id").agg(F.sum("x.s").alias("out_deg"), F.sum("x.d").alias("in_deg"))
+    per_vertex = _vertex_degrees(edges)
     return per_vertex.agg(F.count(F.lit(1)).alias("vertices"),
                           F.count_if(F.col("out_deg") > 0).alias("sources"),
                           F.count_if(F.col("in_deg") > 0).alias("targets"),
