@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rill.llm import bpe, packing
+from rill.llm import bpe, packing, quality_rules
 from rill.llm.common import table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -25,3 +25,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, the base rules and the verdict of the adaptive limits."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), carry=("doc_id",))
+    return judged.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
