@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rill.llm import bpe, packing, quality_rules
+from rill.llm import bpe, packing, pii, quality_rules
 from rill.llm.common import table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -33,3 +33,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), carry=("doc_id",))
     return judged.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of personal data by number and digest, and all spans."""
+    return pii.digest(table(spark, sf_dir, "documents"))

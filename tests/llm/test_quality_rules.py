@@ -31,7 +31,7 @@ def rows():
     odd = [None, "", "\n \t\n", "a b c a b c", "x\n\x0bx\n x\nx", "# $ %& |<>*" * 9, "a " * 3000, "é🎉 " * 70,
            " ".join("abc"[i % 3] for i in range(99)), "q" * 50_000, clean(20_000)]
     out = [(i, t, "en", "s0", 1) for i, t in enumerate(odd)]
-    for k in range(600):
+    for k in range(1200):
         lang, source = rng.choice([("en", "s0"), ("en", "s1"), (None, "s0"), ("de", None)])
         # in s1 a third of all words carry a symbol: usual there, odd elsewhere
         text = clean(80)
@@ -39,8 +39,8 @@ def rows():
             text = " ".join(w + "#" * (rng.random() < 0.33) for w in text.split())
         out.append((100 + k, text, lang, source, 1))
     marked = " ".join(w + "#" * (i % 3 == 0) for i, w in enumerate(clean(90).split()))
-    out += [(1000, marked, "en", "s1", 1), (1001, marked, "en", "s0", 1), (1001, marked, "en", "s0", 1),
-            (1002, clean(90).upper().replace("W", "WXYZ"), "en", "s0", 1), (None, clean(90), "en", "s0", 1)]
+    out += [(2000, marked, "en", "s1", 1), (2001, marked, "en", "s0", 1), (2001, marked, "en", "s0", 1),
+            (2002, clean(90).upper().replace("W", "WXYZ"), "en", "s0", 1), (None, clean(90), "en", "s0", 1)]
     return out
 
 
@@ -55,8 +55,8 @@ def test_counts_and_verdicts(spark, rows):
         assert own == brute(texts[r["doc"]["doc_id"]]), r["doc"]["doc_id"]
         assert not (r["kept"] and r["base_failed"])
         kept.setdefault(r["doc"]["doc_id"], set()).add(r["kept"])
-    assert kept[1000] == {True} and kept[1001] == {False} and kept[1002] == {False} and kept[None] == {True}
-    assert all(kept[i] == {True} for i in range(100, 700))
+    assert kept[2000] == {True} and kept[2001] == {False} and kept[2002] == {False} and kept[None] == {True}
+    assert all(kept[i] == {True} for i in range(100, 1300))
     stay = quality_rules.keep(docs)
     assert stay.columns == docs.columns and stay.count() == sum(r["kept"] for r in got)
 
