@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rill.llm import bpe, packing, pii, quality_rules
-from rill.llm.common import table, vocabulary_file
+from rill.llm import bpe, langid, packing, pii, quality_cnn, quality_rules
+from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
 
@@ -39,3 +40,22 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of personal data by number and digest, and all spans."""
     return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality probability of every text; fold 1 is held out of training."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = fold(F.col("doc_id")) == 1
+    model = quality_cnn.train(docs, labels, ~held)
+    scored = quality_cnn.score(docs, model, carry=("doc_id",))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; fold 1 is held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    held = fold(F.col("doc_id")) == 1
+    named = langid.label(docs, langid.train(docs, ~held), carry=("doc_id",))
+    return named.select("doc_id", held.alias("held_out"), "lang_pred", "score")
