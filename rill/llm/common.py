@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a task; bounds a worker's memory.
 STEP_BYTES = 16 << 20
+#: Capital letters of ASCII read as small ones.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

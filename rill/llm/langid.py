@@ -28,12 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rill.llm.common import plain_text, raw, text_steps
+from rill.llm.common import LOWER, plain_text, raw, text_steps
 
 HIDDEN, WINDOW, SIDE_BY_SIDE, STRETCH = 12, 96, 2048, 960
-#: Capital letters of ASCII read as small ones.
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
 
 
 class Direction:

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,14 +36,43 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rill.llm.common import chunks, plain_text, shared_bytes, text_steps
+from rill.llm.common import LOWER, plain_text, raw, shared_bytes, text_steps, to_binary
 from rill.session import cut_lineage
 
-REMEMBERED = 400_000
+#: Words that a worker remembers (then it starts afresh), and words to a call.
+REMEMBERED, GROUP = 400_000, 500
+
+
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """As ``chunks``, for a tokenizer that drops white space and reads capital
+    letters as small ones: ASCII letters are made small, the blank before a
+    chunk is left out, and a full stop or comma after an ASCII letter starts a
+    chunk of its own, as it is a word of its own."""
+    ends, data = raw(plain_text(texts))
+    if not len(data):
+        return to_binary(np.zeros(1, np.int64), data), np.zeros(len(texts) + 1, np.int64)
+    if not ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():     # special tokens keep their case
+        data = LOWER[data]
+    blank = (data == 32) | (data == 10)
+    sure = (data > 32) & (data < 127)
+    sure[1:] |= (data[1:] >= 128) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
+    letter = (data >= 97) & (data <= 122)
+    cut = np.zeros(len(data), bool)
+    cut[1:] = blank[1:] & sure[:-1] | ((data[1:] == ord(".")) | (data[1:] == ord(","))) & letter[:-1]
+    cut[ends[:-1][ends[:-1] < len(data)]] = True
+    at = np.flatnonzero(cut)
+    before = np.searchsorted(at, ends)
+    gone = blank[at]                            # at most one byte of each chunk
+    stay = np.ones(len(data), bool)
+    stay[at[gone]] = False
+    at = at - (np.cumsum(gone) - gone)
+    return to_binary(np.append(at, len(data) - gone.sum()), data[stay]), before
 
 
 class LibraryTokens:
-    """Ids from the tokenizers library, chunk by chunk."""
+    """Ids from the tokenizers library.  Equal words of a batch are looked up
+    once; new ones are encoded many to a call, set apart by blanks, and told
+    apart by the end-of-word mark of their last token."""
 
     def __init__(self, file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,20 +81,48 @@ class LibraryTokens:
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
+    def one(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        out, plain, texts = {}, [], []
+        for w in new:
+            text = str(w, "utf-8", "replace")
+            if text.isalpha():                  # one word to the tokenizer, too
+                plain.append(w)
+                texts.append(text)
+            else:
+                out[w] = self.one(text)
+        for i in range(0, len(plain), GROUP):
+            group = plain[i:i + GROUP]
+            encoding = self.tokenizer.encode(" ".join(texts[i:i + GROUP]), add_special_tokens=False)
+            ids = np.array(encoding.ids, "<u4")
+            at = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(at) != len(group):           # letters that fall apart when made small
+                out.update((w, self.one(str(w, "utf-8", "replace"))) for w in group)
+                continue
+            data, first = ids.tobytes(), 0
+            for w, last in zip(group, at.tolist(), strict=True):
+                out[w] = data[first:last]
+                first = last
+        return out
+
     def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The chunks' ids (32-bit little-endian) and each text's first chunk."""
-        cut, before = chunks(plain_text(texts))
+        cut, before = words(texts)
         coded = cut.dictionary_encode()
-        keys = [bytes(c).strip(b" \n") for c in coded.dictionary.to_pylist()]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({k for k in keys if k not in self.known})
-        got = self.tokenizer.encode_batch_fast([str(k, "utf-8", "replace") for k in new], add_special_tokens=False)
-        fresh = {k: np.array(e.ids, "<u4").tobytes() for k, e in zip(new, got, strict=True)}
-        ids = pa.array([fresh[k] if k in fresh else self.known[k] for k in keys], pa.large_binary())
-        self.known.update((k, v) for k, v in fresh.items() if len(k) < 64)
+        keys = coded.dictionary.to_pylist()
+        known = self.known
+        fresh = self.learn([w for w in keys if w not in known])
+        ids = pa.array([fresh[w] if w in fresh else known[w] for w in keys], pa.large_binary())
+        if len(known) + len(fresh) > REMEMBERED:
+            known.clear()
+        known.update((k, v) for k, v in fresh.items() if len(k) < 64)
         return ids.take(coded.indices), before
 
 

@@ -66,7 +66,7 @@ class Model:
         self.out = rng.standard_normal(DENSE + 1).astype("f4") * 0.3
 
     def inputs(self, halves: np.ndarray, repeats: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.bytes[halves].reshape(len(halves), -1), repeats], 1)
+        return np.concatenate([self.bytes[halves].reshape(len(halves), HALF * DIM), repeats], 1)
 
     def pool(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Largest response of each filter per text, at least 0, and where."""
