@@ -103,7 +103,7 @@ def limits(measured: DataFrame) -> DataFrame:
         F.count("*").alias("n"), *(F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in MARGIN))
     merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in MARGIN)]
     wider = lambda *keys: groups.groupBy(*keys).agg(F.struct(*merged).alias("s"))
-    one = F.lit(1).alias("one")
+    one = (F.col("n") > 0).alias("one")
     own = groups.select("lang", "source", F.struct("n", *MARGIN).alias("own"), one)
     by_lang = wider("lang").select(F.col("lang").alias("l"), F.col("s").alias("by_lang"))
     whole = groups.select("*", one).groupBy("one").agg(F.struct(*merged).alias("whole"))

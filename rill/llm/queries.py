@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rill.llm import bpe, langid, packing, pii, quality_cnn, quality_rules
+from rill.llm import bpe, langid, neardup, packing, pii, quality_cnn, quality_rules
 from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -59,3 +59,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = fold(F.col("doc_id")) == 1
     named = langid.label(docs, langid.train(docs, ~held), carry=("doc_id",))
     return named.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates (its least doc_id) of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc.doc_id", "class_id")
