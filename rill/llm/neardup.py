@@ -168,4 +168,4 @@ def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("f"))
     first = first.select(F.col("f.row").alias("row"))
     stay = named.filter("compared").join(first, "row", "left_semi")
-    return stay.union(named.filter("not compared")).select("doc.*")
+    return stay.unionByName(named.filter("not compared")).select("doc.*")

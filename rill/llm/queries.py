@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rill.llm import bpe, langid, neardup, packing, pii, quality_cnn, quality_rules
+from rill.llm import bpe, chat, langid, neardup, packing, pii, quality_cnn, quality_rules
 from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -65,3 +65,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates (its least doc_id) of every document."""
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc.doc_id", "class_id")
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that speaks in control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-1).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.read_back(chat.format_turns(turns.union(hard)))
