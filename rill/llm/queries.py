@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rill.llm import bpe, chat, langid, neardup, packing, pii, quality_cnn, quality_rules
+from rill.llm import bpe, chat, langid, neardup, packing, pii, quality_cnn, quality_rules, warc
 from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -76,3 +76,9 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.read_back(chat.format_turns(turns.union(hard)))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, read back in order of the merged index."""
+    return warc.archive(table(spark, sf_dir, "pages"))
