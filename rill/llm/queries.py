@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rill.llm import bpe, chat, langid, neardup, packing, pii, quality_cnn, quality_rules, warc
+from rill.llm import bpe, chat, langid, neardup, packing, pii, quality_cnn, quality_rules, topk, warc
 from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -82,3 +82,26 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, read back in order of the merged index."""
     return warc.archive(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of every vector whose id is divisible by 100."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+ORACLES["op5_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id,
+         CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(x.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10
+"""
