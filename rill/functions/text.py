@@ -29,15 +29,9 @@ def first_part(text, sep: str) -> Column:
     return F.substring_index(_col(text), sep, 1)
 
 
-def lines(text) -> Column:
-    """Split a text into its lines (``\\n``)."""
-    return F.split(_col(text), "\n")
-
-
-def is_integer_text(c, max_digits: int = 18) -> Column:
-    """True when the text is a plain (optionally signed) integer that
-    fits a bigint; used before a cast so malformed counts are skipped."""
-    return _col(c).rlike(rf"^[+-]?[0-9]{{1,{max_digits}}}\z")
+def integer_text(c) -> Column:
+    """The integer that a text holds (38 digits at most), else null."""
+    return F.when(_col(c).rlike(r"^[+-]?[0-9]+\z"), _col(c).try_cast("decimal(38,0)"))
 
 
 def hashtags(text, cut: str = ",2021") -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rill.operators.graph.core import vertices_of
+from rill.operators.graph.propagate import propagate
 from rill.session import cut_lineage, release
 
 
@@ -50,102 +51,96 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _norm("v", "m", spokes.unionByName(centre))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def _print_of(e: DataFrame) -> tuple:
+    """Row count and an order-free checksum of an edge table."""
+    h = F.xxhash64("a", "b").cast("decimal(38,0)")
+    return tuple(e.agg(F.count(F.lit(1)), F.sum(h), F.bit_xor(F.xxhash64("b", "a"))).first())
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
     """``id, component`` for every vertex touching an edge (edges are
     taken as undirected; the component label is its smallest id)."""
     e = cut_lineage(_undirected(edges))
-    for _ in range(max_rounds):
-        nxt = cut_lineage(_small_star(_large_star(e)))
-        diff = (nxt.withColumn("n", F.lit(1)).join(e.withColumn("o", F.lit(1)), ["a", "b"], "full_outer")
-                .agg(F.count_if(F.col("o").isNull() | F.col("n").isNull()).alias("d")).first()["d"])
+    before = _print_of(e)
+    while True:
+        large = cut_lineage(_large_star(e))
+        nxt = cut_lineage(_small_star(large))
+        release(large)
         release(e)
-        e = nxt
-        if diff == 0:
+        e, now = nxt, _print_of(nxt)
+        if now == before:
             break
-    else:
-        raise RuntimeError("connected components did not converge")
+        before = now
     labels = _both_ways(e).groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("component"))
     return (vertices_of(edges).join(labels.withColumnRenamed("u", "id"), "id", "left")
             .select("id", F.coalesce("component", "id").alias("component")))
 
 
-def _min_label_forward(e: DataFrame, verts: DataFrame, max_iter: int) -> DataFrame:
+def _min_label_forward(e: DataFrame, verts: DataFrame) -> DataFrame:
     """Colour = smallest id that reaches the vertex (inside ``e``)."""
-    color = verts.select("id", F.col("id").alias("c"))
-    prev = None
-    for i in range(max_iter):
-        msg = (e.join(color.withColumnRenamed("id", "src"), "src")
-               .groupBy(F.col("dst").alias("id")).agg(F.min("c").alias("m")))
-        nxt = (color.join(msg, "id", "left")
-               .select("id", F.least("c", F.coalesce("m", "c")).alias("c"), F.col("c").alias("old")))
-        nxt = cut_lineage(nxt)
-        release(prev)
-        prev = nxt
-        if nxt.where(F.col("c") != F.col("old")).limit(1).count() == 0:
-            return nxt.select("id", "c")
-        color = nxt.select("id", "c")
-    raise RuntimeError("forward colouring did not converge")
-
-
-def _backward_from_roots(e: DataFrame, color: DataFrame, max_iter: int) -> DataFrame:
+    return propagate(e, verts.select("id", F.col("id").alias("value")), lambda v, _e: v, "min",
+                     lambda old, msg: F.least(old, msg)).withColumnRenamed("value", "c")
+
+
+def _backward_from_roots(e: DataFrame, color: DataFrame) -> DataFrame:
     """Vertices that reach their colour's root inside the colour."""
     same = (e.join(color.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
             .join(color.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
-            .where(F.col("cs") == F.col("cd")).select("src", "dst"))
-    same = cut_lineage(same)
-    reached = color.where(F.col("id") == F.col("c")).select("id")
-    frontier = reached
-    for _ in range(max_iter):
-        new = (same.join(frontier.withColumnRenamed("id", "dst"), "dst")
-               .select(F.col("src").alias("id")).distinct()
-               .join(reached, "id", "left_anti"))
-        new = cut_lineage(new)
-        if new.limit(1).count() == 0:
-            return reached
-        reached = cut_lineage(reached.unionByName(new))
-        frontier = new
-    raise RuntimeError("backward reachability did not converge")
-
-
-def strongly_connected_components(edges: DataFrame, max_iter: int = 10_000) -> DataFrame:
+            .where(F.col("cs") == F.col("cd")).select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    state = color.select("id", (F.col("id") == F.col("c")).cast("int").alias("value"))
+    reached = propagate(same, state, lambda v, _e: v, "max", lambda old, msg: F.greatest(old, msg))
+    return reached.where("value = 1").select("id")
+
+
+def strongly_connected_components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """``id, scc`` (smallest id of the strong component) for every
-    vertex touching an edge.  Runs to convergence (``max_iter`` only
-    guards against a bug)."""
+    vertex touching an edge.  Runs to the end; ``rounds`` asks for the partial
+    answer after that many colourings (vertices without one are left out)."""
     e = cut_lineage(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
     verts = cut_lineage(vertices_of(edges))
-    found = None
-    for _ in range(max_iter):
+    found = cut_lineage(verts.limit(0).select("id", F.col("id").alias("scc")))
+
+    def add(more: DataFrame) -> DataFrame:
+        new = cut_lineage(found.unionByName(more))
+        release(found)
+        return new
+
+    done = 0
+    while rounds is None or done < rounds:
         # trim: a vertex without in-edges or without out-edges is alone
         while True:
             has_in = e.select(F.col("dst").alias("id")).distinct()
             has_out = e.select(F.col("src").alias("id")).distinct()
-            core = verts.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi")
-            core = cut_lineage(core)
-            alone = verts.join(core, "id", "left_anti").select("id", F.col("id").alias("scc"))
-            alone = cut_lineage(alone)
-            if alone.limit(1).count() == 0:
+            core = cut_lineage(verts.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi"))
+            alone = cut_lineage(verts.join(core, "id", "left_anti").select("id", F.col("id").alias("scc")))
+            if alone.isEmpty():
+                release(core)
+                release(alone)
                 break
-            found = alone if found is None else found.unionByName(alone)
-            verts = core
-            e = cut_lineage(e.join(core.withColumnRenamed("id", "src"), "src", "left_semi")
-                            .join(core.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-        if verts.limit(1).count() == 0:
+            found = add(alone)
+            kept = cut_lineage(e.join(core.withColumnRenamed("id", "src"), "src", "left_semi")
+                               .join(core.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst"))
+            for used in (alone, verts, e):
+                release(used)
+            verts, e = core, kept
+        if verts.isEmpty():
             break
-        color = _min_label_forward(e, verts, max_iter)
-        members = _backward_from_roots(e, color, max_iter)
-        comp = color.join(members, "id", "left_semi").select("id", F.col("c").alias("scc"))
-        comp = cut_lineage(comp)
-        found = comp if found is None else found.unionByName(comp)
+        done += 1
+        color = cut_lineage(_min_label_forward(e, verts))
+        members = cut_lineage(_backward_from_roots(e, color))
+        found = add(color.join(members, "id", "left_semi").select("id", F.col("c").alias("scc")))
         # what is left can only form components inside one colour
-        rest = color.join(members, "id", "left_anti")
-        rest = cut_lineage(rest)
-        verts = rest.select("id")
-        e = (e.join(rest.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
-             .join(rest.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
-             .where(F.col("cs") == F.col("cd")).select("src", "dst"))
-        e = cut_lineage(e)
-        found = cut_lineage(found)
-    return found if found is not None else edges.sparkSession.createDataFrame([], "id long, scc long")
+        rest = cut_lineage(color.join(members, "id", "left_anti"))
+        kept = cut_lineage(e.join(rest.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
+                           .join(rest.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
+                           .where(F.col("cs") == F.col("cd")).select("src", "dst"))
+        left = cut_lineage(rest.select("id"))
+        for used in (color, members, rest, verts, e):
+            release(used)
+        verts, e = left, kept
+    release(e)
+    release(verts)
+    return found
 
 
 def component_sizes(labels: DataFrame, label: str = "component") -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rill.session import cut_lineage
+
 
 def vertices_of(edges: DataFrame) -> DataFrame:
     """Distinct vertex ids touching an edge (``id``)."""
@@ -84,3 +86,24 @@ def graph_summary(edges: DataFrame) -> DataFrame:
                           F.count_if(F.col("out_deg") > 0).alias("sources"),
                           F.count_if(F.col("in_deg") > 0).alias("targets"),
                           F.sum("out_deg").cast("long").alias("edges"))
+
+
+#: Out-edges of a vertex that are joined as one part.
+SPLIT = 100_000
+
+
+def split_hubs(edges: DataFrame, split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
+    """The edges, stored with a ``src_part``, and the vertices of more than one
+    part (``hub, parts``).  A vertex of out-degree d has ``ceil(d / split)``
+    parts, to which its edges are dealt by a hash."""
+    degree = edges.groupBy(F.col("src").alias("hub")).agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > split)
+    hubs = cut_lineage(degree.select("hub", F.ceil(F.col("d") / F.lit(split)).cast("int").alias("parts")))
+    e = edges.join(hubs, F.col("src") == F.col("hub"), "left")
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int")
+    return cut_lineage(e.withColumn("src_part", part).drop("hub", "parts")), hubs
+
+
+def to_parts(values: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``values (id, ...)`` with a row for each part of the vertex (``part``)."""
+    rows = values.join(hubs, F.col("id") == F.col("hub"), "left")
+    return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("hub", "parts")

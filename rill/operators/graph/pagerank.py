@@ -1,9 +1,9 @@
 """PageRank variants as DataFrame loops.
 
 Each round is ``edges ⋈ ranks`` on ``src`` followed by a sum per ``dst``.
-The edge side never changes, so it is hash partitioned on ``src`` once and
-persisted; the rank table is re-partitioned by its aggregation on ``dst``.
-Lineage is cut with reliable checkpoints every few rounds, so a lost
+The edges are stored once with their weights; a vertex with very many
+out-edges is dealt into parts (``core.split_hubs``) and its rank sent to each,
+so that it is no hot key.  Lineage is cut with reliable checkpoints every few rounds, so a lost
 executor replays at most those rounds.
 """
 
@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rill.operators.graph.core import split_hubs, to_parts
 from rill.session import cut_lineage, release
 
 
@@ -32,23 +33,28 @@ def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85,
     lost.  Duplicate edges count.  ``partitions`` pre-partitions the edges
     on ``src`` (the co-partitioned variant).
     """
-    e = _weighted_edges(edges)
+    e, hubs = split_hubs(_weighted_edges(edges))
+    stored = e
     if partitions:
-        e = e.repartition(partitions, "src")
-    e = e.persist(StorageLevel.MEMORY_AND_DISK)
+        e = e.repartition(partitions, "src", "src_part").persist(StorageLevel.MEMORY_AND_DISK)
     ranks = e.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     ranks_cut = None
     base = 1.0 - damping
     for i in range(rounds):
-        contrib = e.join(ranks, e.src == ranks.id).select(
-            "dst", (F.col("rank") / F.col("outdeg")).alias("c"))
+        contrib = e.join(to_parts(ranks, hubs), (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
+        contrib = contrib.select("dst", (F.col("rank") / F.col("outdeg")).alias("c"))
         ranks = (contrib.groupBy(F.col("dst").alias("id"))
                  .agg((F.lit(base) + F.lit(damping) * F.sum("c")).alias("rank")))
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
             prev, ranks = ranks_cut, cut_lineage(ranks)
             ranks_cut = ranks
             release(prev)
-    return ranks
+    done = cut_lineage(ranks)
+    for used in (ranks_cut, stored, hubs):
+        release(used)
+    if partitions:
+        e.unpersist()
+    return done
 
 
 def personalized_pagerank(edges: DataFrame, source: int, rounds: int = 20,
@@ -62,14 +68,14 @@ def personalized_pagerank(edges: DataFrame, source: int, rounds: int = 20,
     below ``tol`` (when given).  No normalisation.  Only vertices with a
     positive rank are returned.
     """
-    e = _weighted_edges(edges).persist(StorageLevel.MEMORY_AND_DISK)
+    e, hubs = split_hubs(_weighted_edges(edges))
     spark = edges.sparkSession
     src_row = spark.range(1).select(F.lit(source).cast("long").alias("id"))
     ranks = src_row.withColumn("rank", F.lit(1.0))
     ranks_cut = None
     for i in range(rounds):
-        contrib = e.join(ranks, e.src == ranks.id).select(
-            F.col("dst").alias("id"), (F.col("rank") / F.col("outdeg")).alias("c"))
+        contrib = e.join(to_parts(ranks, hubs), (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
+        contrib = contrib.select(F.col("dst").alias("id"), (F.col("rank") / F.col("outdeg")).alias("c"))
         reset_row = src_row.withColumn("c", F.lit(0.0))
         summed = contrib.unionByName(reset_row).groupBy("id").agg(F.sum("c").alias("s"))
         new = summed.select("id", (F.when(F.col("id") == F.lit(source), F.lit(reset))
@@ -89,4 +95,7 @@ def personalized_pagerank(edges: DataFrame, source: int, rounds: int = 20,
             prev, ranks = ranks_cut, cut_lineage(ranks)
             ranks_cut = ranks
             release(prev)
-    return ranks
+    done = cut_lineage(ranks)
+    for used in (ranks_cut, e, hubs):
+        release(used)
+    return done

@@ -1,27 +1,25 @@
 """A vertex-program loop (initial state, message, merge, update).
 
-Each superstep joins the *active* vertices (those whose value changed in
-the previous step) to their out-edges, merges the messages per
-destination with one aggregate, and updates only vertices that received
-something.  It stops when no value changes or after ``max_iter`` steps.
-Each step reads the previous state once, so the plan grows linearly;
-``steps_per_job`` steps run as one Spark job, after which the state is
-written to the shared checkpoint folder and the stop test runs.
+With ``only_changed`` each superstep joins the *frontier* -- the vertices whose
+value changed in the step before -- to their out-edges; vertices that did not
+change cost no edge rows.  Messages are merged per destination by one
+aggregate, together with the old values.  Every step's state is stored in the
+shared checkpoint folder and the state before is deleted, so a lost executor
+replays one step.
+
+A vertex with very many out-edges is no hot key: its edges are dealt into parts
+of ``SPLIT`` and its value is sent to each part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rill.session import cut_lineage, loop_partitions, release
-
-def msg_type(trip: DataFrame, message) -> str:
-    """Spark type of the message expression (for typed null placeholders)."""
-    return trip.select(message(F.col("value"), trip).alias("m")).schema["m"].dataType.simpleString()
+from rill.operators.graph.core import split_hubs, to_parts
+from rill.session import cut_lineage, release
 
 
 MERGES: dict[str, Callable[[Column], Column]] = {
@@ -33,8 +31,7 @@ def propagate(edges: DataFrame, state: DataFrame,
               message: Callable[[Column, DataFrame], Column],
               merge: str | Callable[[Column], Column],
               update: Callable[[Column, Column], Column],
-              max_iter: int = 100, only_changed: bool = True,
-              steps_per_job: int = 8, raise_on_overrun: bool = False) -> DataFrame:
+              max_iter: int | None = None, only_changed: bool = True) -> DataFrame:
     """Run a vertex program over ``edges (src, dst, ...)``.
 
     ``state`` holds ``id, value``.  ``message(src_value, edge_row)`` gives the
@@ -43,48 +40,31 @@ def propagate(edges: DataFrame, state: DataFrame,
     gives the new value of a vertex that received messages.  With
     ``only_changed`` only vertices whose value changed send in the next
     step (Pregel); otherwise every vertex sends every step (repeated
-    neighbour aggregation).  Returns the final ``id, value``.
+    neighbour aggregation).  Runs until no value changes; ``max_iter`` asks for
+    the state after that many steps instead.  Returns the final ``id, value``.
     """
     merge_fn = MERGES[merge] if isinstance(merge, str) else merge
-    # the edge side never changes: partition it on ``src`` once and keep it
-    parts = loop_partitions(edges.sparkSession)
-    e = edges.repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
+    e, hubs = split_hubs(edges)
     vtype = state.schema["value"].dataType
     state = cut_lineage(state.select("id", "value", F.lit(True).alias("changed")))
-    # the message type is fixed: find it once (every DataFrame call analyses
-    # the whole fused plan, so per-step schema lookups would cost O(steps^2))
-    mtype = msg_type(state.join(e, state.id == e.src, "left"), message)
-    state_cut = state
-    step = 0
-    while step < max_iter:
-        # ``steps_per_job`` supersteps are chained into one plan; each reads
-        # the previous state once (its own value plus the messages it sends
-        # come out of one join with the out-edges), so the plan is linear
-        for _ in range(min(steps_per_job, max_iter - step)):
-            trip = state.join(e, state.id == e.src, "left")
-            sends = F.col("dst").isNotNull()
-            if only_changed:
-                sends = sends & F.col("changed")
-            msg = F.when(sends, message(F.col("value"), trip))
-            rows = trip.select(F.explode(F.array(
-                F.struct(F.col("id").alias("id"), F.col("value").alias("self"),
-                         F.lit(None).cast(mtype).alias("msg")),
-                F.struct(F.col("dst").alias("id"), F.lit(None).cast(vtype).alias("self"),
-                         msg.alias("msg")))).alias("r"))
-            agg = (rows.groupBy(F.col("r.id").alias("id"))
-                   .agg(F.max("r.self").alias("old"), merge_fn(F.col("r.msg")).alias("msg")))
-            new_value = F.when(F.col("msg").isNull(), F.col("old")).otherwise(
-                update(F.col("old"), F.col("msg")))
-            state = agg.select("id", new_value.alias("value"),
-                               (~new_value.eqNullSafe(F.col("old"))).alias("changed")) \
-                .where(F.col("id").isNotNull())
-            step += 1
-        prev, state = state_cut, cut_lineage(state)
-        state_cut = state
+    mtype, step = None, 0
+    while max_iter is None or step < max_iter:
+        step += 1
+        senders = state.where("changed") if only_changed else state
+        trip = to_parts(senders.select("id", "value"), hubs).join(
+            e, (F.col("id") == F.col("src")) & (F.col("part") == F.col("src_part")))
+        sent = trip.select(F.col("dst").alias("id"), message(F.col("value"), trip).alias("msg"))
+        mtype = mtype or sent.schema["msg"].dataType
+        rows = state.select("id", F.col("value").alias("self"), F.lit(True).alias("own"), F.lit(None).cast(mtype).alias("msg"))
+        rows = rows.unionByName(sent.select("id", F.lit(None).cast(vtype).alias("self"), F.lit(False).alias("own"), "msg"))
+        agg = rows.groupBy("id").agg(F.max("self").alias("old"), F.max("own").alias("own"), merge_fn(F.col("msg")).alias("msg"))
+        value = F.when(F.col("msg").isNull(), F.col("old")).otherwise(update(F.col("old"), F.col("msg")))
+        agg = agg.where("own")
+        prev, state = state, cut_lineage(agg.select("id", value.alias("value"), (~value.eqNullSafe(F.col("old"))).alias("changed")))
         release(prev)
         # a step without any change is a fixpoint: later steps change nothing
-        if state.where("changed").limit(1).count() == 0:
-            return state.select("id", "value")
-    if raise_on_overrun:
-        raise RuntimeError(f"vertex program did not converge in {max_iter} steps")
+        if state.where("changed").isEmpty():
+            break
+    release(e)
+    release(hubs)
     return state.select("id", "value")

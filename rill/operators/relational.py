@@ -90,18 +90,17 @@ def pivot_ranks(df: DataFrame, key: str, rank: str, value: str, ranks: Sequence[
     return out.na.drop("any", subset=[f"{prefix}{r}" for r in ranks])
 
 
-def union_counts(parts: dict[str, DataFrame]) -> DataFrame:
-    """Row count of every part and of their union-all, one pass.
-
-    The union is tagged by part and counted once with a rollup, so the
-    ``all`` row comes from the same scan as the part rows.
-    """
+def union_counts(parts: dict[str, DataFrame], whole: DataFrame) -> DataFrame:
+    """Row count of every part, of their union-all (by one rollup over
+    the tagged union) and, counted on its own, of the table they came from, so
+    that rows that no part took are seen."""
     tagged = None
     for name, part in parts.items():
         t = part.select(F.lit(name).alias("part"))
         tagged = t if tagged is None else tagged.unionByName(t)
-    counted = tagged.rollup("part").agg(F.count(F.lit(1)).alias("rows"))
-    return counted.select(F.coalesce("part", F.lit("all")).alias("part"), "rows")
+    counted = tagged.rollup("part").agg(F.count(F.lit(1)).alias("rows"), F.grouping("part").alias("all"))
+    counted = counted.select(F.when(F.col("all") == 1, "all").otherwise(F.col("part")).alias("part"), "rows")
+    return counted.unionByName(whole.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("table").alias("part"), "rows"))
 
 
 def merge_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
@@ -120,82 +119,22 @@ def merge_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
-                  out: str = "nxt", partitions: int | None = None,
-                  max_group_rows: int = 1_000_000) -> DataFrame:
-    """``lead(value) over (partition by group order by order)`` without
-    putting a whole group into one task.
-
-    One aggregate finds the largest group; while it holds at most
-    ``max_group_rows`` rows the plain window is safe and is used.  Otherwise
-    rows are range partitioned on ``(group, *order)``, so a very large group
-    is split over several tasks.  Each task walks its sorted rows in Arrow
-    batches and sets the successor inside the partition; the last row of a
-    partition takes the first row of the next non-empty partition when it is
-    of the same group.  Those first rows form a table with one row per
-    partition, the only thing combined across tasks.  ``(group, *order)``
-    should be unique for a reproducible answer.  Returns ``group, value, out``.
+                  out: str = "nxt") -> DataFrame:
+    """``lead(value) over (partition by group order by order)`` without putting
+    a group into one task: rows get dense numbers along ``(group, *order)``
+    (range partitioned, so a large group is spread), and a row's successor is
+    the row with the next number, if it is of the same group.  Null groups are
+    one group; ``(group, *order)`` should be unique for a reproducible answer.
+    Returns ``group, value, out``.
     """
-    import numpy as np
-    import pandas as pd
-
+    from rill.operators.sorting import add_row_index
     from rill.session import cut_lineage
 
-    spark = df.sparkSession
-    keys = [group, *order]
-    largest = df.groupBy(group).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
-    if (largest or 0) <= max_group_rows:
-        w = Window.partitionBy(group).orderBy(*order)
-        return df.select(group, value, F.lead(value).over(w).alias(out))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gtype = df.schema[group].dataType.simpleString()
-    vtype = df.schema[value].dataType.simpleString()
-    srt = (df.select(*dict.fromkeys([*keys, value]))
-           .repartitionByRange(n, *keys).sortWithinPartitions(*keys))
-
-    def walk(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        pend = None                      # last row of the previous batch: (g, v, first)
-        first = True
-
-        def frame(g, v, nx, fst, lst):
-            return pd.DataFrame({group: g, value: v, out: pd.array(nx, dtype="object"),
-                                 "__pid": np.full(len(g), pid, dtype=np.int32),
-                                 "__first": fst, "__last": lst})
-
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            g, v = pdf[group].to_numpy(), pdf[value].to_numpy()
-            if pend is not None:
-                pg, pv, pf = pend
-                yield frame([pg], [pv], [v[0] if g[0] == pg else None], [pf], [False])
-            nx = np.empty(len(g), dtype=object)
-            nx[:-1] = np.where(g[1:] == g[:-1], v[1:], None)
-            fst = np.zeros(len(g), dtype=bool)
-            fst[0] = first
-            first = False
-            if len(g) > 1:
-                yield frame(g[:-1], v[:-1], nx[:-1], fst[:-1], np.zeros(len(g) - 1, dtype=bool))
-            pend = (g[-1], v[-1], bool(fst[-1]))
-        if pend is not None:
-            pg, pv, pf = pend
-            yield frame([pg], [pv], [None], [pf], [True])
-
-    walked = cut_lineage(srt.mapInPandas(
-        walk, f"{group} {gtype}, {value} {vtype}, {out} {vtype}, "
-              "__pid int, __first boolean, __last boolean"))
-    heads = walked.where("__first").select("__pid", F.col(group).alias("__g"),
-                                           F.col(value).alias("__v"))
-    w = Window.orderBy("__pid")          # one row per non-empty partition
-    nxt_head = heads.select("__pid", F.lead("__g").over(w).alias("__ng"),
-                            F.lead("__v").over(w).alias("__nv"))
-    if n <= 1_000_000:                   # one row per partition: safe to broadcast
-        nxt_head = F.broadcast(nxt_head)
-    fixed = F.when(F.col("__last") & (F.col("__ng") == F.col(group)), F.col("__nv"))
-    return (walked.join(nxt_head, "__pid", "left")
-            .select(group, value, F.coalesce(F.col(out), fixed).alias(out)))
+    rows = add_row_index(df.select(*dict.fromkeys([group, *order, value])), [group, *order], "__ix")
+    rows = cut_lineage(rows.select(group, value, "__ix"))
+    after = rows.select(F.col(group).alias("__g"), F.col(value).alias("__v"), (F.col("__ix") - 1).alias("__ix"))
+    same = F.col(group).eqNullSafe(F.col("__g"))
+    return rows.join(after, "__ix", "left").select(group, value, F.when(same, F.col("__v")).alias(out))
 
 
 def id_ends_with(col: str | Column, suffix: str) -> Column:

@@ -1,202 +1,65 @@
-"""User-user co-occurrence over a (user, item) table, scaled as a blocked
-sparse matrix product.
-
-The naive plan -- self-join the table on item -- emits deg(item)^2 rows per
-item through the shuffle; one popular item then produces most of the
-job's data in a single reduce task.  Here the product ``A·Aᵀ`` is blocked
-instead:
-
-* users are hashed into ``B`` blocks; a (user, item) row of block ``b`` is
-  sent to the block pairs ``(min(b, x), max(b, x))`` for every block ``x``
-  that holds the same item (found from the distinct (item, block) set), so
-  a rare item is sent almost nowhere and a popular one to at most ``B``
-  pairs; each task sees two bounded slices of the table;
-* a user with very many items is handled by also slicing the item axis
-  (``item_slices``); the partial counts are then summed by a shuffle;
-* inside a task, shared counts are accumulated with numpy (sorted item
-  ranges, no per-item Python loop) and -- when one slice is enough -- the
-  per-user top-k is taken right there, so only ``k`` candidates per user and
-  block pair reach the final window.
-
-The score is computed from the shared count and both users' item counts,
-which travel with the rows.
+"""User-user co-occurrence over a (user, item) table, in DataFrame operators.
+
+Users of the same item are paired by one equi-join on the item, with
+``u1 < u2`` so that every pair is built once, counted by one aggregate (partial
+counts before the shuffle) and mirrored afterwards.
+
+An item with many users would put all its pairs into one join task.  So an item
+of degree d is dealt into ``ceil(d / SPLIT)`` parts: on the left each row goes
+to one part, on the right to all of them.  A rare item has one part and is not
+repeated at all, a hot one is spread over many tasks, and every pair still
+meets exactly once.  The score follows from the shared count and both users'
+item counts, which travel with the rows.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PAIR_SCHEMA = "u1 long, u2 long, shared long, n1 long, n2 long"
-
-# Upper bound of pair rows materialised at once inside one task.
-_CHUNK_PAIRS = 4_000_000
-
+from rill.session import cut_lineage
 
-def _scores(kind: str, shared, n1, n2):
-    shared = np.asarray(shared, dtype=np.float64)
-    if kind == "jaccard":
-        return shared / (np.asarray(n1, dtype=np.float64) + n2 - shared)
-    if kind == "overlap":           # shared / (n1 * n2): the cross-join draft's ratio
-        return shared / (np.asarray(n1, dtype=np.float64) * n2)
-    if kind == "shared":
-        return shared
-    raise ValueError(kind)
+#: Users of an item in one part of the join's left side.
+SPLIT = 2_000
 
 
 def score_column(kind: str, shared="shared", n1="n1", n2="n2"):
-    """The same score as a Spark column (for the final ranking)."""
+    """The score of a pair as a column."""
     s, a, b = F.col(shared), F.col(n1), F.col(n2)
     if kind == "jaccard":
         return s / (a + b - s)
-    if kind == "overlap":
+    if kind == "overlap":           # shared / (n1 * n2): the cross-join draft's ratio
         return s / (a * b)
     if kind == "shared":
         return s.cast("double")
     raise ValueError(kind)
 
 
-def _pair_counts(left: pd.DataFrame, right: pd.DataFrame, diagonal: bool) -> pd.DataFrame:
-    """Shared-item counts for every (left user, right user) pair, u1 != u2.
-
-    ``left``/``right`` hold columns ``user, item, n``.  Off the diagonal the
-    result holds both directions, so every ordered pair appears once overall.
-    """
-    lu, linv = np.unique(left["user"].to_numpy(), return_inverse=True)
-    ru, rinv = np.unique(right["user"].to_numpy(), return_inverse=True)
-    ln = left.groupby("user")["n"].first().reindex(lu).to_numpy()
-    rn = right.groupby("user")["n"].first().reindex(ru).to_numpy()
-    r_items = right["item"].to_numpy()
-    order = np.argsort(r_items, kind="stable")
-    r_items, r_users = r_items[order], rinv[order]
-    l_items = left["item"].to_numpy()
-    start = np.searchsorted(r_items, l_items, side="left")
-    stop = np.searchsorted(r_items, l_items, side="right")
-    cnt = stop - start
-    keep = cnt > 0
-    start, cnt, l_users = start[keep], cnt[keep], linv[keep]
-    n_right = len(ru)
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-    # Expand the per-row item ranges chunk by chunk to bound memory.
-    bounds = np.cumsum(cnt)
-    lo = 0
-    while lo < len(cnt):
-        base = bounds[lo - 1] if lo else 0
-        hi = int(np.searchsorted(bounds, base + _CHUNK_PAIRS, side="right"))
-        hi = max(hi, lo + 1)
-        c = cnt[lo:hi]
-        total = int(c.sum())
-        offs = np.repeat(np.cumsum(c) - c, c)
-        pos = np.arange(total, dtype=np.int64) - offs + np.repeat(start[lo:hi], c)
-        codes = np.repeat(l_users[lo:hi].astype(np.int64), c) * n_right + r_users[pos]
-        u, k = np.unique(codes, return_counts=True)
-        parts.append((u, k))
-        lo = hi
-    if not parts:
-        return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("u1", "u2", "shared", "n1", "n2")})
-    codes = np.concatenate([p[0] for p in parts])
-    counts = np.concatenate([p[1] for p in parts])
-    if len(parts) > 1:
-        codes, inv = np.unique(codes, return_inverse=True)
-        counts = np.bincount(inv, weights=counts).astype(np.int64)
-    li, ri = codes // n_right, codes % n_right
-    u1, u2 = lu[li], ru[ri]
-    out = pd.DataFrame({"u1": u1, "u2": u2, "shared": counts.astype(np.int64),
-                        "n1": ln[li], "n2": rn[ri]})
-    if diagonal:
-        return out[out.u1 != out.u2]
-    mirror = pd.DataFrame({"u1": out.u2, "u2": out.u1, "shared": out.shared,
-                           "n1": out.n2, "n2": out.n1})
-    return pd.concat([out, mirror], ignore_index=True)
-
-
-def _local_top(pairs: pd.DataFrame, mode: str, score: str, k: int, rank_fn: str) -> pd.DataFrame:
-    if mode == "all" or pairs.empty:
-        return pairs
-    s = _scores(score, pairs.shared.to_numpy(), pairs.n1.to_numpy(), pairs.n2.to_numpy())
-    pairs = pairs.assign(_s=s)
-    if mode == "global":
-        top = pairs.sort_values(["_s", "u1", "u2"], ascending=[False, True, True]).head(k)
-        return top.drop(columns="_s")
-    # per-user top-k: row_number (total order: score desc, u2 asc) or rank (ties kept)
-    pairs = pairs.sort_values(["u1", "_s", "u2"], ascending=[True, False, True])
-    if rank_fn == "row_number":
-        keep = pairs.groupby("u1").cumcount() < k
-    else:
-        keep = pairs.groupby("u1")["_s"].rank(method="min", ascending=False) <= k
-    return pairs[keep.to_numpy()].drop(columns="_s")
-
-
-def plan_blocks(n_rows: int, max_user_rows: int, parallelism: int,
-                rows_per_block: int = 8_000_000) -> tuple[int, int]:
-    """Choose (user blocks, item slices) from the table's size.
-
-    A row is routed to at most ``blocks`` tasks (fewer for rare items), so
-    the shuffle volume is at most ``blocks x rows``: blocks are as large as one task's memory
-    allows (``rows_per_block`` rows, so a block pair task holds at most
-    twice that), and only as many as give two block pairs per core.  Item
-    slices split a user whose own rows exceed a quarter block (a heavy user
-    would otherwise fill one block alone).
-    """
-    blocks = max(1, math.ceil(n_rows / rows_per_block))
-    while blocks * (blocks + 1) // 2 < 2 * parallelism:
-        blocks += 1
-    slices = max(1, math.ceil(max_user_rows / max(1, rows_per_block // 4)))
-    return blocks, slices
+def unordered_pairs(baskets: DataFrame, user: str = "user_id", item: str = "item_id", *,
+                    split: int = SPLIT) -> DataFrame:
+    """``u1, u2, shared, n1, n2`` for every pair ``u1 < u2`` of users that
+    share an item; ``n1``/``n2`` are the users' distinct item counts."""
+    rows = baskets.select(F.col(user).alias("user"), F.col(item).alias("item")).dropna().distinct()
+    n_items = cut_lineage(rows.groupBy("user").agg(F.count(F.lit(1)).alias("n")))
+    parts = cut_lineage(rows.groupBy("item").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+                        .select("item", F.ceil(F.col("d") / F.lit(split)).cast("int").alias("parts")))
+    rows = rows.join(n_items, "user").join(parts, "item")
+    left = rows.select("item", F.pmod(F.xxhash64("user"), F.col("parts")).cast("int").alias("part"),
+                       F.col("user").alias("u1"), F.col("n").alias("n1"))
+    right = rows.select("item", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                        F.col("user").alias("u2"), F.col("n").alias("n2"))
+    met = left.join(right, ["item", "part"]).where(F.col("u1") < F.col("u2"))
+    return met.groupBy("u1", "u2", "n1", "n2").agg(F.count(F.lit(1)).alias("shared")).select(
+        "u1", "u2", "shared", "n1", "n2")
 
 
 def co_occurrence(baskets: DataFrame, user: str = "user_id", item: str = "item_id", *,
-                  mode: str = "all", score: str = "jaccard", k: int = 3,
-                  rank_fn: str = "row_number", blocks: int | None = None,
-                  item_slices: int | None = None) -> DataFrame:
-    """Ordered user pairs (u1 != u2) sharing at least one item.
-
-    Returns ``u1, u2, shared, n1, n2`` where ``n1``/``n2`` are the users'
-    distinct item counts.  ``mode``:
-
-    * ``"all"`` -- every pair;
-    * ``"user"`` -- a superset of each user's top ``k`` by ``score`` (the
-      caller applies the final window); ``rank_fn`` as in SQL;
-    * ``"global"`` -- a superset of the global top ``k`` pairs.
-    """
-    pairs_in = baskets.select(F.col(user).cast("long").alias("user"),
-                              F.col(item).cast("long").alias("item")).distinct()
-    degree = pairs_in.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    if blocks is None or item_slices is None:
-        st = degree.agg(F.sum("n").alias("rows"), F.max("n").alias("mx")).first()
-        par = baskets.sparkSession.sparkContext.defaultParallelism
-        b, s = plan_blocks(int(st["rows"] or 0), int(st["mx"] or 0), par)
-        blocks = blocks or b
-        item_slices = item_slices or s
-    blk = F.pmod(F.xxhash64("user"), F.lit(blocks)).cast("int")
-    rows = pairs_in.join(degree, "user").withColumn("b", blk)
-    # a row only meets users of blocks that hold its item: route it to those
-    # block pairs alone (replication min(deg(item), B) instead of B)
-    item_blocks = rows.select("item", F.col("b").alias("x")).distinct()
-    routed = (rows.join(item_blocks, "item")
-              .select("user", "item", "n", "b",
-                      F.least("b", "x").alias("ti"), F.greatest("b", "x").alias("tj"),
-                      F.pmod(F.xxhash64("item"), F.lit(item_slices)).cast("int").alias("sl")))
-    one_slice = item_slices == 1
-    local_mode = mode if one_slice else "all"
-
-    def task(pdf: pd.DataFrame) -> pd.DataFrame:
-        ti, tj = int(pdf.ti.iloc[0]), int(pdf.tj.iloc[0])
-        left = pdf[pdf.b == ti]
-        right = left if ti == tj else pdf[pdf.b == tj]
-        pairs = _pair_counts(left, right, diagonal=(ti == tj))
-        return _local_top(pairs, local_mode, score, k, rank_fn)
-
-    out = routed.groupBy("ti", "tj", "sl").applyInPandas(task, schema=PAIR_SCHEMA)
-    if not one_slice:
-        out = (out.groupBy("u1", "u2")
-               .agg(F.sum("shared").alias("shared"), F.first("n1").alias("n1"),
-                    F.first("n2").alias("n2")))
-    return out
+                  split: int = SPLIT) -> DataFrame:
+    """The same pairs in both orders (u1 != u2)."""
+    both = F.explode(F.array(F.struct("u1", "u2", "shared", "n1", "n2"),
+                             F.struct(F.col("u2").alias("u1"), F.col("u1").alias("u2"), "shared",
+                                      F.col("n2").alias("n1"), F.col("n1").alias("n2"))))
+    return unordered_pairs(baskets, user, item, split=split).select(both.alias("p")).select("p.*")
 
 
 def top_k_similar(baskets: DataFrame, user: str = "user_id", item: str = "item_id", *,
@@ -207,8 +70,7 @@ def top_k_similar(baskets: DataFrame, user: str = "user_id", item: str = "item_i
     Columns ``u1, u2, shared, n1, n2, all_cnt, sim, sim_rank``; order is
     score descending then ``u2`` ascending (ties broken by the smaller id).
     """
-    cand = co_occurrence(baskets, user, item, mode="user", score=score, k=k,
-                         rank_fn=rank_fn, **kw)
+    cand = co_occurrence(baskets, user, item, **kw)
     sim = score_column(score)
     fn = {"row_number": F.row_number, "rank": F.rank}[rank_fn]
     order = [F.col("sim").desc()] + ([F.col("u2").asc()] if rank_fn == "row_number" else [])
@@ -223,6 +85,8 @@ def top_pairs(baskets: DataFrame, user: str = "user_id", item: str = "item_id",
               k: int = 10, **kw) -> DataFrame:
     """M7: the ``k`` ordered user pairs with the most shared items
     (ties: smaller u1, then smaller u2)."""
-    cand = co_occurrence(baskets, user, item, mode="global", score="shared", k=k, **kw)
+    # the first k pairs in either order come from the first k with u1 < u2
+    half = unordered_pairs(baskets, user, item, **kw).orderBy(F.col("shared").desc(), "u1", "u2").limit(k)
+    cand = half.select("u1", "u2", "shared").union(half.select("u2", "u1", "shared"))
     return (cand.orderBy(F.col("shared").desc(), "u1", "u2").limit(k)
             .select("u1", "u2", F.col("shared").alias("common_cnt")))

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from rill.session import cut_lineage
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id << 33 | position
-_MAX_BROADCAST_PARTITIONS = 1_000_000  # offset rows (16 bytes each) small enough to broadcast
 
 
 def _cols(cols) -> list[Column]:
@@ -125,8 +124,8 @@ def add_row_index(df: DataFrame, order, name: str = "row_index",
     total order for a reproducible answer), computed in two passes.
 
     The range-sorted rows are checkpointed, so both passes read the same
-    partitions; the offset table has one row per partition, so joining it
-    back is a broadcast of a size bounded by the partition count.
+    partitions; the offset table has one row per partition, and Spark picks
+    the join by its size.
     """
     order = _cols(order)
     mono = "__mono"
@@ -139,10 +138,6 @@ def add_row_index(df: DataFrame, order, name: str = "row_index",
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     local = F.col(mono).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     off = offsets.select("__pid", "__off")
-    # one offset row per partition: broadcast while the partition count is
-    # within bounds (a plain join beyond)
-    if n_parts <= _MAX_BROADCAST_PARTITIONS:
-        off = F.broadcast(off)
     return (ranked.join(off, pid == F.col("__pid"))
             .withColumn(name, F.col("__off") + local)
             .drop(mono, "__pid", "__off"))

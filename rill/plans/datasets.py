@@ -47,9 +47,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
            .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
            .agg(F.sum("l_quantity").alias("qty")))
     rating = F.least(F.lit(5.0), F.lit(1.0) + F.floor((F.col("qty") - 1) / 10)).cast("double")
-    return agg.select(F.col("user_id").cast("int").alias("user_id"),
-                      F.col("item_id").cast("int").alias("item_id"),
-                      rating.alias("rating"))
+    return agg.select("user_id", "item_id", rating.alias("rating"))
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +64,11 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tweet lines ``(timestamp, value)``: ``#<event_type> user<id>,2021-01-01``."""
-    ev = table(spark, sf_dir, "events")
+    return tweet_lines(table(spark, sf_dir, "events"))
+
+
+def tweet_lines(ev: DataFrame) -> DataFrame:
+    """The lines of ``events`` rows, batch or stream."""
     return ev.select(
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("#"), F.col("event_type"), F.lit(" user"),
@@ -115,8 +117,6 @@ def _order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _next_in_order(parts: DataFrame, order: list[str]) -> DataFrame:
-    # successor of each part inside its order; a huge order is split over
-    # tasks by range partitioning instead of forming one window partition
     nxt = next_in_group(parts, "o", order, "p")
     return (nxt.where(F.col("nxt").isNotNull())
             .select(F.col("p").alias("src"), F.col("nxt").alias("dst")))
@@ -145,6 +145,18 @@ def cyclic_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dag_edges(spark, sf_dir).unionByName(back).distinct()
 
 
+def layered_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acyclic graph of bounded depth over the whole tables: nation ->
+    customer -> order -> part; a vertex is ``4 * key + layer``."""
+    def layer(name: str, src: str, dst: str, k: int) -> DataFrame:
+        vertex = lambda c, n: F.col(c).cast("long") * 4 + n
+        return table(spark, sf_dir, name).select(vertex(src, k).alias("src"), vertex(dst, k + 1).alias("dst"))
+
+    return (layer("customer", "c_nationkey", "c_custkey", 0)
+            .unionByName(layer("orders", "o_custkey", "o_orderkey", 1))
+            .unionByName(layer("lineitem", "l_orderkey", "l_partkey", 2)))
+
+
 LINEITEM_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                   "l_shipdate")

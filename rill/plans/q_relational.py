@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rill.functions.text import is_integer_text, space_tokens, tokens
+from rill.functions.text import integer_text, space_tokens, tokens
 from rill.operators.relational import (argmax, average_per_distinct, complete_row_counts,
                                        count_by, share_of_total, top_n, union_counts)
 from rill.plans import datasets as ds
 from rill.plans.registry import query
-from rill.sources.tables import spread, table
+from rill.sources.tables import table
 
 # Oracle regex: the same ASCII whitespace class as rill.functions.text.WHITESPACE
 _WS = r"[\t\n\x0B\f\r ]+"
@@ -23,7 +23,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("text"))
+    docs = table(spark, sf_dir, "documents").select("text")
     words = docs.select(F.explode(tokens("text")).alias("word"))
     return count_by(words, "word")
 
@@ -35,29 +35,32 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count_single_space(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("text"))
+    docs = table(spark, sf_dir, "documents").select("text")
     words = docs.select(F.explode(space_tokens("text")).alias("word")).where(F.col("word") != "")
     return count_by(words, "word")
 
 
 @query("word_count_skip_malformed", sql=rf"""
-SELECT lang, SUM(CASE WHEN ok THEN CAST(tok AS BIGINT) END) AS total,
-       COUNT(*) FILTER (WHERE ok) AS records, COUNT(*) FILTER (WHERE NOT ok) AS skipped
-FROM (SELECT lang, tok, regexp_full_match(tok, '[+-]?[0-9]{{1,9}}') AS ok
+SELECT lang, SUM(TRY_CAST(tok AS DECIMAL(38, 0))) FILTER (WHERE ok) AS total,
+       COUNT(*) FILTER (WHERE ok AND TRY_CAST(tok AS DECIMAL(38, 0)) IS NOT NULL) AS records,
+       COUNT(*) FILTER (WHERE ok AND TRY_CAST(tok AS DECIMAL(38, 0)) IS NULL) AS too_large,
+       COUNT(*) FILTER (WHERE NOT ok) AS skipped
+FROM (SELECT lang, tok, regexp_full_match(tok, '[+-]?[0-9]+') AS ok
       FROM (SELECT lang, unnest(regexp_split_to_array(text, '{_WS}')) AS tok FROM documents)
       WHERE tok <> '')
 GROUP BY lang
 """)
 def word_count_skip_malformed(spark, sf_dir):
     """Every token is read as a count record keyed by the document's
-    language; tokens that are not integers are skipped (and counted as
-    skipped) instead of failing the job."""
-    docs = spread(table(spark, sf_dir, "documents").select("lang", "text"))
-    recs = (docs.select("lang", F.explode(tokens("text")).alias("tok"))
-            .withColumn("ok", is_integer_text("tok", 9)))
+    language; integers of any length count (beyond 38 digits they have a
+    column of their own), other tokens are skipped and counted as skipped."""
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    recs = docs.select("lang", F.explode(tokens("text")).alias("tok"))
+    recs = recs.select("lang", F.col("tok").rlike(r"^[+-]?[0-9]+\z").alias("ok"), integer_text("tok").alias("v"))
     return (recs.groupBy("lang")
-            .agg(F.sum(F.when(F.col("ok"), F.col("tok").cast("bigint"))).alias("total"),
-                 F.count_if("ok").alias("records"),
+            .agg(F.sum(F.when(F.col("ok"), F.col("v"))).alias("total"),
+                 F.count_if(F.col("ok") & F.col("v").isNotNull()).alias("records"),
+                 F.count_if(F.col("ok") & F.col("v").isNull()).alias("too_large"),
                  F.count_if(~F.col("ok")).alias("skipped")))
 
 
@@ -90,13 +93,15 @@ SELECT 'a' AS part, COUNT(*) AS rows FROM lineitem WHERE year(l_shipdate) < 1998
 UNION ALL
 SELECT 'b' AS part, COUNT(*) AS rows FROM lineitem WHERE year(l_shipdate) >= 1998
 UNION ALL
-SELECT 'all' AS part, (SELECT COUNT(*) FROM lineitem) AS rows
+SELECT 'all' AS part, COUNT(*) AS rows FROM lineitem WHERE l_shipdate IS NOT NULL
+UNION ALL
+SELECT 'table' AS part, COUNT(*) AS rows FROM lineitem
 """)
 def union_all_counts(spark, sf_dir):
     """Two loads (years before / from 1998) and their union-all."""
     ng = ds.ngrams(spark, sf_dir)
     return union_counts({"a": ng.where(F.col("year") < 1998),
-                         "b": ng.where(F.col("year") >= 1998)})
+                         "b": ng.where(F.col("year") >= 1998)}, whole=ng)
 
 
 @query("table_reload_counts", sql="""
@@ -110,12 +115,12 @@ def table_reload_counts(spark, sf_dir):
     the temp view (the file-backed table path is covered in pytest)."""
     ng = ds.ngrams(spark, sf_dir)
     first, second = ng.where(F.col("year") < 1998), ng.where(F.col("year") >= 1998)
-    first.unionByName(second).createOrReplaceTempView("gbook_all")
+    first.unionByName(second).createOrReplaceTempView("all_counts")
     return spark.sql("""
         SELECT COUNT(*) AS total_rows,
                COUNT_IF(year > 2000) AS rows_after_2000,
                COUNT(DISTINCT bigram) AS bigrams
-        FROM gbook_all""")
+        FROM all_counts""")
 
 
 @query("distinct_users", sql="""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rill.operators.relational import pivot_ranks
-from rill.operators.similarity import co_occurrence, top_k_similar, top_pairs
+from rill.operators.similarity import top_k_similar, top_pairs, unordered_pairs
 from rill.plans import datasets as ds
 from rill.plans.registry import query
 from rill.session import cut_lineage
@@ -66,11 +66,9 @@ def top3_similar_users(spark, sf_dir):
 
 @query("top3_similar_users_right_join", sql=f"""
 WITH {_B}, {_N}, {_P}, {_S}, {_R},
-res AS (SELECT u1, string_agg(CAST(u2 AS VARCHAR), ',' ORDER BY rk) AS l,
-               string_agg(CAST(rk AS VARCHAR), ',' ORDER BY rk) AS rl
-        FROM r WHERE rk <= 3 GROUP BY u1)
-SELECT t5.u AS user_id, res.l AS sim_users_list, res.rl AS sim_rank_list
-FROM res RIGHT JOIN (SELECT DISTINCT u FROM b) t5 ON t5.u = res.u1
+best AS (SELECT u1, list(u2 ORDER BY rk) AS who, list(rk ORDER BY rk) AS place FROM r WHERE rk <= 3 GROUP BY u1)
+SELECT n.u AS user_id, array_to_string(who, ',') AS sim_users_list, array_to_string(place, ',') AS sim_rank_list
+FROM n LEFT JOIN best ON n.u = best.u1
 """)
 def top3_similar_users_right_join(spark, sf_dir):
     """The same lists (with their rank lists) right-joined to all users."""
@@ -104,8 +102,10 @@ WHERE sim_rank <= 3
 """)
 def overlap_ratio_rank(spark, sf_dir):
     """``shared / (n1 * n2)`` per pair, ``RANK() <= 3`` (ties
-    kept).  Computed over pairs that share an item; a pair sharing nothing
-    has ratio 0 and is never listed (no users x users product is built)."""
+    kept) over the pairs that share an item.  A deviation: under ``RANK() <= 3``
+    a user with fewer than three neighbours would also get all users that it
+    shares nothing with (ratio 0); these are left out, as listing them needs a
+    users x users product."""
     top = top_k_similar(_baskets(spark, sf_dir), k=3, score="overlap", rank_fn="rank")
     return top.select(F.col("u1").alias("uid1"), F.col("u2").alias("uid2"),
                       F.col("shared").alias("cmn_cnt"),
@@ -115,25 +115,22 @@ def overlap_ratio_rank(spark, sf_dir):
 
 @query("top3_users_wide", sql=f"""
 WITH {_B}, {_N}, {_P}, {_S}, {_R}
-SELECT c1.u1 AS uid, c1.u2 AS sim_uid1, c2.u2 AS sim_uid2, c3.u2 AS sim_uid3
-FROM (SELECT u1, u2 FROM r WHERE rk = 1) c1
-JOIN (SELECT u1, u2 FROM r WHERE rk = 2) c2 ON c1.u1 = c2.u1
-JOIN (SELECT u1, u2 FROM r WHERE rk = 3) c3 ON c1.u1 = c3.u1
+SELECT u1 AS uid, MAX(u2) FILTER (WHERE rk = 1) AS first_similar, MAX(u2) FILTER (WHERE rk = 2) AS second_similar,
+       MAX(u2) FILTER (WHERE rk = 3) AS third_similar
+FROM r WHERE rk <= 3 GROUP BY u1 HAVING COUNT(*) = 3
 """)
 def top3_users_wide(spark, sf_dir):
     """Ranks 1-3 as one wide row per user; users with fewer than three
     similar users are dropped, as the three-way inner join does."""
     top = top_k_similar(_baskets(spark, sf_dir), k=3)
-    wide = pivot_ranks(top, "u1", "sim_rank", "u2", [1, 2, 3], prefix="sim_uid")
-    return wide.withColumnRenamed("u1", "uid")
+    wide = pivot_ranks(top, "u1", "sim_rank", "u2", [1, 2, 3], prefix="v")
+    return wide.withColumnsRenamed({"u1": "uid", "v1": "first_similar", "v2": "second_similar", "v3": "third_similar"})
 
 
 @query("left_join_flags", sql=f"""
-WITH {_B}
-SELECT uid1 AS user_id, SUM(all_flag) AS self_rows, COUNT(*) - SUM(all_flag) AS pair_rows
-FROM (SELECT b1.u AS uid1, IF(b1.u = b2.u, 1, 0) AS all_flag
-      FROM b b1 LEFT JOIN b b2 ON b1.i = b2.i)
-GROUP BY uid1
+WITH {_B}, item_users AS (SELECT i, COUNT(*) AS users FROM b GROUP BY i)
+SELECT b.u AS user_id, COUNT(*) AS self_rows, SUM(users - 1) AS pair_rows
+FROM b JOIN item_users USING (i) GROUP BY b.u
 """)
 def left_join_flags(spark, sf_dir):
     """The flag sums of a self left join on item, per user: rows
@@ -167,8 +164,9 @@ def nested_filter_count(spark, sf_dir):
     something)`` from two aggregates, so no users x users product is built.
     """
     b = _baskets(spark, sf_dir)
-    pairs = co_occurrence(b)
-    hist = pairs.groupBy(F.col("shared").alias("common_cnt")).agg(F.count(F.lit(1)).alias("pairs"))
+    # every pair u1 < u2 stands for two ordered ones
+    hist = cut_lineage(unordered_pairs(b).groupBy(F.col("shared").alias("common_cnt")).agg(
+        (F.count(F.lit(1)) * 2).alias("pairs")))
     n_users = b.agg(F.count_distinct("user_id").alias("v")).select(F.lit("u").alias("kind"), "v")
     n_pairs = hist.agg(F.sum("pairs").alias("v")).select(F.lit("p").alias("kind"), "v")
     zero = (n_users.unionByName(n_pairs)

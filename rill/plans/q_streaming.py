@@ -1,5 +1,6 @@
-"""Streaming trend queries: a file-source stream of tweet lines (derived
-from ``events``) replayed in event-time order with ``availableNow``."""
+"""Streaming trend queries over the given ``events`` files, read by a file
+source with ``availableNow``.  The results do not depend on how the source
+cuts its files into micro-batches."""
 
 from __future__ import annotations
 
@@ -7,12 +8,14 @@ from pyspark.sql import functions as F
 
 from rill.plans import datasets as ds
 from rill.plans.registry import query
-from rill.streaming.trends import (flat_windows, hashtags, read_sink, run_available,
-                                   scratch_path, sliding_counts, top_per_window,
-                                   write_in_time_order)
+from rill.streaming.trends import (file_stream, flat_windows, hashtags, read_sink, run_available,
+                                   scratch_path, sliding_counts, top_per_window)
+from rill.sources.tables import table
 
-FILES_PER_TRIGGER = 4
-TOP_K = 3
+# Fixed value: the length of the trend list.
+TOP_K = 30
+#: Rows of the sorted report.
+REPORT = 100
 
 # ---- oracle building blocks (DuckDB) ----
 _TAGS = """t AS (SELECT ts, w FROM (
@@ -33,12 +36,8 @@ c AS (SELECT make_timestamp(st) AS window_start, make_timestamp(st + {size}) AS
 
 
 def _tweet_stream(spark, sf_dir):
-    tw = ds.tweets(spark, sf_dir)
-    folder = scratch_path(spark, "tweets")
-    write_in_time_order(tw, "timestamp", folder)
-    return (spark.readStream.schema(tw.schema)
-            .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-            .parquet(f"{folder}/part-*"))
+    schema = table(spark, sf_dir, "events").schema
+    return ds.tweet_lines(file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema))
 
 
 def _sliding(spark, sf_dir, window, slide, mode="complete", fn=None):
@@ -92,23 +91,30 @@ def stream_tag_extract(spark, sf_dir):
     return hashtags(ds.tweets(spark, sf_dir))
 
 
-@query("stream_batch_counts", sql=f"""
-WITH d AS (SELECT CAST(ts AS DATE) AS day FROM events),
-k AS (SELECT day, (DENSE_RANK() OVER (ORDER BY day) - 1) // {FILES_PER_TRIGGER} AS batch FROM d)
-SELECT strftime(MIN(day), '%Y-%m-%d') AS first_day, strftime(MAX(day), '%Y-%m-%d') AS last_day,
-       COUNT(*) AS rows FROM k GROUP BY batch
+@query("stream_sorted_report", sql="WITH " + _windows_sql(300, 120) + f"""
+SELECT * FROM c ORDER BY window_start ASC, cnt DESC, word ASC LIMIT {REPORT}
+""")
+def stream_sorted_report(spark, sf_dir):
+    """The stream's result in complete mode, ordered by window and by
+    falling count inside the stream's own plan; its first rows."""
+    counts = sliding_counts(hashtags(_tweet_stream(spark, sf_dir)))
+    ordered = counts.orderBy(F.col("window").asc(), F.col("cnt").desc(), F.col("word").asc()).limit(REPORT)
+    sink = scratch_path(spark, "sink")
+    run_available(ordered, sink, "complete", batch_fn=lambda b, _i: flat_windows(b))
+    return read_sink(spark, sink)
+
+
+@query("stream_batch_counts", sql="""
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, COUNT(*) AS rows FROM events GROUP BY 1
 """)
 def stream_batch_counts(spark, sf_dir):
-    """A per-batch callback over the raw stream: every
-    micro-batch (four day files) reports its day range and row count."""
-    stream = _tweet_stream(spark, sf_dir)
+    """A per-batch callback over the raw stream: every micro-batch
+    reports its rows per day, and the reports are summed."""
     sink = scratch_path(spark, "sink")
 
     def report(batch, _batch_id):
-        day = F.to_date(F.col("timestamp"))
-        return batch.agg(F.date_format(F.min(day), "yyyy-MM-dd").alias("first_day"),
-                         F.date_format(F.max(day), "yyyy-MM-dd").alias("last_day"),
-                         F.count(F.lit(1)).alias("rows"))
+        day = F.date_format(F.to_date(F.col("timestamp")), "yyyy-MM-dd").alias("day")
+        return batch.groupBy(day).agg(F.count(F.lit(1)).alias("rows"))
 
-    run_available(stream, sink, "append", batch_fn=report)
-    return read_sink(spark, sink)
+    run_available(_tweet_stream(spark, sf_dir), sink, "append", batch_fn=report)
+    return read_sink(spark, sink).groupBy("day").agg(F.sum("rows").alias("rows"))

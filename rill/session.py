@@ -26,7 +26,7 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "rill", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's base settings.
 
@@ -37,7 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:                  # else the cluster's own setting
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("RILL_DRIVER_MEMORY", "8g"))
     if extra:
         conf.update(extra)
@@ -78,11 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def loop_partitions(spark: SparkSession) -> int:
-    """Partition count for the fixed side of an iterative loop: the session's
-    shuffle partitions, capped at four task waves of the cluster (a loop
-    runs many small rounds, so per-task overhead is paid every round)."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+    """Partition count of the fixed side of a loop: the session's setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -57,20 +57,34 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def _edges(lines: DataFrame, sep: str) -> DataFrame:
+    """``src, dst`` of every line that is neither blank nor a comment; a field
+    that is missing or no number is null, so no line is lost unseen."""
+    text = F.trim(F.col("value"))
+    parts = F.split(text, sep)
+    return (lines.where((text != "") & ~text.startswith("#"))
+            .select(F.get(parts, F.lit(0)).try_cast("long").alias("src"),
+                    F.get(parts, F.lit(1)).try_cast("long").alias("dst")))
+
+
 def read_edge_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """``src<TAB>dst`` edge list; lines starting with ``#`` are skipped."""
-    return (spark.read.schema("src long, dst long").option("sep", "\t").option("comment", "#")
-            .option("mode", "DROPMALFORMED").csv(path))
+    """``src<TAB>dst`` edge list; ``#`` lines are skipped, malformed ids
+    are null (``complete_edges`` drops and ``bad_edges`` counts them)."""
+    return _edges(spark.read.text(path), r"\t")
 
 
 def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
-    """Whitespace-separated ``src dst`` pairs; ``#`` lines and blank
-    lines are skipped; ids are longs."""
-    lines = spark.read.text(path)
-    parts = F.split(F.trim(F.col("value")), r"\s+")
-    return (lines.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
-            .select(parts[0].cast("long").alias("src"), parts[1].cast("long").alias("dst"))
-            .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    """Pairs separated by white space; ``#`` lines and blank lines are
+    skipped, malformed ids are null."""
+    return _edges(spark.read.text(path), r"\s+")
+
+
+def complete_edges(edges: DataFrame) -> DataFrame:
+    return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+
+def bad_edges(edges: DataFrame) -> DataFrame:
+    return edges.agg(F.count_if(F.col("src").isNull() | F.col("dst").isNull()).alias("bad"))
 
 
 RATINGS_SCHEMA = "userId int, movieId int, rating double, timestamp long"

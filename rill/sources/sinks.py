@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rill.session import cut_lineage, release
+
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = False,
                     mode: str = "overwrite") -> None:
@@ -18,14 +20,13 @@ def write_text(df: DataFrame, path: str, sep: str = "\t", mode: str = "overwrite
         .write.mode(mode).text(path)
 
 
-def write_single_csv(df: DataFrame, path: str, header: bool = True, max_rows: int = 10_000_000,
-                     mode: str = "overwrite") -> None:
-    """K3/K4: one CSV part file.  All rows pass through one task, so this is
-    refused for results above ``max_rows`` (counted first)."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for a single output file; write partitioned")
-    df.coalesce(1).write.mode(mode).option("header", header).csv(path)
+def write_report_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
+    """K3/K4: a report as one CSV part file.  The result is computed and
+    written in parallel first; only the finished rows are merged into one
+    file, so the plan behind the report never runs in one task."""
+    done = cut_lineage(df)
+    done.coalesce(1).write.mode(mode).option("header", header).csv(path)
+    release(done)
 
 
 def show_rows(df: DataFrame, n: int = 20) -> list:

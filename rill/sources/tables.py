@@ -22,23 +22,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (tokenising long texts) every core.
-
-    A large table arrives in many more splits than there are cores and is
-    returned unchanged (no shuffle).  A table stored in fewer splits than
-    cores -- one big file, one row group -- is spread round-robin over the
-    cores first, so one task does not do the whole job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every table as a temp view (S11) so SQL text can use them."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -67,22 +67,14 @@ def top_per_window(counts: DataFrame, k: int = 30) -> DataFrame:
                     F.concat_ws(",", F.transform("l", lambda x: x["e"])).alias("top")))
 
 
-def write_in_time_order(df: DataFrame, ts: str, folder: str, unit: str = "day") -> int:
-    """Stream fixture: one parquet folder per time unit, written oldest
-    first, so a file source replays the rows in event-time order.  The
-    per-unit keys are a small aggregate (one row per unit)."""
-    from rill.session import cut_lineage, release
-
-    unit_col = F.date_trunc(unit, F.col(ts).cast("timestamp"))
-    # written once sorted by unit: each per-unit write below then reads only
-    # its own row groups (the unit filter is pushed into the scan)
-    keyed = cut_lineage(df.withColumn("__unit", unit_col).sortWithinPartitions("__unit"))
-    units = [r[0] for r in keyed.select("__unit").distinct().orderBy("__unit").collect()]
-    for i, u in enumerate(units):
-        (keyed.where(F.col("__unit") == F.lit(u)).drop("__unit").coalesce(1)
-         .write.mode("error").parquet(f"{folder}/part-{i:06d}"))
-    release(keyed)
-    return len(units)
+def file_stream(spark: SparkSession, path: str, schema, files: int | None = None) -> DataFrame:
+    """A stream over the Parquet files at ``path`` (a file, a folder of parts or
+    a pattern), ``files`` per micro-batch if given."""
+    reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    # a pattern lets the source take a single file as well as a folder
+    return reader.parquet(path if "[" in path or "*" in path else f"{path[:-1]}[{path[-1]}]")
 
 
 def _lander(sink: str, output_mode: str,
@@ -143,14 +135,6 @@ def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     return df.drop("batch") if "batch" in df.columns else df
 
 
-def run_to_memory(stream: DataFrame, name: str, output_mode: str = "complete") -> None:
-    """K7: land a stream in an in-memory table ``name`` readable by SQL.
-    The memory sink keeps everything on the driver: for tests only."""
-    q = (stream.writeStream.outputMode(output_mode).format("memory").queryName(name)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
 def run_to_console(stream: DataFrame, output_mode: str = "complete", rows: int = 20) -> None:
     """K9: print each micro-batch (bounded to ``rows`` rows per batch)."""
     q = (stream.writeStream.outputMode(output_mode).format("console")

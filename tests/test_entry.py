@@ -8,10 +8,6 @@ from conftest import SF_SMALL
 from rill.sources.tables import TABLES
 from tools.check_oracle import compare
 
-# long iterative loops: checked at sf0.01 by tools/check_oracle.py
-SLOW = {"dag_longest_distance", "dag_longest_distance_iter"}
-
-
 def test_entry_runs(spark):
     df = entry.entry(spark)
     rows = df.collect()
@@ -31,7 +27,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
 def test_query_matches_oracle(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.sql(entry.oracle_sql()[name]).df()

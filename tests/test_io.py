@@ -45,6 +45,13 @@ def test_edge_lists(spark, tmp_dir):
     assert [tuple(r) for r in files.read_edge_tsv(spark, t).collect()] == [(1, 2), (2, 3)]
     w = _write(f"{tmp_dir}/e.txt", "# c\n1 2\n\n3   4\n")
     assert [tuple(r) for r in files.read_edge_list(spark, w).collect()] == [(1, 2), (3, 4)]
+    for read, sep in ((files.read_edge_tsv, "\t"), (files.read_edge_list, " ")):
+        bad = _write(f"{tmp_dir}/bad{len(sep)}{ord(sep)}.txt",
+                     f"1{sep}2\n7\nx{sep}3\n  # c\n4{sep}99999999999999999999\n5{sep}6\n")
+        edges = read(spark, bad)
+        assert len(edges.collect()) == edges.count() == 5
+        assert sorted(map(tuple, files.complete_edges(edges).collect())) == [(1, 2), (5, 6)]
+        assert files.bad_edges(edges).first()["bad"] == 3
     h = _write(f"{tmp_dir}/m.tsv", "USERID\tTARGETID\tTIMESTAMP\n1\t9\t10.5\n")
     assert files.read_tsv_renamed(spark, h, {"USERID": "src", "TARGETID": "dst"}).columns[:2] == ["src", "dst"]
 
@@ -54,7 +61,7 @@ def test_sinks_round_trip(spark, tmp_dir):
     sinks.write_delimited(df, f"{tmp_dir}/k1")
     back = files.read_delimited(spark, f"{tmp_dir}/k1", "w string, n long")
     assert sorted(map(tuple, back.collect())) == [("a", 1), ("b", 2)]
-    sinks.write_single_csv(df, f"{tmp_dir}/k3")
+    sinks.write_report_csv(df, f"{tmp_dir}/k3")
     parts = [f for f in os.listdir(f"{tmp_dir}/k3") if f.startswith("part-")]
     assert len(parts) == 1
     sinks.write_text(df, f"{tmp_dir}/k2")

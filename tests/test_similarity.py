@@ -1,4 +1,4 @@
-"""Blocked co-occurrence against a brute-force self-join on small inputs,
+"""Co-occurrence against a brute-force self-join on small inputs,
 including a hot item and a hot user."""
 
 import random
@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rill.operators.similarity import co_occurrence, plan_blocks, top_k_similar
+from rill.operators.similarity import co_occurrence, top_k_similar
 
 
 def brute_pairs(rows):
@@ -36,25 +36,16 @@ def skewed_rows(seed=7):
     return rows
 
 
-def test_blocks_match_brute_force(spark):
+def test_pairs_match_brute_force_whatever_the_split(spark):
     rows = skewed_rows()
-    assert spark_pairs(spark, rows, blocks=3, item_slices=1) == brute_pairs(rows)
-
-
-def test_item_slices_match_brute_force(spark):
-    rows = skewed_rows(11)
-    assert spark_pairs(spark, rows, blocks=2, item_slices=3) == brute_pairs(rows)
-
-
-def test_plan_blocks_splits_heavy_user():
-    blocks, slices = plan_blocks(10_000_000, 4_000_000, 8, rows_per_block=2_000_000)
-    assert blocks >= 5 and slices >= 8
+    for split in (1, 7, 2_000):
+        assert spark_pairs(spark, rows, split=split) == brute_pairs(rows)
 
 
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 6)), min_size=1, max_size=60))
 def test_symmetry_and_range(spark, rows):
-    pairs = spark_pairs(spark, rows, blocks=2, item_slices=1)
+    pairs = spark_pairs(spark, rows, split=2)
     assert pairs == brute_pairs(rows)
     for (a, b), c in pairs.items():
         assert pairs[(b, a)] == c and c >= 1
@@ -64,5 +55,5 @@ def test_top_k_ties_smaller_id(spark):
     # users 2 and 3 are equally similar to user 1; the smaller id ranks first
     rows = [(1, 10), (2, 10), (3, 10)]
     df = spark.createDataFrame(rows, "user_id long, item_id long")
-    top = top_k_similar(df, k=1, blocks=2, item_slices=1).where(F.col("u1") == 1).collect()
+    top = top_k_similar(df, k=1, split=2).where(F.col("u1") == 1).collect()
     assert [(r.u2, r.sim) for r in top] == [(2, 1.0)]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rill.functions.text import hashtags, is_integer_text, space_tokens, tokens
+from rill.functions.text import hashtags, integer_text, space_tokens, tokens
 from rill.operators.custom import map_combine, tokenize_counts
 from rill.operators.relational import (average_per_distinct, complete_row_counts, pivot_ranks,
                                        share_of_total, top_k_per_group, union_counts)
@@ -26,10 +26,11 @@ def test_whitespace_and_empty_tokens(spark):
     assert "" in single  # single-space split keeps empties (dropped by the query)
 
 
-def test_integer_guard(spark):
-    df = spark.createDataFrame([("12",), ("-3",), ("+4",), ("1.5",), ("x1",), ("1234567890",)], "t string")
-    ok = [r[0] for r in df.where(is_integer_text("t", 9)).collect()]
-    assert ok == ["12", "-3", "+4"]
+def test_integers_of_any_length(spark):
+    texts = ["1", "-22", "+3", "1234567890123", "9" * 38, "9" * 39, "1.5", "x1", "", "٣", "7\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(integer_text("t")).collect()]
+    assert [None if v is None else int(v) for v in got] == [1, -22, 3, 1234567890123, int("9" * 38)] + [None] * 7
 
 
 def test_hashtags(spark):
@@ -75,8 +76,8 @@ def test_null_counts_and_pivot(spark):
 def test_union_counts(spark):
     a = spark.range(5)
     b = spark.range(7)
-    got = {r.part: r.rows for r in union_counts({"a": a, "b": b}).collect()}
-    assert got == {"a": 5, "b": 7, "all": 12}
+    got = {r.part: r.rows for r in union_counts({"a": a, "b": b}, whole=spark.range(14)).collect()}
+    assert got == {"a": 5, "b": 7, "all": 12, "table": 14}
 
 
 def test_next_in_group_matches_lead_with_hot_group(spark):
@@ -84,15 +85,13 @@ def test_next_in_group_matches_lead_with_hot_group(spark):
 
     from rill.operators.relational import next_in_group
 
-    rows = [(1, i) for i in range(300)] + [(g, g * 10 + j) for g in range(2, 40) for j in range(3)]
+    rows = ([(1, i) for i in range(300)] + [(g, g * 10 + j) for g in range(2, 40) for j in range(3)]
+            + [(None, 5), (None, 7), (None, 6)])
     df = spark.createDataFrame(rows, "o long, p long")
     want = {(r.o, r.p): r.nxt for r in df.withColumn(
         "nxt", F.lead("p").over(Window.partitionBy("o").orderBy("p"))).collect()}
-    # max_group_rows=50 forces the split walk for the 300-row group
-    walked = next_in_group(df, "o", ["p"], "p", partitions=7, max_group_rows=50)
-    assert {(r.o, r.p): r.nxt for r in walked.collect()} == want
-    windowed = next_in_group(df, "o", ["p"], "p")
-    assert {(r.o, r.p): r.nxt for r in windowed.collect()} == want
+    got = next_in_group(df.repartition(5), "o", ["p"], "p")
+    assert {(r.o, r.p): r.nxt for r in got.collect()} == want
 
 
 def test_id_suffix_filter_equals_like(spark):
