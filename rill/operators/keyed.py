@@ -36,37 +36,42 @@ def key_region(key: str | Column, splits: Sequence[str] = DEFAULT_SPLITS) -> Col
 
 
 def bulk_load_layout(df: DataFrame, key: str, splits: Sequence[str] = DEFAULT_SPLITS) -> DataFrame:
-    """Rows laid out by region and sorted by key inside each, the
-    shape a bulk import writes (one sorted run per region)."""
-    return (df.withColumn("__region", key_region(key, splits))
-            .repartition(len(splits) + 1, "__region")
-            .sortWithinPartitions("__region", key)
-            .drop("__region"))
+    """Rows in key order, range partitioned, so that a region of any size
+    is spread over as many tasks as its rows need and each task writes one
+    sorted run (regions are ranges of keys, so their order is that of keys)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, key_region(key, splits), key).sortWithinPartitions(key)
 
 
-def upsert(base: DataFrame, changes: DataFrame, key: str = "row_key") -> DataFrame:
+def describe(df: DataFrame) -> list[tuple[str, str]]:
+    """The table's columns and their types."""
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def upsert(base: DataFrame, changes: DataFrame, key: str = "row_key", version: str | None = None) -> DataFrame:
     """Put cells -- insert new keys, overwrite existing ones.
 
     Columns missing from ``changes`` keep the base value (a put names only
-    the cells it writes).  The latest version wins per key; the choice is a
-    ``max_by`` aggregate, so it is combined map-side before the shuffle.
+    the cells it writes).  ``version`` names a column of ``changes`` that orders
+    its puts: per cell the put of the highest version wins, of equal ones the
+    one whose value sorts last, so the result does not depend on the order of
+    rows.  Every put is newer than the base.  The choice is a ``max_by``
+    aggregate, combined map-side before the shuffle.
     """
     value_cols = [c for c in base.columns if c != key]
-    ch = changes
-    for c in value_cols:
-        if c not in ch.columns:
-            ch = ch.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
-    tagged_base = base.select(key, *value_cols, F.lit(0).alias("__v"),
-                              *[F.lit(True).alias(f"__has_{c}") for c in value_cols])
-    tagged_ch = ch.select(key, *value_cols, F.lit(1).alias("__v"),
-                          *[F.lit(c in changes.columns).alias(f"__has_{c}") for c in value_cols])
-    both = tagged_base.unionByName(tagged_ch)
-    aggs = []
+    wrote = lambda c, n, v: F.struct(n.alias("n"), v.alias("v"), F.col(c).cast("string").alias("tie"))
+    none = F.lit(None).cast("long")
+    old = base.select(key, *value_cols, *[wrote(c, F.lit(0), none).alias(f"__w_{c}") for c in value_cols])
+    puts = changes
     for c in value_cols:
-        # the newest version that actually wrote this cell
-        ver = F.when(F.col(f"__has_{c}"), F.col("__v"))
-        aggs.append(F.max_by(F.col(c), ver).alias(c))
-    return both.groupBy(key).agg(*aggs)
+        if c not in puts.columns:
+            puts = puts.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
+    at = F.col(version).cast("long") if version else none
+    kind = {c: old.schema[f"__w_{c}"].dataType for c in value_cols}
+    new = puts.select(key, *value_cols, *[
+        (wrote(c, F.lit(1), at) if c in changes.columns else F.lit(None)).cast(kind[c]).alias(f"__w_{c}")
+        for c in value_cols])
+    return old.unionByName(new).groupBy(key).agg(*[F.max_by(c, f"__w_{c}").alias(c) for c in value_cols])
 
 
 def get(table: DataFrame, key_value: str, key: str = "row_key") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from rill.plans import (q_graph, q_recommend, q_relational, q_similarity,  # noqa: F401
-                        q_sorting, q_streaming)
+                        q_sorting, q_sources, q_streaming)
 from rill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

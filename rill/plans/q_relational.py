@@ -41,7 +41,7 @@ def word_count_single_space(spark, sf_dir):
 
 
 @query("word_count_skip_malformed", sql=rf"""
-SELECT lang, SUM(TRY_CAST(tok AS DECIMAL(38, 0))) FILTER (WHERE ok) AS total,
+SELECT lang, CAST(SUM(TRY_CAST(tok AS DECIMAL(38, 0))) FILTER (WHERE ok) AS VARCHAR) AS total,
        COUNT(*) FILTER (WHERE ok AND TRY_CAST(tok AS DECIMAL(38, 0)) IS NOT NULL) AS records,
        COUNT(*) FILTER (WHERE ok AND TRY_CAST(tok AS DECIMAL(38, 0)) IS NULL) AS too_large,
        COUNT(*) FILTER (WHERE NOT ok) AS skipped
@@ -58,7 +58,7 @@ def word_count_skip_malformed(spark, sf_dir):
     recs = docs.select("lang", F.explode(tokens("text")).alias("tok"))
     recs = recs.select("lang", F.col("tok").rlike(r"^[+-]?[0-9]+\z").alias("ok"), integer_text("tok").alias("v"))
     return (recs.groupBy("lang")
-            .agg(F.sum(F.when(F.col("ok"), F.col("v"))).alias("total"),
+            .agg(F.sum(F.when(F.col("ok"), F.col("v"))).cast("string").alias("total"),
                  F.count_if(F.col("ok") & F.col("v").isNotNull()).alias("records"),
                  F.count_if(F.col("ok") & F.col("v").isNull()).alias("too_large"),
                  F.count_if(~F.col("ok")).alias("skipped")))

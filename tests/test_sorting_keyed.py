@@ -42,3 +42,18 @@ def test_upsert_get_delete_round_trip(spark):
     gone = kt.delete_keys(table, spark.createDataFrame([("2",), ("9",)], "row_key string"))
     assert sorted(r.row_key for r in gone.collect()) == ["1", "3"]
     assert kt.get(gone, "2").count() == 0
+
+
+def test_puts_of_one_cell_do_not_depend_on_row_order(spark):
+    base = spark.createDataFrame([("1", "a", 10)], "row_key string, w string, n int")
+    rows = [("1", "x", 11, 2), ("1", "y", 12, 1), ("1", "z", None, 0), ("2", "p", 5, 7), ("2", "q", 6, 7)]
+    for order in (rows, rows[::-1]):
+        puts = spark.createDataFrame(order, "row_key string, w string, n int, v long").coalesce(1)
+        got = {r.row_key: (r.w, r.n) for r in kt.upsert(base, puts, version="v").collect()}
+        assert got == {"1": ("x", 11), "2": ("q", 6)}
+
+
+def test_load_layout_spreads_a_region(spark):
+    df = spark.range(8000).select(F.concat(F.lit("7"), F.col("id").cast("string")).alias("row_key"))
+    parts = [len(p) for p in kt.bulk_load_layout(df, "row_key").rdd.glom().collect()]
+    assert sum(parts) == 8000 and sum(n > 0 for n in parts) >= 4
