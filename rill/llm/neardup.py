@@ -6,9 +6,9 @@
 2. The signature is cut into ``BANDS`` bands; texts that agree in a band share
    a bucket.  Two texts of similarity 0.8 share none with probability
    (1 - 0.8^4)^24 < 4e-6.
-3. No bucket is ever gathered or paired within itself.  In each bucket, texts
-   drawn by a hash are hubs, others in every band, and the bucket's members are
-   candidates with them only: rows in proportion to the members, by joins whose
+3. No bucket is ever gathered or paired within itself.  In each bucket ``HUBS``
+   texts drawn by a hash are hubs, others in every band, and the bucket's members
+   are candidates with them only: rows in proportion to the members, by joins whose
    large partitions Spark can split.
 4. A candidate pair whose registers agree too seldom for 0.8 is dropped (loss
    below 1e-5 per pair); the others are checked by the exact weighted Jaccard
@@ -40,7 +40,7 @@ from rill.llm.common import text_steps
 from rill.operators.graph.components import connected_components
 from rill.session import cut_lineage
 
-ROWS, BANDS = 4, 24
+ROWS, BANDS, HUBS = 4, 24, 4
 LEAST, AGREE = 0.8, 58                # similarity; registers of 96 for a check
 #: Text pairs checked at once.
 CHECKED = 256
@@ -71,11 +71,8 @@ def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*
 def check(pairs: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b) of keys, those that are similar enough."""
     left, right = (one.select(F.col("key").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "ab")
-    near = cut_lineage(agreeing(pairs.join(left, "a").join(right, "b")))
-    wanted = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    # the texts of candidates only, once each
-    own = cut_lineage(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
-    left, right = (own.select(F.col("key").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+    near = agreeing(pairs.join(left, "a").join(right, "b"))
+    left, right = (texts.select(F.col("key").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,21 +100,20 @@ def agreeing(pairs: DataFrame) -> DataFrame:
 
 def with_hubs(members: DataFrame, seed: int) -> DataFrame:
     """Candidate pairs of the members (bucket, key, class) of mixed buckets with
-    a hub of another class in their bucket."""
-    hubs = members.groupBy("bucket").agg(
-        F.min(F.struct(F.xxhash64("key", "bucket", F.lit(seed)).alias("draw"), "key", "class")).alias("hub"),
+    hubs of another class in their bucket."""
+    draws = [F.min(F.struct(F.xxhash64("key", "bucket", F.lit(seed * HUBS + i)).alias("draw"), "key", "class"))
+             for i in range(HUBS)]
+    hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*(
+        F.struct(d["key"].alias("key"), d["class"].alias("class")) for d in draws))).alias("hubs"),
         (F.min("class") != F.max("class")).alias("mixed"))
-    hubs = cut_lineage(hubs.filter("mixed").select(
-        "bucket", F.col("hub.key").alias("hub"), F.col("hub.class").alias("hub_class")))
-    pairs = members.join(hubs, "bucket").filter(F.col("class") != F.col("hub_class"))
-    return pairs.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+    hubs = cut_lineage(hubs.filter("mixed").select("bucket", F.explode("hubs").alias("hub")))
+    pairs = members.join(hubs, "bucket").filter(F.col("class") != F.col("hub.class"))
+    return pairs.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             carry: tuple[str, ...] | None = None) -> DataFrame:
     """doc, row, key and class_id (the least id of the class) of every row."""
-    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.select(F.unhex(F.md5("text")).alias("key"), "text")
     rows = cut_lineage(signed(docs, text_col, carry or (id_col,)))
     rows = rows.withColumn("id", F.col(f"doc.{id_col}"))
     one = cut_lineage(rows.filter("sig is not null").groupBy("key").agg(
@@ -128,22 +124,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bands = bands.select("key", F.xxhash64("pos", "col").alias("bucket"))
     shared = bands.groupBy("bucket").count().filter("count > 1").select("bucket")
     members = cut_lineage(bands.join(shared, "bucket"))
-    links, found, seed = None, None, 0
+    # the texts that candidates can come from, once each
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = texts.select(F.unhex(F.md5("text")).alias("key"), "text")
+    texts = texts.join(members.select("key").distinct(), "key", "left_semi")
+    texts = cut_lineage(texts.groupBy("key").agg(F.first("text").alias("text")))
+    found, seed = None, 0
     while True:
-        seed += 1
-        if found is None:
-            now = members.withColumn("class", F.col("key"))
-        else:
-            now = members.join(found.withColumnsRenamed({"id": "key", "component": "class"}), "key", "left")
-            now = now.withColumn("class", F.coalesce("class", "key"))
-        pairs = with_hubs(now, 2 * seed)
-        if found is None:                       # two hubs at first
-            pairs = pairs.union(with_hubs(now, 2 * seed + 1)).distinct()
-        new = cut_lineage(check(pairs, one, texts))
+        now = members.withColumn("class", F.col("key"))
+        if found is not None:
+            known = found.select(F.col("id").alias("key"), "component")
+            now = members.join(known, "key", "left").withColumn("class", F.coalesce("component", "key")).drop("component")
+        new = cut_lineage(check(with_hubs(now, seed), one, texts))
         if new.isEmpty():
             break
-        links = new if links is None else links.union(new)
-        found = cut_lineage(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+        edges = new.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        if found is not None:                   # classes so far stand as stars
+            edges = edges.union(found.select("id", "component"))
+        found, seed = cut_lineage(connected_components(edges)), seed + 1
     if found is None:
         named = one.select("key", F.col("id").alias("class_id"))
     else:
