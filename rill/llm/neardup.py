@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rill.llm import bagminhash
@@ -47,9 +47,9 @@ CHECKED = 256
 
 
 def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*",)) -> DataFrame:
-    """doc (struct), row (a number of its own), key, and sig (null without words)."""
+    """doc (struct), key, and sig (null without words)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*carry).alias("doc"), F.monotonically_increasing_id().alias("row"),
+    rows = docs.select(F.struct(*carry).alias("doc"),
                        F.unhex(F.md5(text)).alias("key"), text.alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
 
@@ -62,10 +62,10 @@ def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*
                 size = 4 * bagminhash.REGISTERS
                 data = pa.Array.from_buffers(pa.binary(size), len(step), [None, pa.py_buffer(sig)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*step.columns[:3], pc.if_else(pa.array(empty), pa.scalar(None, pa.binary()), data)],
-                    ["doc", "row", "key", "sig"])
+                    [*step.columns[:2], pc.if_else(pa.array(empty), pa.scalar(None, pa.binary()), data)],
+                    ["doc", "key", "sig"])
 
-    return rows.mapInArrow(run, f"doc {kind}, row long, key binary, sig binary")
+    return rows.mapInArrow(run, f"doc {kind}, key binary, sig binary")
 
 
 def check(pairs: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
@@ -113,7 +113,8 @@ def with_hubs(members: DataFrame, seed: int) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             carry: tuple[str, ...] | None = None) -> DataFrame:
-    """doc, row, key and class_id (the least id of the class) of every row."""
+    """doc, key, id, class (null for a text without words) and class_id (the
+    least id of the class) of every row."""
     rows = cut_lineage(signed(docs, text_col, carry or (id_col,)))
     rows = rows.withColumn("id", F.col(f"doc.{id_col}"))
     one = cut_lineage(rows.filter("sig is not null").groupBy("key").agg(
@@ -143,27 +144,32 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             edges = edges.union(found.select("id", "component"))
         found, seed = cut_lineage(connected_components(edges)), seed + 1
     if found is None:
-        named = one.select("key", F.col("id").alias("class_id"))
+        named = one.select("key", F.col("key").alias("class"), F.col("id").alias("class_id"))
     else:
         # classes of several texts; their least id, then one row per text
         several = one.select("key", "id").join(found.withColumnsRenamed({"id": "key"}), "key")
-        least = cut_lineage(several.groupBy("component").agg(F.min("id").alias("class_id")))
-        several = several.join(least, "component").select("key", F.col("class_id").alias("c"))
-        named = one.select("key", "id").join(cut_lineage(several), "key", "left")
-        named = named.select("key", F.coalesce("c", "id").alias("class_id"))
+        least = cut_lineage(several.groupBy("component").agg(F.min("id").alias("least")))
+        several = cut_lineage(several.join(least, "component").select("key", "component", "least"))
+        named = one.select("key", "id").join(several, "key", "left").select(
+            "key", F.coalesce("component", "key").alias("class"),
+            F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"))
+    # texts without words have no row in ``named``: each is a class of its own
     out = rows.drop("sig").join(cut_lineage(named.withColumnsRenamed({"key": "k"})), F.col("key") == F.col("k"), "left")
-    return out.select("doc", "row", "key", "id", F.when(F.col("k").isNull(), F.col("id")).otherwise(
-        F.col("class_id")).alias("class_id"), F.col("k").isNotNull().alias("compared"))
+    return out.select("doc", "key", "id", "class", F.when(F.col("k").isNull(), F.col("id")).otherwise(
+        F.col("class_id")).alias("class_id"))
 
 
 def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without near duplicates: of each class the row with the
-    least id stays; texts without words stay."""
-    named = cut_lineage(classes(docs, id_col, text_col, ("*",)))
-    # a class whose ids are all null is told apart by its text
-    group = F.struct("class_id", F.when(F.col("class_id").isNull(), F.col("key")).alias("key"))
-    first = named.filter("compared").groupBy(group.alias("g")).agg(
-        F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("f"))
-    first = first.select(F.col("f.row").alias("row"))
-    stay = named.filter("compared").join(first, "row", "left_semi")
-    return stay.unionByName(named.filter("not compared")).select("doc.*")
+    least id stays (of rows that repeat one); texts without words stay.  The
+    texts are not carried along: those that stay are read again by id and key."""
+    named = classes(docs, id_col, text_col).filter("class is not null")
+    first = named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "key")).alias("f"))
+    first = cut_lineage(first.select(F.col("f.id").alias("id"), F.col("f.key").alias("key")))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.filter(worded).select(F.struct("*").alias("doc"), F.unhex(F.md5(text)).alias("k"))
+    stay = rows.join(first, (F.col("k") == F.col("key")) & F.col(f"doc.{id_col}").eqNullSafe(F.col("id")), "left_semi")
+    again = Window.partitionBy("k", f"doc.{id_col}").orderBy(F.xxhash64("doc"))
+    stay = stay.withColumn("n", F.row_number().over(again)).filter("n = 1")
+    return stay.select("doc.*").unionByName(docs.filter(~worded))
