@@ -95,7 +95,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{folder}/rill-cut-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    out = spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)      # known, so no job reads footers
     out._rill_cut = path          # lets ``release`` delete the files later
     return out
 
