@@ -6,18 +6,19 @@
 2. The signature is cut into ``BANDS`` bands; texts that agree in a band share
    a bucket.  Two texts of similarity 0.8 share none with probability
    (1 - 0.8^4)^24 < 4e-6.
-3. No bucket is ever gathered or paired within itself.  In each bucket ``HUBS``
-   texts drawn by a hash are hubs, others in every band, and the bucket's members
-   are candidates with them only: rows in proportion to the members, by joins whose
-   large partitions Spark can split.
+3. No bucket is ever gathered or paired within itself.  In each bucket the text
+   with the least id and ``HUBS - 1`` drawn by a hash (others in every band) are
+   hubs, and the bucket's members are candidates with them only: rows in
+   proportion to the members, by joins whose large partitions Spark can split.
 4. A candidate pair whose registers agree too seldom for 0.8 is dropped (loss
    below 1e-5 per pair); the others are checked by the exact weighted Jaccard
    similarity of their shingle multisets.
-5. Links give classes (connected components).  Rounds follow in which buckets
-   that still hold several classes get new hubs, until a round finds no link.
+5. Links give classes (connected components).  A further round draws new hubs in
+   the buckets that still hold several classes; its links extend the classes.
 
-Links are exact.  Links are lost only where chance hides them in every band and
-round; tests measure this against brute force.
+Links are exact.  A text of a large, loose group can stay outside its class where
+all hubs of all its buckets in both rounds are among the texts that it is not
+similar to; tests measure this against brute force.
 
 Defined cases: a text without words (null, empty) is alone in its class, one of
 fewer than five words is one shingle; null ids are no class ids unless a class
@@ -40,7 +41,7 @@ from rill.llm.common import text_steps
 from rill.operators.graph.components import connected_components
 from rill.session import cut_lineage
 
-ROWS, BANDS, HUBS = 4, 24, 4
+ROWS, BANDS, HUBS, ROUNDS = 4, 24, 4, 2
 LEAST, AGREE = 0.8, 58                # similarity; registers of 96 for a check
 #: Text pairs checked at once.
 CHECKED = 256
@@ -99,12 +100,14 @@ def agreeing(pairs: DataFrame) -> DataFrame:
 
 
 def with_hubs(members: DataFrame, seed: int) -> DataFrame:
-    """Candidate pairs of the members (bucket, key, class) of mixed buckets with
-    hubs of another class in their bucket."""
-    draws = [F.min(F.struct(F.xxhash64("key", "bucket", F.lit(seed * HUBS + i)).alias("draw"), "key", "class"))
-             for i in range(HUBS)]
+    """Candidate pairs of the members (bucket, key, id, class) of mixed buckets
+    with hubs of another class in their bucket."""
+    orders = [F.struct(F.xxhash64("key", "bucket", F.lit(seed * HUBS + i)).alias("draw"), "key", "class")
+              for i in range(HUBS)]
+    if not seed:                                # copies mostly come after what they copy
+        orders[0] = F.struct(F.col("id").isNull().alias("none"), "id", "key", "class")
     hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*(
-        F.struct(d["key"].alias("key"), d["class"].alias("class")) for d in draws))).alias("hubs"),
+        F.struct(F.min(o)["key"].alias("key"), F.min(o)["class"].alias("class")) for o in orders))).alias("hubs"),
         (F.min("class") != F.max("class")).alias("mixed"))
     hubs = cut_lineage(hubs.filter("mixed").select("bucket", F.explode("hubs").alias("hub")))
     pairs = members.join(hubs, "bucket").filter(F.col("class") != F.col("hub.class"))
@@ -120,9 +123,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one = cut_lineage(rows.filter("sig is not null").groupBy("key").agg(
         F.min("id").alias("id"), F.first("sig").alias("sig")))
     size = 4 * ROWS
-    bands = one.select("key", F.posexplode(F.transform(
+    bands = one.select("key", "id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.substring("sig", b * size + 1, F.lit(size)))))
-    bands = bands.select("key", F.xxhash64("pos", "col").alias("bucket"))
+    bands = bands.select("key", "id", F.xxhash64("pos", "col").alias("bucket"))
     shared = bands.groupBy("bucket").count().filter("count > 1").select("bucket")
     members = cut_lineage(bands.join(shared, "bucket"))
     # the texts that candidates can come from, once each
@@ -130,8 +133,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = texts.select(F.unhex(F.md5("text")).alias("key"), "text")
     texts = texts.join(members.select("key").distinct(), "key", "left_semi")
     texts = cut_lineage(texts.groupBy("key").agg(F.first("text").alias("text")))
-    found, seed = None, 0
-    while True:
+    found = None
+    for seed in range(ROUNDS):
         now = members.withColumn("class", F.col("key"))
         if found is not None:
             known = found.select(F.col("id").alias("key"), "component")
@@ -142,7 +145,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         edges = new.select(F.col("a").alias("src"), F.col("b").alias("dst"))
         if found is not None:                   # classes so far stand as stars
             edges = edges.union(found.select("id", "component"))
-        found, seed = cut_lineage(connected_components(edges)), seed + 1
+        found = cut_lineage(connected_components(edges))
     if found is None:
         named = one.select("key", F.col("key").alias("class"), F.col("id").alias("class_id"))
     else:
