@@ -7,14 +7,15 @@
    a bucket.  Two texts of similarity 0.8 share none with probability
    (1 - 0.8^4)^24 < 4e-6.
 3. No bucket is ever gathered or paired within itself.  In each bucket the text
-   with the least id and ``HUBS - 1`` drawn by a hash (others in every band) are
-   hubs, and the bucket's members are candidates with them only: rows in
-   proportion to the members, by joins whose large partitions Spark can split.
+   with the least id is a hub, and the bucket's members are candidates with it
+   only: rows in proportion to the members, by joins whose large partitions Spark
+   can split.
 4. A candidate pair whose registers agree too seldom for 0.8 is dropped (loss
    below 1e-5 per pair); the others are checked by the exact weighted Jaccard
    similarity of their shingle multisets.
-5. Links give classes (connected components).  A further round draws new hubs in
-   the buckets that still hold several classes; its links extend the classes.
+5. Links give classes (connected components).  In a further round ``HUBS``
+   texts drawn by a hash (others in every band) are hubs of the buckets that still
+   hold several classes; its links extend the classes.
 
 Links are exact.  A text of a large, loose group can stay outside its class where
 all hubs of all its buckets in both rounds are among the texts that it is not
@@ -41,7 +42,7 @@ from rill.llm.common import text_steps
 from rill.operators.graph.components import connected_components
 from rill.session import cut_lineage
 
-ROWS, BANDS, HUBS, ROUNDS = 4, 24, 4, 2
+ROWS, BANDS, HUBS, ROUNDS = 4, 24, 2, 2
 LEAST, AGREE = 0.8, 58                # similarity; registers of 96 for a check
 #: Text pairs checked at once.
 CHECKED = 256
@@ -102,10 +103,9 @@ def agreeing(pairs: DataFrame) -> DataFrame:
 def with_hubs(members: DataFrame, seed: int) -> DataFrame:
     """Candidate pairs of the members (bucket, key, id, class) of mixed buckets
     with hubs of another class in their bucket."""
-    orders = [F.struct(F.xxhash64("key", "bucket", F.lit(seed * HUBS + i)).alias("draw"), "key", "class")
-              for i in range(HUBS)]
-    if not seed:                                # copies mostly come after what they copy
-        orders[0] = F.struct(F.col("id").isNull().alias("none"), "id", "key", "class")
+    # copies mostly come after what they copy, so the least id is hub at first
+    orders = [F.struct(F.col("id").isNull().alias("none"), "id", "key", "class")] if not seed else [
+        F.struct(F.xxhash64("key", "bucket", F.lit(seed * HUBS + i)).alias("draw"), "key", "class") for i in range(HUBS)]
     hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*(
         F.struct(F.min(o)["key"].alias("key"), F.min(o)["class"].alias("class")) for o in orders))).alias("hubs"),
         (F.min("class") != F.max("class")).alias("mixed"))
