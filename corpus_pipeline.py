@@ -16,7 +16,7 @@ from rill.llm.common import fold, table, vocabulary_file
 from rill.session import cut_lineage
 
 #: Least pooled probability of the predicted language.
-LEAST_LANGUAGE = 0.5
+LEAST_LANGUAGE = 0.35
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
