@@ -6,20 +6,21 @@
 2. The signature is cut into ``BANDS`` bands; texts that agree in a band share
    a bucket.  Two texts of similarity 0.8 share none with probability
    (1 - 0.8^4)^24 < 4e-6.
-3. No bucket is ever gathered or paired within itself.  In each bucket the text
-   with the least id is a hub, and the bucket's members are candidates with it
-   only: rows in proportion to the members, by joins whose large partitions Spark
-   can split.
+3. In each bucket the text with the least id is the hub, and the bucket's members
+   are candidates with it: rows in proportion to the members, by joins whose
+   large partitions Spark can split.
 4. A candidate pair whose registers agree too seldom for 0.8 is dropped (loss
    below 1e-5 per pair); the others are checked by the exact weighted Jaccard
    similarity of their shingle multisets.
-5. Links give classes (connected components).  In a further round ``HUBS``
-   texts drawn by a hash (others in every band) are hubs of the buckets that still
-   hold several classes; its links extend the classes.
+5. Links give classes (connected components).  Where the members besides the hub
+   are still of several classes, all their pairs of different classes are
+   compared (``rest``).  A bucket is dealt into parts of about ``PART`` texts and
+   every two parts meet in one group, so no task holds a large bucket; pairs are
+   made inside a group only, each in the first band that both texts share.
 
-Links are exact.  A text of a large, loose group can stay outside its class where
-all hubs of all its buckets in both rounds are among the texts that it is not
-similar to; tests measure this against brute force.
+So every pair that shares a bucket is compared or already in one class, and the
+classes are those of all such pairs.  The work of step 5 grows with the square of
+what a bucket still holds, its rows with that square over ``PART``.
 
 Defined cases: a text without words (null, empty) is alone in its class, one of
 fewer than five words is one shingle; null ids are no class ids unless a class
@@ -38,21 +39,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rill.llm import bagminhash
-from rill.llm.common import text_steps
+from rill.llm.common import STEP_BYTES, text_steps
 from rill.operators.graph.components import connected_components
 from rill.session import cut_lineage
 
-ROWS, BANDS, HUBS, ROUNDS = 4, 24, 2, 2
+ROWS, BANDS = 4, 24
 LEAST, AGREE = 0.8, 58                # similarity; registers of 96 for a check
-#: Text pairs checked at once.
-CHECKED = 256
+#: Text pairs checked at once; texts of a part of a bucket.
+CHECKED, PART = 256, 256
 
 
 def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*",)) -> DataFrame:
-    """doc (struct), key, and sig (null without words)."""
+    """doc (struct), key, sig (null without words) and size (bytes of the text)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*carry).alias("doc"),
-                       F.unhex(F.md5(text)).alias("key"), text.alias("text"))
+                       F.unhex(F.md5(text)).alias("key"), F.octet_length(text).alias("size"), text.alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,10 +65,10 @@ def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*
                 size = 4 * bagminhash.REGISTERS
                 data = pa.Array.from_buffers(pa.binary(size), len(step), [None, pa.py_buffer(sig)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*step.columns[:2], pc.if_else(pa.array(empty), pa.scalar(None, pa.binary()), data)],
-                    ["doc", "key", "sig"])
+                    [*step.columns[:3], pc.if_else(pa.array(empty), pa.scalar(None, pa.binary()), data)],
+                    ["doc", "key", "size", "sig"])
 
-    return rows.mapInArrow(run, f"doc {kind}, key binary, sig binary")
+    return rows.mapInArrow(run, f"doc {kind}, key binary, size int, sig binary")
 
 
 def check(pairs: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
@@ -100,18 +101,76 @@ def agreeing(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
 
 
-def with_hubs(members: DataFrame, seed: int) -> DataFrame:
-    """Candidate pairs of the members (bucket, key, id, class) of mixed buckets
-    with hubs of another class in their bucket."""
-    # copies mostly come after what they copy, so the least id is hub at first
-    orders = [F.struct(F.col("id").isNull().alias("none"), "id", "key", "class")] if not seed else [
-        F.struct(F.xxhash64("key", "bucket", F.lit(seed * HUBS + i)).alias("draw"), "key", "class") for i in range(HUBS)]
-    hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*(
-        F.struct(F.min(o)["key"].alias("key"), F.min(o)["class"].alias("class")) for o in orders))).alias("hubs"),
-        (F.min("class") != F.max("class")).alias("mixed"))
-    hubs = cut_lineage(hubs.filter("mixed").select("bucket", F.explode("hubs").alias("hub")))
-    pairs = members.join(hubs, "bucket").filter(F.col("class") != F.col("hub.class"))
-    return pairs.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
+def likely(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """The pairs of a group of two parts (p, q) that the similarity check is for:
+    a member and the later ones that agree with it often enough, are of another
+    class and the other part, and share no earlier band."""
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u4").reshape(len(group), -1)
+    class_ = group.column("class").combine_chunks().dictionary_encode().indices.to_numpy()
+    part = group.column("part").to_numpy()
+    two, pos = group.column("p")[0] != group.column("q")[0], group.column("pos")[0].as_py()
+    for i in range(len(group) - 1):
+        other = class_[i + 1:] != class_[i]
+        if two:
+            other &= part[i + 1:] != part[i]
+        j = i + 1 + np.flatnonzero(other)
+        same = sig[j] == sig[i]
+        enough = same.sum(1) >= AGREE
+        j, same = j[enough], same[enough]
+        j = j[same[:, :ROWS * BANDS].reshape(len(j), BANDS, ROWS).all(2).argmax(1) == pos]
+        if len(j):
+            yield i, j
+
+
+def with_partner(group: pa.Table) -> pa.Table:
+    """The members that have a pair to check."""
+    use = np.zeros(len(group), bool)
+    for i, j in likely(group):
+        use[i] = use[j] = True
+    return group.filter(pa.array(use))
+
+
+def linked(group: pa.Table) -> pa.Table:
+    """Pairs of classes with a similar pair of texts, as many as join them."""
+    owner, code, weight = bagminhash.shingles(group.column("text"))
+    number = np.unique(code, return_inverse=True)[1]
+    at = np.searchsorted(owner, np.arange(len(group) + 1))
+    total = np.add.reduceat(weight, at[:-1])
+    class_ = group.column("class").combine_chunks().dictionary_encode()
+    root, found = class_.indices.to_numpy().copy(), []
+    mine = np.zeros(number.max() + 1, np.int64)
+    for i, j in likely(group):
+        j = j[root[j] != root[i]]
+        if not len(j):
+            continue
+        mine[number[at[i]:at[i + 1]]] = weight[at[i]:at[i + 1]]
+        size = at[j + 1] - at[j]
+        begin = np.cumsum(size) - size
+        there = np.arange(size.sum()) + np.repeat(at[j] - begin, size)
+        shared = np.add.reduceat(np.minimum(mine[number[there]], weight[there]), begin)
+        mine[number[at[i]:at[i + 1]]] = 0
+        for k in j[shared / (total[i] + total[j] - shared) >= LEAST]:
+            if root[k] != root[i]:
+                found.append((i, k))
+                root[root == root[k]] = root[i]
+    a, b = (group.column("class").take(pa.array([x[k] for x in found], pa.int64())) for k in range(2))
+    return pa.table({"a": a, "b": b})
+
+
+def rest(others: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that belong together, from all pairs of the members
+    besides the hubs (bucket, pos, key, size, class)."""
+    mixed = others.groupBy("bucket").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / STEP_BYTES)).alias("parts"),
+        (F.min("class") != F.max("class")).alias("mixed")).filter("mixed").drop("mixed")
+    rows = others.drop("size").join(mixed, "bucket")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key", "bucket"), "parts"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = rows.select("bucket", "pos", F.least("part", "with").alias("p"), F.greatest("part", "with").alias("q"),
+                       "part", "key", "class")
+    rows = rows.join(one.select("key", "sig"), "key").select(*rows.columns, "sig")
+    rows = cut_lineage(rows.groupBy("bucket", "p", "q").applyInArrow(with_partner, rows.schema))
+    return rows.join(texts, "key").groupBy("bucket", "p", "q").applyInArrow(linked, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -121,11 +180,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = cut_lineage(signed(docs, text_col, carry or (id_col,)))
     rows = rows.withColumn("id", F.col(f"doc.{id_col}"))
     one = cut_lineage(rows.filter("sig is not null").groupBy("key").agg(
-        F.min("id").alias("id"), F.first("sig").alias("sig")))
+        F.min("id").alias("id"), F.first("size").alias("size"), F.first("sig").alias("sig")))
     size = 4 * ROWS
-    bands = one.select("key", "id", F.posexplode(F.transform(
+    bands = one.select("key", "id", "size", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.substring("sig", b * size + 1, F.lit(size)))))
-    bands = bands.select("key", "id", F.xxhash64("pos", "col").alias("bucket"))
+    bands = bands.select("key", "id", "size", "pos", F.xxhash64("pos", "col").alias("bucket"))
     shared = bands.groupBy("bucket").count().filter("count > 1").select("bucket")
     members = cut_lineage(bands.join(shared, "bucket"))
     # the texts that candidates can come from, once each
@@ -133,19 +192,29 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = texts.select(F.unhex(F.md5("text")).alias("key"), "text")
     texts = texts.join(members.select("key").distinct(), "key", "left_semi")
     texts = cut_lineage(texts.groupBy("key").agg(F.first("text").alias("text")))
+    # copies mostly come after what they copy, so the least id is the hub
+    hubs = cut_lineage(members.groupBy("bucket").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"].alias("hub")))
+    others = cut_lineage(members.join(hubs, "bucket").filter("key != hub").drop("id"))
+    pairs = others.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+    new = cut_lineage(check(pairs, one, texts))
     found = None
-    for seed in range(ROUNDS):
-        now = members.withColumn("class", F.col("key"))
-        if found is not None:
-            known = found.select(F.col("id").alias("key"), "component")
-            now = members.join(known, "key", "left").withColumn("class", F.coalesce("component", "key")).drop("component")
-        new = cut_lineage(check(with_hubs(now, seed), one, texts))
-        if new.isEmpty():
-            break
-        edges = new.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        if found is not None:                   # classes so far stand as stars
-            edges = edges.union(found.select("id", "component"))
-        found = cut_lineage(connected_components(edges))
+    if not new.isEmpty():
+        found = cut_lineage(connected_components(new.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    others = others.drop("hub").withColumn("class", F.col("key"))
+    if found is not None:
+        known = found.select(F.col("id").alias("key"), "component")
+        others = others.join(known, "key", "left").withColumn("class", F.coalesce("component", "key")).drop("component")
+    new = cut_lineage(rest(cut_lineage(others), one, texts))
+    if not new.isEmpty():
+        # classes by classes; a class is named after one of its texts
+        more = cut_lineage(connected_components(new.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+        if found is None:
+            found = more
+        else:
+            wider = found.join(more.select(F.col("id").alias("component"), F.col("component").alias("wide")), "component", "left")
+            wider = wider.select("id", F.coalesce("wide", "component").alias("component"))
+            found = cut_lineage(wider.unionByName(more.join(found.select("id"), "id", "left_anti")))
     if found is None:
         named = one.select("key", F.col("key").alias("class"), F.col("id").alias("class_id"))
     else:
@@ -157,7 +226,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "key", F.coalesce("component", "key").alias("class"),
             F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"))
     # texts without words have no row in ``named``: each is a class of its own
-    out = rows.drop("sig").join(cut_lineage(named.withColumnsRenamed({"key": "k"})), F.col("key") == F.col("k"), "left")
+    out = rows.drop("sig", "size").join(cut_lineage(named.withColumnsRenamed({"key": "k"})), F.col("key") == F.col("k"), "left")
     return out.select("doc", "key", "id", "class", F.when(F.col("k").isNull(), F.col("id")).otherwise(
         F.col("class_id")).alias("class_id"))
 

@@ -114,6 +114,24 @@ def test_planted_classes(spark):
     assert all(apart[r["class_id"]] == apart[r["doc"]["doc_id"]] for r in got if r["doc"]["doc_id"] is not None)
 
 
+def loose(pairs):
+    """A group of texts of similarity 0.78, each with one partner at 0.815."""
+    rng = random.Random(7)
+    common, rows = " ".join(f"c{i}" for i in range(124)), []
+    for g in range(pairs):
+        own = [" ".join(f"x{rng.random()}" for _ in range(n)) for n in (3, 14, 14)]
+        rows += [(g, f"{common} {own[0]} {own[1]}"), (100_000 + g, f"{common} {own[0]} {own[2]}")]
+    return rows
+
+
+def test_pairs_of_a_loose_group(spark):
+    rows = loose(400)                           # more than one part of a bucket
+    assert 0.77 < jaccard(bag(rows[0][1]), bag(rows[2][1])) < 0.79 and jaccard(bag(rows[0][1]), bag(rows[1][1])) > 0.81
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc"]["doc_id"]: r["class_id"] for r in neardup.classes(docs).collect()}
+    assert [i for i in got if got[i] != i % 100_000] == []
+
+
 def test_one_of_each_class_stays(spark):
     rows = planted()
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, row int")
