@@ -7,9 +7,11 @@ The loss mask holds the byte ranges of the (escaped) texts of assistant turns.
 
 A batch of turns is formatted without a loop over turns: segment lengths give
 cumulative offsets, these give scatter indices, and headers and contents are
-copied into one buffer allocated once.  A conversation is one value of the
-output, so its turns meet in one task, sorted by turn; they stream through in
-Arrow batches, and only the batch and the conversation under way are held.
+copied into one buffer allocated once.  A conversation comes out in segments of
+about ``SEGMENT`` bytes, cut between turns, with their number and first byte, so
+that tasks hold a step of a batch and never a whole conversation.  Its turns meet
+in one task, sorted by Spark, because their order and the digests of what is read
+back run from its first turn to its last.
 
 Defined cases: a null role or text is empty; rows without conv_id form one
 conversation without id; turns that repeat are ordered by role and text, null
@@ -28,11 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rill.llm.common import raw
+from rill.llm.common import raw, text_steps
 
 # The template's control strings.
 ROLE, TEXT, END = b"<|role|>", b"<|text|>", b"<|end|>"
 LEARNED = "assistant"
+#: Bytes of a segment (the last turn may pass it); text bytes handled at once.
+SEGMENT, STEP = 16 << 10, 4 << 20
 
 
 def escape(texts: pa.Array) -> pa.Array:
@@ -72,34 +76,6 @@ def string(data: np.ndarray, ends: np.ndarray) -> pa.Array:
         len(ends) - 1, pa.py_buffer(np.ascontiguousarray(ends, np.int64)), pa.py_buffer(data)).cast(pa.string())
 
 
-def finished(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """The sorted rows in pieces that hold whole groups of ``key``."""
-    open_: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        keys = batch.column(key)
-        last = keys[-1]
-        if last.is_valid:
-            same = pc.equal(keys, last).fill_null(False).to_numpy(zero_copy_only=False)
-        else:
-            same = keys.is_null().to_numpy(zero_copy_only=False)
-        start = int(np.argmax(same))            # the rows of the last group
-        if open_ and (start > 0 or not open_[-1].column(key)[-1].equals(last)):
-            yield pa.Table.from_batches([*open_, batch.slice(0, start)]).combine_chunks()
-            open_ = []
-        elif start > 0:
-            yield pa.Table.from_batches([batch.slice(0, start)]).combine_chunks()
-        open_.append(batch.slice(start))
-    if open_:
-        yield pa.Table.from_batches(open_).combine_chunks()
-
-
-def one(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) and column.num_chunks != 1 else \
-        column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-
-
 def starts_of(keys: pa.Array) -> np.ndarray:
     """Where the groups of equal neighbours begin."""
     if not len(keys):
@@ -111,8 +87,9 @@ def starts_of(keys: pa.Array) -> np.ndarray:
 
 def format_turns(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
-    """Per conversation: ``id_col``, n_turns, formatted, mask (array of start
-    and end in bytes of what is learned from)."""
+    """Per segment of a conversation: ``id_col``, segment (number from 0), start (its
+    first byte in the conversation), n_turns, formatted, mask (array of start and
+    end, in bytes of the conversation, of what is learned from)."""
     rows = turns.select(F.col(id_col), F.col(turn_col).alias("turn"),
                         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -120,21 +97,36 @@ def format_turns(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     rows = rows.repartition(id_col).sortWithinPartitions(id_col, "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in finished(batches, id_col):
-            ids, roles, texts = one(part[id_col]), one(part["role"]), one(part["text"])
-            data, ends, begin, stop = assemble(roles, texts)
-            first = starts_of(ids)
-            bounds = np.append(first, len(ids))
-            learned = pc.equal(roles, LEARNED).to_numpy(zero_copy_only=False)
-            base = np.repeat(ends[first], np.diff(bounds))
-            masks = pa.StructArray.from_arrays(
-                [pa.array((x - base)[learned], pa.int64()) for x in (begin, stop)], ["start", "end"])
-            offsets = np.append(0, np.cumsum(learned))[bounds].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(first)), pa.array(np.diff(bounds), pa.int64()), string(data, ends[bounds]),
-                 pa.ListArray.from_arrays(pa.array(offsets), masks)], [id_col, "n_turns", "formatted", "mask"])
-
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_turns long, formatted string, "
+        last, segments, length = None, 0, 0     # the conversation under way
+        for batch in batches:
+            for part in text_steps(batch, "text", STEP):
+                ids, roles, texts = (part.column(c) for c in (id_col, "role", "text"))
+                data, ends, begin, stop = assemble(roles, texts)
+                new = starts_of(ids)
+                turns = np.diff(np.append(new, len(ids)))
+                piece = (ends[:-1] - np.repeat(ends[new], turns)) // SEGMENT
+                cut = np.append(True, piece[1:] != piece[:-1])
+                cut[new] = True
+                first = np.flatnonzero(cut)
+                bounds = np.append(first, len(ids))
+                owner = np.searchsorted(new, first, side="right") - 1
+                shift = -ends[new]              # from bytes of the step to bytes of the conversation
+                number = np.arange(len(first)) - np.searchsorted(first, new)[owner]
+                if last is not None and last.equals(ids[0]):
+                    shift[0] += length
+                    number[owner == 0] += segments
+                last, segments, length = ids[-1], int(number[-1]) + 1, int(ends[-1] + shift[-1])
+                learned = pc.equal(roles, LEARNED).to_numpy(zero_copy_only=False)
+                masks = pa.StructArray.from_arrays(
+                    [pa.array((x + np.repeat(shift, turns))[learned], pa.int64()) for x in (begin, stop)], ["start", "end"])
+                offsets = np.append(0, np.cumsum(learned))[bounds].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(first)), pa.array(number, pa.int64()), pa.array(ends[first] + shift[owner], pa.int64()),
+                     pa.array(np.diff(bounds), pa.int64()), string(data, ends[bounds]),
+                     pa.ListArray.from_arrays(pa.array(offsets), masks)],
+                    [id_col, "segment", "start", "n_turns", "formatted", "mask"])
+
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, segment long, start long, n_turns long, formatted string, "
                                 "mask array<struct<start:long,end:long>>")
 
 
@@ -153,36 +145,65 @@ def read_turns(formatted: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
     return parts[0], parts[1], np.searchsorted(role, ends)
 
 
-def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """What formatted conversations and their masks hold, as counts and digests."""
+def read_back(formatted: DataFrame, id_col: str = "conv_id", in_order: bool = False) -> DataFrame:
+    """What formatted conversations and their masks hold, as counts and digests.
+    Sorted segments feed the running digests of the conversation under way; with
+    ``in_order`` they come straight from ``format_turns`` and need no sort."""
     kind = formatted.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [id_col, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        state, done, last = None, [], None
+
+        def out(id_type: pa.DataType) -> pa.RecordBatch:
+            columns = zip(*done, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, [id_type, *types], strict=True)], names)
+
+        def end() -> None:
+            if state is not None:
+                done.append((last.as_py(), state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
+
         for batch in batches:
-            texts = batch.column("formatted")
-            roles, contents, first = read_turns(texts)
-            lines = pc.binary_join_element_wise(roles, contents, "", "\n").cast(pa.large_binary())
-            at, data = raw(lines)
-            turn_digest = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(at[first[:-1]], at[first[1:]], strict=True)]
-            # the text under the masks
-            ends, whole = raw(texts.cast(pa.large_binary()))
-            spans, counts = batch.column("mask").flatten(), batch.column("mask").value_lengths().to_numpy()
-            owner = np.repeat(ends[:-1], counts)
-            a, b = (spans.field(k).to_numpy(zero_copy_only=False) + owner for k in ("start", "end"))
-            size = (b - a).astype(np.int64)
-            stops = np.append(0, np.cumsum(size))
-            picked = whole[np.arange(stops[-1]) + np.repeat(a - stops[:-1], size).astype(np.int64)]
-            learned = unescape(string(picked, stops))
-            chars = np.append(0, np.cumsum(pc.utf8_length(learned).to_numpy(zero_copy_only=False)))
-            at, data = raw(learned.cast(pa.large_binary()))
-            bounds = np.append(0, np.cumsum(counts)).astype(np.int64)
-            loss = [hashlib.sha256(data[x:y]).hexdigest() for x, y in zip(at[bounds[:-1]], at[bounds[1:]], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col), pa.array(np.diff(first), pa.int64()), pa.array(turn_digest, pa.string()),
-                 pa.array(np.diff(chars[bounds]), pa.int64()), pa.array(loss, pa.string()),
-                 pc.utf8_length(texts).cast(pa.int64())],
-                [id_col, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    return formatted.select(id_col, "formatted", "mask").mapInArrow(
+            for step in text_steps(batch, "formatted", STEP):
+                ids, texts = step.column(id_col), step.column("formatted")
+                roles, contents, first = read_turns(texts)
+                lines = pc.binary_join_element_wise(roles, contents, "", "\n").cast(pa.large_binary())
+                at, said = raw(lines)
+                # the text under the masks
+                ends, whole = raw(texts.cast(pa.large_binary()))
+                spans, counts = step.column("mask").flatten(), step.column("mask").value_lengths().to_numpy()
+                owner = np.repeat(ends[:-1] - step.column("start").to_numpy(), counts)
+                a, b = (spans.field(k).to_numpy(zero_copy_only=False) + owner for k in ("start", "end"))
+                size = (b - a).astype(np.int64)
+                stops = np.append(0, np.cumsum(size))
+                picked = whole[np.arange(stops[-1]) + np.repeat(a - stops[:-1], size).astype(np.int64)]
+                learned = unescape(string(picked, stops))
+                chars = np.append(0, np.cumsum(pc.utf8_length(learned).to_numpy(zero_copy_only=False)))
+                lost, loss = raw(learned.cast(pa.large_binary()))
+                bounds = np.append(0, np.cumsum(counts)).astype(np.int64)
+                long = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+                new = set(starts_of(ids).tolist())
+                for k in range(len(step)):
+                    if k in new and not (k == 0 and last is not None and last.equals(ids[0])):
+                        end()
+                        state, last = [0, hashlib.sha256(), 0, hashlib.sha256(), 0], ids[k]
+                    state[0] += int(first[k + 1] - first[k])
+                    state[1].update(said[at[first[k]]:at[first[k + 1]]])
+                    state[2] += int(chars[bounds[k + 1]] - chars[bounds[k]])
+                    state[3].update(loss[lost[bounds[k]]:lost[bounds[k + 1]]])
+                    state[4] += int(long[k])
+                if done:
+                    yield out(ids.type)
+                    done = []
+        if state is not None:
+            end()
+            yield out(last.type)
+
+    rows = formatted.select(id_col, "segment", "start", "formatted", "mask")
+    if not in_order:
+        rows = rows.repartition(id_col).sortWithinPartitions(id_col, "segment")
+    return rows.mapInArrow(
         run, f"`{id_col}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
              "formatted_chars long")

@@ -75,7 +75,7 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"))
-    return chat.read_back(chat.format_turns(turns.union(hard)))
+    return chat.read_back(chat.format_turns(turns.union(hard)), in_order=True)
 
 
 @query

@@ -54,6 +54,21 @@ def test_odd_turns(spark):
         assert [data[m["start"]:m["end"]] for m in r["mask"]] == [b"a", b"a", b"b"]
 
 
+def test_long_conversations_come_in_bounded_segments(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{t}é<|" * 40) for c in (7, None) for t in range(12_000)]
+    rows += [(8, 0, "assistant", "x" * 100_000), (8, 1, "user", "y")]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_turns(docs.repartition(3))
+    got = sorted(((r["conv_id"] or 0, r["segment"], r["start"], r["n_turns"], len(r["formatted"].encode())) for r in made.collect()))
+    for c, n in ((0, 12_000), (7, 12_000), (8, 2)):
+        mine = [r for r in got if r[0] == c]
+        assert [r[1] for r in mine] == list(range(len(mine))) and sum(r[3] for r in mine) == n
+        assert [r[2] for r in mine] == [sum(r[4] for r in mine[:k]) for k in range(len(mine))]
+        assert c == 8 or max(r[4] for r in mine) < chat.SEGMENT + 1000
+    check(rows, chat.read_back(made.repartition(4)).collect())
+    check(rows, chat.read_back(made, in_order=True).collect())
+
+
 def test_escape_is_reversible():
     texts = pa.array(["", "<|", "<\\|", "\\<|", "<\\\\|", "\\\\", "<", "|", "<<||", "\\|<"])
     escaped = chat.escape(texts)
