@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rill.llm import bpe, chat, langid, neardup, packing, pii, quality_cnn, quality_rules, topk, warc
+from rill.llm import (bpe, chat, langid, neardup, packing, periodic, phrases, pii, quality_cnn, quality_rules, topk,
+                      warc)
 from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -105,3 +112,80 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10
 """
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; texts whose id's crc32 h ends in 0 (a null id counts as
+    empty text) repeat p of their words from word a on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select("doc_id", h.alias("h"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def tail(text: str, h: int) -> str:
+        words, g = re.findall(r"[^\x20\x09-\x0D]+", text), h // 10
+        n = len(words)
+        if not n:
+            return text
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return " ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, h = batch.column("text"), batch.column("h").to_numpy()
+            use = np.flatnonzero(h % 10 == 0)
+            new = [tail(t, int(x)) for t, x in zip(text.take(pa.array(use)).to_pylist(), h[use], strict=True)]
+            text = pc.replace_with_mask(text, pa.array(h % 10 == 0), pa.array(new, text.type))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text], ["doc_id", "text"])
+
+    return rows.mapInArrow(run, docs.select("doc_id", "text").schema)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, a tenth of the texts given a periodic tail first."""
+    docs = with_periodic_tails(table(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.find(docs, carry=("doc_id",)))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of each language."""
+    return phrases.best_of_each(phrases.collocations(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM p, (VALUES (1), (2), (3), (4)) AS s(k)
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL
+), size AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS MATERIALIZED (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30
+), inner_part AS (
+  SELECT c.lang, array_to_string(c.w[i.i:i.i + m.m - 1], ' ') AS phrase, max(c.a) AS most
+  FROM c, (VALUES (2), (3)) AS m(m), (VALUES (1), (2), (3)) AS i(i)
+  WHERE m.m < c.k AND i.i + m.m - 1 <= c.k GROUP BY ALL
+), two AS MATERIALIZED (
+  SELECT c.lang, c.phrase, c.a, j.j, array_to_string(c.w[1:j.j], ' ') AS head, array_to_string(c.w[j.j + 1:], ' ') AS tail
+  FROM c, (VALUES (1), (2), (3)) AS j(j) WHERE j.j < c.k
+), cut AS (
+  SELECT two.lang, two.phrase, two.a, j, x.a AS l, y.a AS r,
+         CAST((2000000 * CAST(two.a AS HUGEINT)) // (x.a + y.a) AS BIGINT) AS score
+  FROM two JOIN f x ON x.lang = two.lang AND x.phrase = two.head JOIN f y ON y.lang = two.lang AND y.phrase = two.tail
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inner_part i USING (lang, phrase) WHERE i.most IS NULL OR 100 * i.most < 80 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN size USING (lang)
+QUALIFY rank <= 2000
+"""
