@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rill.llm import (bpe, chat, langid, neardup, packing, periodic, phrases, pii, quality_cnn, quality_rules, topk,
-                      warc)
+from rill.llm import (bpe, chat, langid, neardup, nndescent, packing, periodic, phrases, pii, quality_cnn, quality_rules,
+                      topk, warc)
 from rill.llm.common import fold, table, vocabulary_file
 
 QUERIES, ORACLES = {}, {}
@@ -114,6 +114,15 @@ WHERE rank <= 10
 """
 
 
+@query
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    index = nndescent.build(vectors, copies=6)
+    queries = nndescent.valid(vectors, "vec_id", "embedding").filter(F.col("id") % 50 == 0)
+    return nndescent.search(index, queries, 5)
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """doc_id and text; texts whose id's crc32 h ends in 0 (a null id counts as
     empty text) repeat p of their words from word a on."""
