@@ -6,46 +6,95 @@ directions, duplicates included); a vertex adopts the label it received
 most often, ties going to the smallest label; a vertex that received
 nothing keeps its label.  The loop ends after ``rounds`` rounds or at a
 fixpoint (which later rounds would not change).
+
+Votes are kept, not counted anew: a table (vertex, label, votes) changes by
+what the vertices that switched labels take away and add.  A round joins the
+edges of those vertices alone, and only vertices whose votes changed choose
+again.  The table is a base in buckets by vertex and the changes since; when
+these have grown to the size of the base, both become a new base.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rill.operators.graph.core import vertices_of
-from rill.session import cut_lineage, release
+from rill.operators.graph.core import split_hubs, to_parts, vertices_of
+from rill.session import cut_lineage, release, store_bucketed
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The stored rows and their number, counted while they are written."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return stored, seen.get["n"]
+
+
+def _choice(votes: DataFrame) -> DataFrame:
+    """Most votes, then the smallest label: one aggregate with partial maxima."""
+    best = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("label")).alias("neg"))).alias("b"))
+    return best.select("id", (-F.col("b.neg")).alias("new"))
+
+
+def _sum_votes(votes: DataFrame) -> DataFrame:
+    return votes.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def label_propagation(edges: DataFrame, rounds: int = 50, checkpoint_every: int = 5) -> DataFrame:
-    """``id, label`` after up to ``rounds`` synchronous rounds."""
+def label_propagation(edges: DataFrame, rounds: int = 50,
+                      told: Callable[[int, int, int], None] = lambda *_: None) -> DataFrame:
+    """``id, label`` after up to ``rounds`` synchronous rounds.  ``told`` hears
+    each round's number, the vertices that switched and the vote rows they changed."""
     e = edges.select("src", "dst")
-    to = cut_lineage(e.select(F.col("src").alias("frm"), F.col("dst").alias("to"))
-                     .unionByName(e.select(F.col("dst").alias("frm"), F.col("src").alias("to"))))
+    both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    # parallel edges are one row with their number
+    both = both.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    parts, hubs = split_hubs(both)
+    to = store_bucketed(parts, ["src", "src_part"])
+    release(parts)
     labels = cut_lineage(vertices_of(edges).select("id", F.col("id").alias("label")))
-    prev = None
-    last_cut = labels
+    base = store_bucketed(to.select(F.col("dst").alias("id"), F.col("src").alias("label"), "n"), "id")
+    in_base, since, in_since = base.count(), [], 0
+    touched = None                                  # vertices whose votes changed; None: all
     for i in range(rounds):
-        votes = (to.join(labels.withColumnRenamed("id", "frm"), "frm")
-                 .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
-        # most votes, then the smallest label: max of (n, -label), one aggregate
-        pick = (votes.groupBy(F.col("to").alias("id"))
-                .agg(F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("b"))
-                .select("id", (-F.col("b.neg")).alias("new")))
-        nxt = (labels.join(pick, "id", "left")
-               .select("id", F.coalesce("new", "label").alias("label"), F.col("label").alias("old")))
-        if (i + 1) % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-            release(last_cut)
-            last_cut = nxt
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        changed = nxt.where(F.col("label") != F.col("old")).limit(1).count()
-        if prev is not None:
-            prev.unpersist()
-        prev = nxt
-        labels = nxt.select("id", "label")
-        if changed == 0:
+        votes = base
+        for d in since:
+            votes = votes.unionByName(d)
+        if touched is not None:
+            votes = votes.join(touched, "id", "left_semi")
+        if since:
+            votes = _sum_votes(votes)
+        switched, count = _counted(_choice(votes).join(labels, "id").where(F.col("new") != F.col("label"))
+                                   .select("id", F.col("label").alias("old"), "new"))
+        release(touched)
+        if not count:
+            told(i, 0, 0)
+            release(switched)
             break
+        before, labels = labels, cut_lineage(
+            labels.join(switched, "id", "left").select("id", F.coalesce("new", "label").alias("label")))
+        release(before)
+        moved = to.join(to_parts(switched, hubs), (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
+        change = moved.select(F.col("dst").alias("id"), F.explode(F.array(
+            F.struct(F.col("old").alias("label"), (-F.col("n")).alias("n")),
+            F.struct(F.col("new").alias("label"), F.col("n")))).alias("v")).select("id", "v.label", "v.n")
+        change, rows = _counted(change.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n != 0"))
+        release(switched)
+        told(i, count, rows)
+        touched = cut_lineage(change.select("id").distinct())
+        since.append(change)
+        in_since += rows
+        if in_since > in_base or len(since) >= 8:
+            whole = base
+            for d in since:
+                whole = whole.unionByName(d)
+            new = store_bucketed(_sum_votes(whole), "id")
+            for used in (base, *since):
+                release(used)
+            base, in_base, since, in_since = new, new.count(), [], 0
+    else:
+        release(touched)
+    for used in (base, *since, to, hubs):
+        release(used)
     return labels

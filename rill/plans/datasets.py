@@ -72,6 +72,23 @@ def tweet_lines(ev: DataFrame) -> DataFrame:
     )
 
 
+#: First days of the time slices of ``events`` (from the activity epoch on).
+SLICE_DAYS = (0, 6, 12, 18, 24)
+
+
+def event_slices(spark: SparkSession, sf_dir: str, order: tuple[int, ...] | None = None) -> list[DataFrame]:
+    """``events`` in time slices of six days (the first and last are open), in the
+    given order of slice numbers; together they are the whole table.  The bounds
+    reach the scan."""
+    ev = table(spark, sf_dir, "events")
+    bounds = [F.expr(f"TIMESTAMP_NTZ'{ACTIVITY_EPOCH}' + INTERVAL {d} DAYS") for d in SLICE_DAYS]
+    parts = []
+    for i in range(len(SLICE_DAYS)):
+        part = ev if i == 0 else ev.where(F.col("ts") >= bounds[i])
+        parts.append(part if i + 1 == len(SLICE_DAYS) else part.where(F.col("ts") < bounds[i + 1]))
+    return [parts[i] for i in (order or range(len(parts)))]
+
+
 def activity_edges(spark: SparkSession, sf_dir: str,
                    window: tuple[int, int] | None = None) -> DataFrame:
     """Activity graph edges ``(src, dst, timestamp)``: user -> target ``k`` of

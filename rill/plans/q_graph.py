@@ -8,17 +8,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rill.operators.graph import components as comp
+from rill.operators.graph.crossing import count_fork_motif, count_square_motif
 from rill.operators.graph.core import (drop_isolated, graph_summary, induced_subgraph,
                                        max_degree_vertex, out_degrees, vertices_of)
 from rill.operators.graph.labels import label_propagation
 from rill.operators.graph.motif import count_converging_pairs, count_two_hop_paths, find_motif
-from rill.operators.graph.pagerank import pagerank, personalized_pagerank
+from rill.operators.graph.pagerank import pagerank, personalized_pagerank, residual_pagerank
 from rill.operators.graph.paths import longest_distance
 from rill.operators.graph.propagate import propagate
 from rill.operators.relational import merge_single_rows
 from rill.plans import datasets as ds
 from rill.plans.registry import query
-from rill.session import cut_lineage, loop_partitions
+from rill.session import cut_lineage, loop_partitions, release
 
 # The time window (10000 < timestamp <= 50000) of the subgraph and of
 # the motifs on it, round counts and list sizes.  The motif shapes below are fixed, too.
@@ -211,6 +212,35 @@ def motif_4(spark, sf_dir):
     return m.agg(F.count(F.lit(1)).alias("cnt"))
 
 
+@query("motif_3_all", sql=f"""
+WITH {_AE}
+SELECT COUNT(*) AS cnt
+FROM ae e1 JOIN ae e4 ON e4.dst = e1.dst
+JOIN ae e3 ON e3.src = e1.src
+JOIN ae e2 ON e2.src = e4.src AND e2.dst = e3.dst
+WHERE e1.src <> e4.src AND e1.dst <> e3.dst
+  AND e1.timestamp < e2.timestamp AND e2.timestamp < e3.timestamp AND e3.timestamp < e4.timestamp
+""")
+def motif_3_all(spark, sf_dir):
+    """G9 over the whole activity graph: crossing intervals over the same two
+    targets, counted without binding four edges."""
+    return count_square_motif(ds.activity_edges(spark, sf_dir)).select(F.col("cnt").cast("long").alias("cnt"))
+
+
+@query("motif_4_all", sql=f"""
+WITH {_AE}
+SELECT COUNT(*) AS cnt
+FROM ae e1 JOIN ae e3 ON e3.src = e1.src
+JOIN ae e4 ON e4.dst = e3.dst
+JOIN ae e2 ON e2.src = e4.src
+WHERE e1.src <> e4.src AND e1.dst <> e3.dst AND e3.dst <> e2.dst AND e1.dst <> e2.dst
+  AND e1.timestamp < e2.timestamp AND e2.timestamp < e3.timestamp AND e3.timestamp < e4.timestamp
+""")
+def motif_4_all(spark, sf_dir):
+    """G10 over the whole activity graph, counted the same way."""
+    return count_fork_motif(ds.activity_edges(spark, sf_dir)).select(F.col("cnt").cast("long").alias("cnt"))
+
+
 # ---- PageRank family ----
 
 def _pr_sql(rounds: int) -> str:
@@ -232,8 +262,8 @@ def pagerank_q(spark, sf_dir):
 
 @query("pagerank_partitioned", sql=_pr_sql(PR_ROUNDS))
 def pagerank_partitioned(spark, sf_dir):
-    """The same with the edge side pre-partitioned on ``src`` and
-    persisted, so each round shuffles only the rank table."""
+    """The same with the edges in a table of buckets by ``src``, so a
+    round moves ranks and sums only."""
     parts = loop_partitions(spark)
     r = pagerank(_stored(ds.item_graph(spark, sf_dir)), rounds=PR_ROUNDS, partitions=parts)
     return r.select("id", F.round("rank", 6).alias("rank"))
@@ -294,6 +324,46 @@ def ppr_subgraph_edges(spark, sf_dir):
                               sub.agg(F.count(F.lit(1)).alias("edges"))])
 
 
+#: Tolerance of the rank, and rounds of the SQL (those after the last push change nothing).
+PPR_TOL = 0.01
+PPR_SQL_ROUNDS = 24
+
+
+def _residual_sql(tol: float, rounds: int) -> str:
+    ctes = [_IG, "od AS (SELECT src, COUNT(*) AS n FROM ig GROUP BY src)",
+            "srcv AS (SELECT src AS s FROM ig GROUP BY src ORDER BY COUNT(*) DESC, src ASC LIMIT 1)",
+            "p0 AS (SELECT s AS id, 1.0::DOUBLE AS total, 1.0::DOUBLE AS res, CAST(0 AS BIGINT) AS pushes FROM srcv)"]
+    for k in range(1, rounds + 1):
+        ctes.append(f"""p{k} AS MATERIALIZED (
+  SELECT id, SUM(total) AS total, SUM(res) AS res, MAX(pushes) AS pushes FROM (
+    SELECT id, total, CASE WHEN round(res, 12) > {tol} THEN 0.0 ELSE res END AS res,
+           CASE WHEN (SELECT MAX(round(res, 12)) FROM p{k - 1}) > {tol} THEN {k} ELSE pushes END AS pushes
+    FROM p{k - 1}
+    UNION ALL
+    SELECT e.dst, 0.85 * p.res / od.n, 0.85 * p.res / od.n, 0
+    FROM p{k - 1} p JOIN ig e ON e.src = p.id JOIN od ON od.src = p.id WHERE round(p.res, 12) > {tol})
+  GROUP BY id)""")
+    return "WITH " + ",\n".join(ctes)
+
+
+@query("personalized_pagerank_tolerance", sql=_residual_sql(PPR_TOL, PPR_SQL_ROUNDS) + f"""
+SELECT id, round(0.15 * total, 9) AS rank, (SELECT MAX(pushes) FROM p{PPR_SQL_ROUNDS}) AS rounds,
+       (SELECT round(MAX(res), 9) FROM p{PPR_SQL_ROUNDS}) AS residual
+FROM p{PPR_SQL_ROUNDS} WHERE id <> (SELECT s FROM srcv)
+ORDER BY round(0.15 * total, 9) DESC, id ASC LIMIT {PPR_TOP}
+""")
+def personalized_pagerank_tolerance(spark, sf_dir):
+    """Rank personalised to the busiest vertex, residuals pushed until none
+    is above 0.01; the top 20 others, the rounds and the largest residual left."""
+    g = _stored(ds.item_graph(spark, sf_dir))
+    s = _ppr_source(g)
+    r = residual_pagerank(g, s, PPR_TOL)
+    release(g)
+    return (r.ranks.where(F.col("id") != F.lit(s)).select("id", F.round("rank", 9).alias("rank"))
+            .orderBy(F.col("rank").desc(), F.col("id").asc()).limit(PPR_TOP)
+            .select("id", "rank", F.lit(r.rounds).cast("long").alias("rounds"), F.round(F.lit(r.residual), 9).alias("residual")))
+
+
 # ---- components and communities ----
 
 _CC_SQL = f"""WITH RECURSIVE {_DG},
@@ -359,6 +429,19 @@ def label_propagation_q(spark, sf_dir):
     return label_propagation(_stored(ds.item_graph(spark, sf_dir)), rounds=LPA_ROUNDS)
 
 
+@query("community_sizes", sql=_lpa_sql(LPA_ROUNDS).replace(f"\nSELECT id, label FROM l{LPA_ROUNDS}", f"""
+SELECT label, COUNT(*) AS size, (SELECT COUNT(DISTINCT label) FROM l{LPA_ROUNDS}) AS communities
+FROM l{LPA_ROUNDS} GROUP BY label ORDER BY size DESC, label ASC LIMIT 1"""))
+def community_sizes(spark, sf_dir):
+    """The largest community of the item graph, and how many there are."""
+    g = _stored(ds.item_graph(spark, sf_dir))
+    sizes = comp.component_sizes(label_propagation(g, rounds=LPA_ROUNDS), "label")
+    release(g)
+    # the largest first (ties: smaller label) and the number in one aggregate
+    best = sizes.agg(F.max(F.struct("size", (-F.col("label")).alias("neg"))).alias("b"), F.count(F.lit(1)).alias("communities"))
+    return best.where("communities > 0").select((-F.col("b.neg")).alias("label"), "b.size", "communities")
+
+
 # ---- DAG distances and a custom vertex program ----
 
 # Layers of the order graph; a vertex is 4 * key + layer.

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from rill.plans import datasets as ds
 from rill.plans.registry import query
+from rill.streaming.incremental import (UpdatedTops, pane_counts, punctual, replace_batch, run_slices, sliced_stream,
+                                        windows_from_panes)
 from rill.streaming.trends import (file_stream, flat_windows, hashtags, read_sink, run_available,
                                    scratch_path, sliding_counts, top_per_window)
 from rill.sources.tables import table
@@ -118,3 +120,95 @@ def stream_batch_counts(spark, sf_dir):
 
     run_available(_tweet_stream(spark, sf_dir), sink, "append", batch_fn=report)
     return read_sink(spark, sink).groupBy("day").agg(F.sum("rows").alias("rows"))
+
+
+# ---- streams that go on ----
+
+@query("stream_restart_counts", sql="WITH " + _windows_sql(300, 120) + """
+SELECT *, CAST(6 AS INTEGER) AS runs, CAST(1 AS INTEGER) AS failed FROM c""")
+def stream_restart_counts(spark, sf_dir):
+    """The sliding counts of ``events`` in five slices, each a new query on
+    the same checkpoint.  The callback of the third batch fails once; the query
+    started after it replays the batch from the offset log and goes on from the
+    stored counts.  Same rows as in one run."""
+    folder, sink, checkpoint = (scratch_path(spark, n) for n in ("slices", "sink", "checkpoint"))
+    schema = table(spark, sf_dir, "events").schema
+    failures = []
+
+    def land(batch, batch_id):
+        if batch_id == 2 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("stopped in the middle of a batch")
+        flat_windows(batch).write.mode("overwrite").parquet(sink)
+
+    runs = run_slices(ds.event_slices(spark, sf_dir), folder,
+                      lambda: sliding_counts(hashtags(ds.tweet_lines(sliced_stream(spark, folder, schema)))),
+                      land, checkpoint, "complete")
+    return (read_sink(spark, sink).withColumn("runs", F.lit(len(runs)))
+            .withColumn("failed", F.lit(sum(r.failed for r in runs))))
+
+
+@query("stream_pane_counts", sql="WITH " + _windows_sql(300, 120) + " SELECT * FROM c")
+def stream_pane_counts(spark, sf_dir):
+    """The same windows from panes of one minute: a row is counted once and
+    a window is the one before it plus what enters, less what leaves."""
+    sink = scratch_path(spark, "sink")
+    panes = pane_counts(hashtags(_tweet_stream(spark, sf_dir)), 300, 120, "5 minutes")
+    run_available(panes, sink, "complete", batch_fn=lambda b, _i: windows_from_panes(b, 300, 120))
+    return read_sink(spark, sink)
+
+
+@query("stream_top_updated", sql="WITH " + _windows_sql(300, 120) + f""",
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY window_start, window_end
+                                   ORDER BY cnt DESC, word ASC) AS rk FROM c)
+SELECT window_start, window_end, string_agg(word || ':' || cnt, ',' ORDER BY rk) AS top
+FROM r WHERE rk <= {TOP_K} GROUP BY window_start, window_end
+""")
+def stream_top_updated(spark, sf_dir):
+    """The top list per window in update mode over five slices: a batch
+    ranks the windows that it changed and replaces their days in the sink."""
+    folder, counts, tops, checkpoint = (scratch_path(spark, n) for n in ("slices", "counts", "tops", "checkpoint"))
+    schema = table(spark, sf_dir, "events").schema
+    sink = UpdatedTops(spark, counts, tops, TOP_K)
+    run_slices(ds.event_slices(spark, sf_dir), folder,
+               lambda: sliding_counts(hashtags(ds.tweet_lines(sliced_stream(spark, folder, schema)))),
+               sink, checkpoint, "update")
+    return sink.result()
+
+
+#: Order in which the slices arrive, and how far the watermark lies behind the latest row.
+LATE_ORDER = (0, 2, 1, 4, 3)
+LATE_DAYS = 8
+
+
+def _late_sql() -> str:
+    days = ds.SLICE_DAYS
+    case = " ".join(f"WHEN ts >= TIMESTAMP '{ds.ACTIVITY_EPOCH}' + INTERVAL {d} DAY THEN {LATE_ORDER.index(i)}"
+                    for i, d in reversed(list(enumerate(days))) if i)
+    return f"""
+WITH e AS (SELECT event_id, ts, CASE {case} ELSE {LATE_ORDER.index(0)} END AS pos FROM events),
+p AS (SELECT DISTINCT pos FROM e),
+w AS (SELECT p.pos, date_trunc('millisecond', MAX(e.ts)) - INTERVAL {LATE_DAYS} DAY AS mark
+      FROM p LEFT JOIN e ON e.pos < p.pos GROUP BY p.pos),
+l AS (SELECT e.*, w.mark IS NOT NULL AND e.ts <= w.mark AS late FROM e JOIN w USING (pos))
+SELECT CAST(pos AS BIGINT) AS run, COUNT(*) AS read, COUNT(*) FILTER (WHERE late) AS late,
+       COUNT(DISTINCT (event_id, ts)) FILTER (WHERE NOT late) AS kept
+FROM l GROUP BY pos"""
+
+
+@query("stream_late_rows", sql=_late_sql())
+def stream_late_rows(spark, sf_dir):
+    """Slices that arrive out of order: rows read, dropped behind the
+    watermark (as the query's progress reports them) and kept, per run."""
+    folder, sink, checkpoint = (scratch_path(spark, n) for n in ("slices", "sink", "checkpoint"))
+    schema = table(spark, sf_dir, "events").schema
+    runs = run_slices(ds.event_slices(spark, sf_dir, LATE_ORDER), folder,
+                      lambda: punctual(sliced_stream(spark, folder, schema), "event_id", "ts", f"{LATE_DAYS} days")
+                      .select("event_id", "ts"), replace_batch(sink), checkpoint)
+    # one row per run and batch: as many as there are slices
+    batches = spark.createDataFrame([(r.slice, i) for r in runs for i in r.batches], "run long, batch int")
+    told = spark.createDataFrame([(r.slice, r.read, r.late) for r in runs], "run long, read long, late long")
+    kept = spark.read.schema("event_id long, ts timestamp, batch int").parquet(sink).groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"))
+    kept = batches.join(kept, "batch", "left").groupBy("run").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("kept"))
+    return told.join(kept, "run").select("run", "read", "late", "kept")

@@ -100,15 +100,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def store_bucketed(df: DataFrame, keys: str | list[str], buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted by ``keys`` in the shared
+    checkpoint folder and return it.
+
+    A join or aggregate on exactly these keys reads the buckets as they lie, so
+    a loop shuffles its large fixed side once, when it is stored, and only its
+    small side in every round.  ``buckets`` defaults to the session's shuffle
+    partitions, which the other side of a join then has, too.  The rows are dealt
+    by the hash that bucketing uses, so each bucket is one file."""
+    spark = df.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"rill_bucketed_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    (df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    out = spark.table(name)
+    out._rill_cut, out._rill_table = path, name
+    return out
+
+
 def release(df: DataFrame | None) -> None:
-    """Delete the files behind a DataFrame returned by ``cut_lineage`` once
-    nothing reads it any more (loops call this for the previous round's
-    state after the next one is written, so the shared folder does not fill
-    up with one copy of the state per round).  Other DataFrames are left
-    alone."""
+    """Delete the files behind a DataFrame returned by ``cut_lineage`` or
+    ``store_bucketed`` once nothing reads it any more (loops call this for the
+    previous round's state after the next one is written, so the shared folder
+    does not fill up with one copy of the state per round).  Other DataFrames are
+    left alone."""
     path = getattr(df, "_rill_cut", None) if df is not None else None
     if not path:
         return
+    if getattr(df, "_rill_table", None):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._rill_table}")
+        df._rill_table = None
     jvm = df.sparkSession._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
