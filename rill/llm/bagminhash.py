@@ -35,11 +35,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes (cut at blanks) and shingles that are worked on at once.
+PIECE_BYTES, PIECE_SHINGLES = 2 << 20, 1 << 18
+
+
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit code of every word, and each text's first word."""
+    """A 64-bit code of every word, and each text's first word.  Long texts are
+    read piece by piece; no word crosses a blank."""
     ends, data = raw(plain_text(texts))
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    codes, before, begin = [np.zeros(0, np.uint64)], np.zeros(len(texts) + 1, np.int64), 0
+    while begin < len(data):
+        stop = min(begin + PIECE_BYTES, len(data))
+        while stop < len(data):                         # on to the next blank
+            blank = np.flatnonzero(_BLANK[data[stop:stop + PIECE_BYTES]])
+            if len(blank):
+                stop += int(blank[0])
+                break
+            stop = min(stop + PIECE_BYTES, len(data))
+        cut = np.clip(ends, begin, stop) - begin
+        code, first = _piece_codes(cut, data[begin:stop])
+        before += first
+        codes.append(code)
+        begin = stop
+    return np.concatenate(codes), before
+
+
+def _piece_codes(ends: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the words of some texts, given by their ends, and how many words
+    begin before each end."""
     inside = ~_BLANK[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
@@ -60,12 +83,16 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     count = np.diff(at)
     windows = np.where(count >= WORDS_PER_SHINGLE, count - WORDS_PER_SHINGLE + 1, np.minimum(count, 1))
     owner = np.repeat(np.arange(len(count)), windows)
-    first = at[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    skipped = at[:-1] - (np.cumsum(windows) - windows)          # words before a text less windows before it
     hashed = np.zeros(len(owner), np.uint64)
-    for k in range(WORDS_PER_SHINGLE):
-        there = first + k < at[1:][owner]
-        word = np.where(there, code[np.minimum(first + k, max(len(code) - 1, 0))], 0) if len(code) else hashed
-        hashed = mix(hashed + word + _EVEN)
+    for a in range(0, len(owner), PIECE_SHINGLES):
+        mine = owner[a:a + PIECE_SHINGLES]
+        first = skipped[mine] + np.arange(a, a + len(mine))
+        h = hashed[a:a + PIECE_SHINGLES]
+        for k in range(WORDS_PER_SHINGLE):
+            there = first + k < at[1:][mine]
+            h = mix(h + np.where(there, code[np.minimum(first + k, len(code) - 1)], 0) + _EVEN)
+        hashed[a:a + PIECE_SHINGLES] = h
     order = np.lexsort((hashed, owner))
     owner, hashed = owner[order], hashed[order]
     new = np.ones(len(owner), bool)
@@ -89,7 +116,9 @@ def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: i
         level, low = 0, 0
         while len(o):
             width = max(1, low)
-            _points(best, o, mix(c + np.uint64(level * int(_EVEN) % 2**64)), w, low, width, until)
+            for a in range(0, len(o), PIECE_SHINGLES):
+                part = slice(a, a + PIECE_SHINGLES)
+                _points(best, o[part], mix(c[part] + np.uint64(level * int(_EVEN) % 2**64)), w[part], low, width, until)
             low, level = low + width, level + 1
             more = w > low
             o, c, w = o[more], c[more], w[more]

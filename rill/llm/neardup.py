@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rill.llm import bagminhash
-from rill.llm.common import STEP_BYTES, text_steps
+from rill.llm.common import text_steps
 from rill.operators.graph.components import connected_components
 from rill.session import cut_lineage
 
 ROWS, BANDS = 4, 24
 LEAST, AGREE = 0.8, 58                # similarity; registers of 96 for a check
-#: Text pairs checked at once; texts of a part of a bucket.
-CHECKED, PART = 256, 256
+#: Bytes of text signed or checked at once; texts and bytes of a part of a bucket.
+STEP_BYTES, PART, PART_BYTES = 2 << 20, 256, 2 << 20
 
 
 def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*",)) -> DataFrame:
@@ -58,7 +58,7 @@ def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for step in text_steps(batch):
+            for step in text_steps(batch, limit=STEP_BYTES):
                 owner, code, weight = bagminhash.shingles(step.column("text"))
                 sig = bagminhash.signatures(owner, code, weight, len(step))
                 empty = np.bincount(owner, minlength=len(step)) == 0
@@ -79,8 +79,12 @@ def check(pairs: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), CHECKED):
-                part = batch.slice(i, CHECKED)
+            size = pc.add(pc.binary_length(batch.column("text_a")), pc.binary_length(batch.column("text_b")))
+            # a step ends where the next multiple of STEP_BYTES is passed
+            step = np.cumsum(size.to_numpy().astype(np.int64)) // STEP_BYTES
+            cuts = np.append(np.flatnonzero(np.diff(step, prepend=-1)), len(batch))
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                part = batch.slice(i, j - i)
                 same = bagminhash.similarity(part.column("text_a"), part.column("text_b")) >= LEAST
                 yield part.select(["a", "b"]).filter(pa.array(same))
 
@@ -161,7 +165,7 @@ def rest(others: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes that belong together, from all pairs of the members
     besides the hubs (bucket, pos, key, size, class)."""
     mixed = others.groupBy("bucket").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / STEP_BYTES)).alias("parts"),
+        F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / PART_BYTES)).alias("parts"),
         (F.min("class") != F.max("class")).alias("mixed")).filter("mixed").drop("mixed")
     rows = others.drop("size").join(mixed, "bucket")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("key", "bucket"), "parts"))
