@@ -38,3 +38,26 @@ def hashtags(text, cut: str = ",2021") -> Column:
     """Words starting with ``#`` in the text before ``cut``."""
     words = F.split(first_part(text, cut), " ")
     return F.filter(words, lambda w: w.startswith("#"))
+
+
+#: Where ``exact_sum`` cuts integers (a power of ten).
+_CUT_DIGITS = 20
+
+
+def exact_sum(v: Column) -> Column:
+    """The sum of integers of up to 38 digits as text, null if there is none.
+
+    The sum of such numbers can have more digits than a decimal holds, so what is
+    above and below the twentieth digit is added up on its own and put together as
+    text.  Exact for up to 10^10 times 10^9 rows."""
+    base = F.lit("1" + "0" * _CUT_DIGITS).cast("decimal(21,0)")
+    quotient = lambda a: F.call_function("div", a, base).cast("decimal(20,0)")  # noqa: E731  towards zero
+    high, low = F.sum(quotient(v)), F.sum((v % base).cast("decimal(21,0)"))
+    high, low = (high + quotient(low)).cast("decimal(38,0)"), (low % base).cast("decimal(21,0)")
+    # parts of opposite signs: one of the upper goes over to the lower
+    step = F.when((high > 0) & (low < 0), -1).when((high < 0) & (low > 0), 1).otherwise(0)
+    high, low = high + step, low - step * base
+    sign = F.when((high < 0) | (low < 0), "-").otherwise("")
+    text = lambda c: F.abs(c).cast("decimal(38,0)").cast("string")
+    whole = F.when(high == 0, text(low)).otherwise(F.concat(text(high), F.lpad(text(low), _CUT_DIGITS, "0")))
+    return F.concat(sign, whole)

@@ -9,11 +9,13 @@ of single-row puts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rill.operators.sorting import add_row_index
+from rill.session import cut_lineage, release
 
 # The pre-split points of the keyed table (byte order).
 DEFAULT_SPLITS = ("20", "40", "60")
@@ -82,3 +84,79 @@ def get(table: DataFrame, key_value: str, key: str = "row_key") -> DataFrame:
 def delete_keys(table: DataFrame, keys: DataFrame, key: str = "row_key") -> DataFrame:
     """Delete whole rows for a set of keys (one anti join)."""
     return table.join(keys.select(key).distinct(), key, "left_anti")
+
+
+@dataclass
+class RegionTable:
+    """A keyed table in a folder, partitioned by key region.
+
+    A batch of puts or deletes reads and writes the regions that its keys fall
+    into and leaves the files of all others alone; a get reads one region.  The
+    split points are the table's own and should grow with it, since a region is
+    what a put rewrites.  Rows of a region lie in key order, in as many files as
+    its share of the rows asks for."""
+    spark: SparkSession
+    path: str
+    key: str = "row_key"
+    splits: Sequence[str] = field(default=DEFAULT_SPLITS)
+
+    def _write(self, rows: DataFrame, dynamic: bool) -> None:
+        rows = rows.withColumn("region", key_region(self.key, self.splits))
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(n, "region", self.key).sortWithinPartitions("region", self.key)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+         .partitionBy("region").parquet(self.path))
+
+    def load(self, rows: DataFrame) -> None:
+        """The whole table, replacing what is there."""
+        self._write(rows, dynamic=False)
+
+    def read(self) -> DataFrame:
+        """All rows with their region."""
+        return self.spark.read.parquet(self.path)
+
+    def _regions(self, keys: DataFrame) -> list[int]:
+        """Regions of the keys: as many as there are split points, at most one more."""
+        return [r[0] for r in keys.select(key_region(self.key, self.splits).alias("r")).distinct().collect()]
+
+    def _replace(self, regions: list[int], rows: DataFrame) -> None:
+        """Write ``rows`` as the new contents of the regions; a region that has
+        none left is emptied."""
+        new = cut_lineage(rows)                              # before its source is overwritten
+        self._write(new, dynamic=True)
+        kept = set(self._regions(new))
+        release(new)
+        for region in set(regions) - kept:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/region={region}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def put(self, changes: DataFrame, version: str | None = None) -> list[int]:
+        """``upsert`` in the regions of the changes, which are returned."""
+        changes = cut_lineage(changes)                       # may be derived from this table
+        regions = self._regions(changes)
+        if regions:
+            old = self.read().where(F.col("region").isin(regions)).drop("region")
+            self._replace(regions, upsert(old, changes, self.key, version))
+        release(changes)
+        return sorted(regions)
+
+    def delete(self, keys: DataFrame) -> list[int]:
+        """``delete_keys`` in the regions of the keys, which are returned."""
+        keys = cut_lineage(keys.select(self.key).distinct())
+        regions = self._regions(keys)
+        if regions:
+            old = self.read().where(F.col("region").isin(regions)).drop("region")
+            self._replace(regions, delete_keys(old, keys, self.key))
+        release(keys)
+        return sorted(regions)
+
+    def get(self, value: str) -> DataFrame:
+        """One row; the key's region prunes the files, the key the row groups."""
+        region = self.spark.range(1).select(key_region(F.lit(value), self.splits)).first()[0]
+        return get(self.read().where(F.col("region") == region).drop("region"), value, self.key)
+
+    def files(self) -> DataFrame:
+        """The table's files by region: ``region, file, modified``."""
+        rows = self.read().select("region", F.col("_metadata.file_path").alias("file"),
+                                  F.col("_metadata.file_modification_time").alias("modified"))
+        return rows.distinct()

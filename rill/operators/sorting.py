@@ -14,8 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from rill.session import cut_lineage
@@ -58,57 +57,54 @@ def _row_hash(cols: Sequence[str]) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
 
 
-def _partition_summary(key: str):
-    def summarize(it):
-        import numpy as np
+def _ordered_batches(key: str):
+    """Per partition of rows in file order: whether they ascend, first and last key."""
+    def look(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        # batch by batch with constant memory: order inside each batch, and
-        # the first key of a batch against the last key of the one before
-        pid = TaskContext.get().partitionId()
-        rows, total, ordered = 0, 0, True
-        first = last = None
-        for pdf in it:
-            if pdf.empty:
+        ordered, first, last, rows = True, None, None, 0
+        for b in batches:
+            if not len(b):
                 continue
-            k = pdf[key].to_numpy(dtype=object)
-            ordered = ordered and bool((k[1:] >= k[:-1]).all())
-            if last is not None and k[0] < last:
-                ordered = False
-            if first is None:
-                first = k[0]
-            last = k[-1]
-            rows += len(k)
-            total += int(np.asarray(pdf["__h"], dtype=np.int64).sum())
-        yield pd.DataFrame({"pid": [pid], "rows": [rows], "ordered": [ordered],
-                            "min_key": [first], "max_key": [last], "hsum": [total]})
-    return summarize
-
-
-def validate_sorted(df: DataFrame, key: str = "key",
-                    checksum_cols: Sequence[str] | None = None) -> DataFrame:
+            k = b.column(key)
+            # column against column, without Python objects
+            ordered = ordered and not pc.any(pc.less(k[1:], k[:-1])).as_py() and (last is None or last <= k[0].as_py())
+            first = k[0].as_py() if first is None else first
+            last, rows = k[len(b) - 1].as_py(), rows + len(b)
+        if rows:
+            kinds = pa.schema([("pid", pa.int32()), ("rows", pa.int64()), ("ordered", pa.bool_()),
+                               ("min_key", pa.string()), ("max_key", pa.string())])
+            yield pa.RecordBatch.from_pylist([{"pid": TaskContext.get().partitionId(), "rows": rows, "ordered": bool(ordered),
+                                               "min_key": first, "max_key": last}], kinds)
+    return look
+
+
+def validate_sorted(df: DataFrame, key: str = "key", checksum_cols: Sequence[str] | None = None) -> DataFrame:
     """Is ``df`` globally sorted on ``key`` in partition order?
 
-    One pass over ``df``: each partition reports its order, min, max, count
-    and a row-hash sum; then the partitions' ranges must not overlap in
-    partition order.  Returns one row ``rows, partitions,
-    partitions_ordered, boundaries_ordered, checksum, min_key, max_key``
-    (``checksum`` over ``checksum_cols``, default all columns).
+    One pass over ``df``: each partition reports its order, first and last key
+    and count, and the checksum is observed on the way; then the partitions'
+    ranges must not overlap in partition order.  Returns one row ``rows,
+    partitions, partitions_ordered, boundaries_ordered, checksum, min_key,
+    max_key`` (``checksum`` over ``checksum_cols``, default all columns).
     """
     cols = list(checksum_cols or df.columns)
-    summary = df.select(key, _row_hash(cols).alias("__h")).mapInPandas(
-        _partition_summary(key),
-        schema="pid int, rows long, ordered boolean, min_key string, max_key string, hsum long")
-    nonempty = summary.where(F.col("rows") > 0)
-    w = Window.orderBy("pid")        # one row per partition: tiny
-    bounds = nonempty.withColumn("prev_max", F.lag("max_key").over(w))
+    seen = Observation()
+    spied = df.observe(seen, checksum(df, cols, "checksum"))
+    parts = spied.select(key).mapInArrow(
+        _ordered_batches(key), "pid int, rows long, ordered boolean, min_key string, max_key string")
+    parts = cut_lineage(parts)                      # one row per partition
+    w = Window.orderBy("pid")
+    bounds = parts.withColumn("prev_max", F.lag("max_key").over(w))
     return bounds.agg(
         F.sum("rows").alias("rows"),
         F.count(F.lit(1)).alias("partitions"),
         F.bool_and("ordered").alias("partitions_ordered"),
         F.bool_and(F.coalesce(F.col("prev_max") <= F.col("min_key"), F.lit(True)))
         .alias("boundaries_ordered"),
-        F.sum("hsum").alias("checksum"),
+        F.lit(seen.get["checksum"]).cast("long").alias("checksum"),
         F.min("min_key").alias("min_key"),
         F.max("max_key").alias("max_key"))
 

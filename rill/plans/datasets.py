@@ -175,27 +175,49 @@ LINEITEM_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
                   "l_shipdate")
 
 
-_KEYED: dict[tuple[str, str], DataFrame] = {}
+_KEYED: dict[tuple, DataFrame] = {}
+
+
+def _version(df: DataFrame) -> tuple:
+    """The files behind ``df`` with their sizes and modification times."""
+    spark = df.sparkSession
+    out = []
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(out)
+
+
+def _there(stored: DataFrame) -> bool:
+    path = stored.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{stored._rill_cut}/_SUCCESS")
+    return path.getFileSystem(stored.sparkSession._jsc.hadoopConfiguration()).exists(path)
+
+
+def keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed n-gram rows: string row keys 0..n-1 over a sort on every lineitem
+    column, then ``bigram, year, match_count, volume_count``."""
+    from rill.operators.keyed import with_row_keys
+
+    li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
+    return with_row_keys(li, list(LINEITEM_ORDER)).select(
+        "row_key",
+        F.col("l_partkey").cast("string").alias("bigram"),
+        F.year("l_shipdate").cast("int").alias("year"),
+        F.floor(F.col("l_extendedprice") / 100).cast("int").alias("match_count"),
+        F.col("l_linenumber").alias("volume_count"))
 
 
 def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed n-gram table: string row keys 0..n-1 over a sort on every
-    lineitem column, then ``bigram, year, match_count, volume_count``.
+    """``keyed_rows`` stored in order of the keys (range partitioned), so that all
+    keyed queries share it and a get reads one file range.
 
-    Stored once per application in order of its keys (range partitioned), so
-    that all keyed queries share it and a get reads one file range."""
-    from rill.operators.keyed import bulk_load_layout, with_row_keys
+    A stored table is used again only by the same application, for the same files
+    (names, sizes, modification times) and while it is there."""
+    from rill.operators.keyed import bulk_load_layout
     from rill.session import cut_lineage
 
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _KEYED:
-        li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
-        keyed = with_row_keys(li, list(LINEITEM_ORDER))
-        _KEYED[at] = cut_lineage(bulk_load_layout(keyed.select(
-            "row_key",
-            F.col("l_partkey").cast("string").alias("bigram"),
-            F.year("l_shipdate").cast("int").alias("year"),
-            F.floor(F.col("l_extendedprice") / 100).cast("int").alias("match_count"),
-            F.col("l_linenumber").alias("volume_count"),
-        ), "row_key"))
+    at = (spark.sparkContext.applicationId, _version(table(spark, sf_dir, "lineitem")))
+    if at not in _KEYED or not _there(_KEYED[at]):
+        _KEYED[at] = cut_lineage(bulk_load_layout(keyed_rows(spark, sf_dir), "row_key"))
     return _KEYED[at]

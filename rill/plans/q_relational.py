@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rill.functions.text import integer_text, space_tokens, tokens
+from rill.functions.text import exact_sum, integer_text, space_tokens, tokens
 from rill.operators.relational import (argmax, average_per_distinct, complete_row_counts,
                                        count_by, share_of_total, top_n, union_counts)
 from rill.plans import datasets as ds
@@ -58,7 +58,7 @@ def word_count_skip_malformed(spark, sf_dir):
     recs = docs.select("lang", F.explode(tokens("text")).alias("tok"))
     recs = recs.select("lang", F.col("tok").rlike(r"^[+-]?[0-9]+\z").alias("ok"), integer_text("tok").alias("v"))
     return (recs.groupBy("lang")
-            .agg(F.sum(F.when(F.col("ok"), F.col("v"))).cast("string").alias("total"),
+            .agg(exact_sum(F.when(F.col("ok"), F.col("v"))).alias("total"),
                  F.count_if(F.col("ok") & F.col("v").isNotNull()).alias("records"),
                  F.count_if(F.col("ok") & F.col("v").isNull()).alias("too_large"),
                  F.count_if(~F.col("ok")).alias("skipped")))
