@@ -57,3 +57,46 @@ def test_load_layout_spreads_a_region(spark):
     df = spark.range(8000).select(F.concat(F.lit("7"), F.col("id").cast("string")).alias("row_key"))
     parts = [len(p) for p in kt.bulk_load_layout(df, "row_key").rdd.glom().collect()]
     assert sum(parts) == 8000 and sum(n > 0 for n in parts) >= 4
+
+
+def test_region_table_rewrites_touched_regions_only(spark, tmp_dir):
+    from rill.operators.keyed import RegionTable
+
+    t = RegionTable(spark, f"{tmp_dir}/t", splits=("20", "40", "60"))
+    rows = [(f"{i:02d}", i, "v") for i in range(100)]
+    t.load(spark.createDataFrame(rows, "row_key string, n int, s string"))
+    files = lambda: {(r.region, r.file, r.modified) for r in t.files().collect()}
+    before = files()
+    assert {r[0] for r in before} == {0, 1, 2, 3}
+    # two puts of one cell, a new key, and columns that a put does not name
+    puts = spark.createDataFrame([("21", 7, 1), ("21", 8, 2), ("2x", 9, 1)], "row_key string, n int, v int")
+    assert t.put(puts, version="v") == [1]
+    changed = {r[0] for r in before ^ files()}
+    assert changed == {1}
+    got = {r.row_key: (r.n, r.s) for r in t.read().collect()}
+    assert got["21"] == (8, "v") and got["2x"] == (9, None) and got["22"] == (22, "v") and len(got) == 101
+    assert [tuple(r) for r in t.get("21").collect()] == [("21", 8, "v")] and t.get("zz").count() == 0
+    # a region that loses all its rows, and puts into it afterwards
+    assert t.delete(t.read().where("region = 3")) == [3]
+    assert t.read().where("region = 3").count() == 0 and t.read().count() == 61
+    assert t.put(spark.createDataFrame([("99", 1)], "row_key string, n int")) == [3] and t.get("99").count() == 1
+    assert t.put(puts.limit(0)) == [] and t.delete(puts.limit(0)) == []
+
+
+def test_keyed_table_follows_its_source(spark, tmp_dir):
+    """Another table under the same path, and a cleared checkpoint folder."""
+    from conftest import SF_SMALL
+    from rill.plans import datasets as ds
+    from rill.session import release
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    li.limit(40).coalesce(1).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    first = ds.keyed_table(spark, tmp_dir)
+    assert first.count() == 40 and ds.keyed_table(spark, tmp_dir) is first
+    li.limit(25).coalesce(1).write.mode("overwrite").parquet(f"{tmp_dir}/lineitem.parquet")
+    second = ds.keyed_table(spark, tmp_dir)
+    assert second.count() == 25
+    gone, path = second, second._rill_cut
+    release(second)
+    gone._rill_cut = path                       # files gone behind the cache's back
+    assert ds.keyed_table(spark, tmp_dir).count() == 25

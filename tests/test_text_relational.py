@@ -115,3 +115,36 @@ def test_reduce_groups_runs_reducer_per_key(spark):
 
     got = {r.word: r.cnt for r in reduce_groups(df, "word", reducer, "word string, cnt long").collect()}
     assert got == {"a": 3, "b": 5}
+
+
+def test_sums_beyond_38_digits(spark):
+    from rill.functions.text import exact_sum, integer_text
+
+    big = 10 ** 38 - 1
+    cases = {"a": [big, big, 1], "b": [-big, -big], "c": [big, -big], "d": [10 ** 20, -1], "e": [-(10 ** 20), 1], "f": [5, -7],
+             "g": [10 ** 19] * 11, "h": [-3, -(10 ** 25), 10 ** 21 + 4], "i": ["x", "1" * 39], "j": [0, "-0"], "k": [big, "x", -1]}
+    rows = [(k, str(v)) for k, vs in cases.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, t string").select("k", integer_text("t").alias("v"))
+    got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+    want = {k: sum(int(v) for v in vs if str(v).lstrip("-").isdigit() and len(str(v).lstrip("-")) < 39) for k, vs in cases.items()}
+    assert got == {k: None if k == "i" else str(v) for k, v in want.items()}
+
+
+def test_average_per_distinct_by_masks(spark):
+    from rill.operators.relational import average_per_distinct
+
+    rows = [(k, y, float(k * y % 7)) for k in range(5) for y in list(range(-70, 400, 3 + k)) * 2] + [(1, None, 4.0), (9, None, 1.0)]
+    for width in (1, 50):                       # 50: years too far apart for masks
+        df = spark.createDataFrame([(k, None if y is None else y * width, v) for k, y, v in rows], "k int, y int, v double")
+        want = df.groupBy("k").agg((F.sum("v") / F.nullif(F.count_distinct("y"), F.lit(0))).alias("avg_value"))
+        got = average_per_distinct(df.where("y is not null or k = 1"), "k", "y", "v")
+        assert {r.k: r.avg_value for r in got.collect()} == {r.k: r.avg_value for r in want.collect() if r.k != 9}
+    plan = average_per_distinct(spark.createDataFrame(rows, "k int, y int, v double"), "k", "y", "v")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_average_per_distinct_of_an_empty_table(spark):
+    from rill.operators.relational import average_per_distinct
+
+    df = spark.createDataFrame([], "k int, y int, v double")
+    assert average_per_distinct(df, "k", "y", "v").count() == 0
