@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rill.operators.sorting import add_row_index
-from rill.session import cut_lineage, release
+from rill.session import cut_lineage, release, store_bucketed
 
 NEAR, PASSES, CELL, SETTLED = 12, 10, 1024, 0.05
 BEAM, ENTRIES, BLOCK, RESCORED = 320, 2, 1024, 32
@@ -56,10 +56,11 @@ LISTS = "node long, near array<long>, sim array<float>, fresh array<boolean>"
 @dataclass
 class Index:
     nodes: DataFrame        # node, v (as given), ids
-    codes: DataFrame        # node, code, scale
-    edges: DataFrame        # src, dst, in both directions
+    codes: DataFrame        # block, node, code, scale; in buckets by block
+    edges: DataFrame        # src, dst, in both directions; in buckets by src
     count: int
     width: int
+    block: int              # nodes of a block
 
 
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -242,7 +243,7 @@ def share_fresh(lists: DataFrame) -> float:
 
 
 def build(vectors: DataFrame, copies: int, id_col: str = "vec_id", vector_col: str = "embedding", near: int = NEAR,
-          passes: int = PASSES, cell: int = CELL, part: int = PART, settled: float = SETTLED,
+          passes: int = PASSES, cell: int = CELL, part: int = PART, settled: float = SETTLED, block: int = BLOCK,
           told: Callable[[int, float], None] = lambda *_: None) -> Index:
     """Index of all valid vectors; ``told`` hears each round's share of new entries."""
     nodes = cut_lineage(numbered(valid(vectors, id_col, vector_col), copies))
@@ -257,28 +258,27 @@ def build(vectors: DataFrame, copies: int, id_col: str = "vec_id", vector_col: s
         turn += 1
     told(turn, share)
     ahead = lists.select(F.col("node").alias("src"), F.explode("near").alias("dst"))
-    edges = cut_lineage(ahead.union(ahead.select("dst", "src")).distinct())
-    return Index(nodes, codes, edges, count, width or 1)
+    # what every hop of a search reads lies as its joins want it
+    edges = store_bucketed(ahead.union(ahead.select("dst", "src")).distinct(), "src")
+    held = store_bucketed(codes.withColumn("block", (F.col("node") / block).cast("long")), "block")
+    for used in (lists, codes):
+        release(used)
+    return Index(nodes, held, edges, count, width or 1, block)
 
 
-def hop(beam: DataFrame, asked: DataFrame, index: Index, width: int, block: int) -> DataFrame:
+def hop(beam: DataFrame, asked: DataFrame, index: Index, width: int) -> DataFrame:
     """The beams with the neighbours of all their nodes that were not used yet."""
-    front = beam.select("node", F.explode(F.arrays_zip("near", "fresh")).alias("e")).filter("e.fresh")
-    front = front.select(F.col("node").alias("q"), F.col("e.near").alias("src"))
-    return admitted(front.join(index.edges, "src").select("q", F.col("dst").alias("node")), beam, asked, index, width, block)
-
-
-def admitted(candidates: DataFrame, beam: DataFrame | None, asked: DataFrame, index: Index, width: int, block: int) -> DataFrame:
-    """The beams with those candidates (q, node) that are near enough."""
-    wanted = candidates.groupBy((F.col("node") / block).cast("long").alias("block"), "q").agg(
-        F.collect_set("node").alias("wanted")).join(asked, "q")
-    if beam is None:
-        wanted = wanted.withColumn("least", F.lit(-9.0).cast("float"))
-    else:
-        least = F.when(F.size("near") < width, F.lit(-9.0)).otherwise(F.element_at("sim", -1)).cast("float")
-        wanted = wanted.join(beam.select(F.col("node").alias("q"), least.alias("least")), "q")
+    least = F.when(F.size("near") < width, F.lit(-9.0)).otherwise(F.element_at("sim", -1)).cast("float")
+    front = beam.select(F.col("node").alias("q"), least.alias("least"), F.explode(F.arrays_zip("near", "fresh")).alias("e"))
+    front = front.filter("e.fresh").select("q", "least", F.col("e.near").alias("src"))
+    return admitted(front.join(index.edges, "src").select("q", F.col("dst").alias("node"), "least"), beam, asked, index, width)
+
+
+def admitted(candidates: DataFrame, beam: DataFrame | None, asked: DataFrame, index: Index, width: int) -> DataFrame:
+    """The beams with those candidates (q, node, least) that are nearer than ``least``."""
+    wanted = candidates.groupBy((F.col("node") / index.block).cast("long").alias("block"), "q").agg(
+        F.collect_set("node").alias("wanted"), F.max("least").alias("least")).join(asked, "q")
     wanted = wanted.select("block", "q", "wanted", "code", "scale", "least")
-    held = index.codes.withColumn("block", (F.col("node") / block).cast("long"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         q, x = directions(left.combine_chunks()), directions(right.combine_chunks())
@@ -296,7 +296,7 @@ def admitted(candidates: DataFrame, beam: DataFrame | None, asked: DataFrame, in
         rows = list_rows(left["q"].to_numpy()[owner[good]], near[good], sim[good], np.ones(int(good.sum()), bool), width)
         return pa.Table.from_batches([rows])
 
-    found = wanted.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(
+    found = wanted.groupBy("block").cogroup(index.codes.groupBy("block")).applyInArrow(
         lambda left, right: meet(left, right) if len(left) else empty_lists(), LISTS)
     if beam is not None:
         found = found.unionByName(beam.withColumn("fresh", F.transform("fresh", lambda _: F.lit(False))))
@@ -309,10 +309,10 @@ def empty_lists() -> pa.Table:
 
 
 def search(index: Index, queries: DataFrame, k: int, id_col: str = "vec_id", beam: int = BEAM, entries: int = ENTRIES,
-           block: int = BLOCK, rescored: int = RESCORED, told: Callable[[int], None] = lambda *_: None) -> DataFrame:
+           rescored: int = RESCORED, spent: bool = False, told: Callable[[int], None] = lambda *_: None) -> DataFrame:
     """query_id, rank, ``id_col`` and score of the ``k`` nearest found of every row
     (id, v) of ``queries``; the row itself, if indexed, is left out.  The index
-    must hold k + 1 copies."""
+    must hold k + 1 copies; its graph is deleted after this search if ``spent``."""
     rows = cut_lineage(queries)
     asked = rows.select("v").distinct()
     asked = cut_lineage(add_row_index(cut_lineage(asked), [F.xxhash64("v"), F.col("v")], name="q"))
@@ -320,13 +320,16 @@ def search(index: Index, queries: DataFrame, k: int, id_col: str = "vec_id", bea
     own = asked.join(index.nodes.select("v", "node"), "v").select("q", "node")
     any_ = asked.select("q", F.explode(F.sequence(F.lit(1), F.lit(entries))).alias("i")).select(
         "q", F.pmod(F.xxhash64("q", "i"), F.lit(max(index.count, 1))).alias("node"))
-    state = cut_lineage(admitted(own.union(any_), None, codes, index, beam, block))
+    begin = own.union(any_).withColumn("least", F.lit(-9.0).cast("float"))
+    state = cut_lineage(admitted(begin, None, codes, index, beam))
     turn = 0
     while not state.filter(F.exists("fresh", lambda f: f)).isEmpty():
-        before, state = state, cut_lineage(hop(state, codes, index, beam, block))
+        before, state = state, cut_lineage(hop(state, codes, index, beam))
         release(before)
         turn += 1
     told(turn)
+    for used in (index.edges, index.codes, codes) if spent else (codes,):
+        release(used)
     near = state.select(F.col("node").alias("q"), F.explode(F.slice("near", 1, rescored)).alias("node"))
     pairs = near.join(index.nodes, "node").join(asked.withColumnRenamed("v", "u"), "q")
     scored = pairs.select("q", F.explode("ids").alias("id"), cosine(F.col("u"), F.col("v")).alias("score"))

@@ -120,7 +120,7 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     index = nndescent.build(vectors, copies=6)
     queries = nndescent.valid(vectors, "vec_id", "embedding").filter(F.col("id") % 50 == 0)
-    return nndescent.search(index, queries, 5)
+    return nndescent.search(index, queries, 5, spent=True)
 
 
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
