@@ -1,24 +1,23 @@
 """Phrase collocations by stripes.
 
 A stripe belongs to a language and a prefix of 0 to 3 words: a counter of the
-words that follow the prefix inside a piece of text.  What follows otherwise (the
-piece's end, or a word that cannot make a frequent phrase) is counted under the
-empty word, so a stripe's sum is the number of occurrences of its prefix.  Tasks
-count stripes of a few MB of text, Spark brings equal keys together in order, and
-stripes of a key are added up element by element.  The merged stripes give
+words that follow the prefix inside a piece of text.  Tasks count stripes of a few
+MB of text, Spark brings equal keys together in order, and stripes of a key are
+added up element by element.  The merged stripes give
 
 * extensions: prefix + word with its count, the phrases of one word more;
-* prefix totals: the counts that the cuts of longer phrases need;
+* prefix totals: a prefix is itself an extension of the stripe of one word less,
+  and that stripe's counter holds its total, which the cuts of longer phrases need;
 * subsumption maxima: a stripe's largest count is that of the phrase's most
   frequent extension to the right; the phrases without their first word give
   those to the left.  (An extension by two words is no more frequent than one of
   the extensions by one word that lie between.)
 
-Three passes over the texts: the empty prefix; prefixes of one word; those of two
-and three.  A phrase with ``least`` occurrences has only parts with as many, so
-each pass leaves out prefixes and words that its predecessor found rarer.  They are
-looked up in a bit array of fixed size (``FILTER_BITS``); chance hits cost room
-and never change a count.
+One pass over the texts per length of prefix.  A phrase with ``least`` occurrences
+has only parts with as many, so a pass counts a word after a prefix only if the
+prefix, and the prefix's last words with the word, were found frequent by the pass
+before.  These are looked up in a bit array of fixed size (``FILTER_BITS``); chance
+hits cost room and never change a count.
 
 Wide stripes are dealt into parts by their words' hashes: the empty prefix into
 ``ROOT_PARTS``, and prefixes of words that are more than 1 in ``HOT`` of all words
@@ -109,39 +108,37 @@ class Counter:
         self.lang_hash = hashes(self.langs)
         self.hot, self.root_parts = hot, root_parts
 
-    def stripes(self, at: np.ndarray, width: int, on: np.ndarray) -> pa.RecordBatch:
+    def stripes(self, at: np.ndarray, width: int) -> pa.RecordBatch:
         """Stripes of the prefixes of ``width`` words that begin at the places
-        ``at``; their next word counts where ``on``, else as the empty word."""
-        size = len(self.words) + 1
-        prefix = self.lang[at]
-        if not width:
-            prefix, first = named(prefix)
-        for k in range(width):
-            prefix, first = named(prefix * size + self.word[at + k])
-        members = [self.word[at[first] + k] for k in range(width)]
-        lang = self.lang[at[first]]
-        following = np.where(on, self.word[np.minimum(at + width, len(self.word) - 1)] + 1, 0)
-        key, count = np.unique(prefix * size + following, return_counts=True)
-        prefix, following = key // size, key % size
-        if width:
-            parts = self.parts(lang, members)[prefix]
-        else:
-            parts = np.full(len(key), self.root_parts)
-        word_hash = np.append(np.uint64(0), self.hash)[following]
-        part = (word_hash >> np.uint64(8)).astype(np.int64) % parts
-        order = np.lexsort((part, prefix))
-        prefix, following, part, count = prefix[order], following[order], part[order], count[order]
+        ``at``, each with the word after it."""
+        size = len(self.words)
+        key, bound = self.lang[at], len(self.langs)
+        for k in range(width + 1):
+            if bound * size >= 1 << 62:
+                key, first = named(key)
+                bound = len(first)
+            key = key * size + self.word[at + k]
+            bound *= size
+        key, first, count = np.unique(key, return_index=True, return_counts=True)
+        prefix = key // size                                # sorted, as the keys are
+        there = at[first]
+        lang, members, following = self.lang[there], [self.word[there + k] for k in range(width)], self.word[there + width]
+        parts = self.parts(lang, members) if width else np.full(len(key), self.root_parts)
+        part = (self.hash[following] >> np.uint64(8)).astype(np.int64) % parts
+        if parts.max(initial=1) > 1:
+            order = np.lexsort((part, prefix))
+            lang, prefix, following, part, count = lang[order], prefix[order], following[order], part[order], count[order]
+            members = [m[order] for m in members]
         new = np.ones(len(prefix), bool)
         new[1:] = (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])
         begin = np.flatnonzero(new)
         offsets = pa.array(np.append(begin, len(prefix)).astype(np.int32))
-        names = pa.concat_arrays([pa.array([""], pa.string()), self.words]).take(pa.array(following))
-        rows = prefix[begin]
-        text = [self.words.take(pa.array(m[rows])) for m in members]
-        text = pc.binary_join_element_wise(*text, " ") if text else pa.array([""] * len(rows), pa.string())
+        text = [self.words.take(pa.array(m[begin])) for m in members]
+        text = pc.binary_join_element_wise(*text, " ") if text else pa.array([""] * len(begin), pa.string())
         return pa.RecordBatch.from_arrays(
-            [self.langs.take(pa.array(lang[rows])), text, pa.array(part[begin].astype(np.int32)),
-             pa.ListArray.from_arrays(offsets, names), pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int64)))],
+            [self.langs.take(pa.array(lang[begin])), text, pa.array(part[begin].astype(np.int32)),
+             pa.ListArray.from_arrays(offsets, self.words.take(pa.array(following))),
+             pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int64)))],
             ["lang", "prefix", "part", "words", "counts"])
 
     def parts(self, lang: np.ndarray, members: list[np.ndarray]) -> np.ndarray:
@@ -175,36 +172,24 @@ def held(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
     return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def counted(docs: DataFrame, widths: tuple[int, ...], bits=None, hot=None, root_parts: int = ROOT_PARTS,
+def counted(docs: DataFrame, width: int, bits=None, hot=None, root_parts: int = ROOT_PARTS,
             step_bytes: int = STEP_BYTES) -> DataFrame:
-    """The tasks' stripes of prefixes of so many words, equal keys together in
-    order.  ``bits`` is a broadcast of the frequent phrases of as many words as
-    the shortest prefix has."""
-    least = min(widths)
+    """The tasks' stripes of prefixes of ``width`` words, equal keys together in
+    order.  ``bits`` is a broadcast of the frequent phrases of ``width`` words."""
     spread = hot.value if hot else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in text_steps(batch, limit=step_bytes):
                 c = Counter(step.column("lang"), step.column("text"), spread, root_parts)
-                if not len(c.word):
-                    continue
-                if not least:
-                    yield c.stripes(np.arange(len(c.word)), 0, np.ones(len(c.word), bool))
-                    continue
-                # begin[k]: all phrases of ``least`` words among the next least + k may be frequent
-                fine = c.likely(bits.value, least)
-                begin = [fine]
-                for k in range(1, max(widths) - least + 2):
-                    longer = np.zeros(len(fine), bool)
-                    longer[:-k] = begin[-1][:-k] & fine[k:]
-                    if least == 1:
-                        longer[:-k] &= c.follows[k - 1:-1]
-                    begin.append(longer)
-                for width in widths:
-                    at = np.flatnonzero(begin[width - least])
-                    if len(at):
-                        yield c.stripes(at, width, begin[width - least + 1][at])
+                at = np.arange(len(c.word))
+                if width:
+                    # the phrases of ``width`` words here and one word on may be frequent
+                    fine = c.likely(bits.value, width)
+                    both = fine[:-1] & fine[1:]
+                    at = np.flatnonzero(both & c.follows[:-1] if width == 1 else both)
+                if len(at):
+                    yield c.stripes(at, width)
 
     key = ("lang", "prefix", "part")
     return docs.mapInArrow(run, STRIPE).repartition(*key).sortWithinPartitions(*key)
@@ -245,7 +230,7 @@ def pruned(rows: pa.RecordBatch, least: int) -> pa.RecordBatch:
     owner = np.repeat(np.arange(len(rows)), size)
     total = np.zeros(len(rows), np.int64)
     np.add.at(total, owner, count)
-    use = (count >= least) & pc.not_equal(word, "").to_numpy(zero_copy_only=False)
+    use = count >= least
     most = np.zeros(len(rows), np.int64)
     np.maximum.at(most, owner[use], count[use])
     offsets = pa.array(np.searchsorted(owner[use], np.arange(len(rows) + 1)).astype(np.int32))
@@ -321,21 +306,23 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     subsumes (at 80 percent of their count)."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    one = cut_lineage(merged(counted(texts, (0,), root_parts=root_parts, step_bytes=step_bytes), least))
+    one = cut_lineage(merged(counted(texts, 0, root_parts=root_parts, step_bytes=step_bytes), least))
     size = cut_lineage(one.groupBy("lang").agg(F.sum("total").alias("n")))
-    words = extensions(one)
-    spread = hot_words(words, size.agg(F.sum("n")).first()[0] or 0, hot)
-    bits = frequent_bits(words, filter_bits)
-    two = cut_lineage(merged(counted(texts, (1,), bits, spread, step_bytes=step_bytes), least))
-    bits = frequent_bits(extensions(two), filter_bits)
-    four = cut_lineage(merged(counted(texts, (2, 3), bits, spread, step_bytes=step_bytes), least))
-    stripes = two.unionByName(four)
+    frequent = cut_lineage(extensions(one))
+    spread = hot_words(frequent, size.agg(F.sum("n")).first()[0] or 0, hot)
+    stripes, totals = None, frequent
+    for width in range(1, MOST_WORDS):
+        bits = frequent_bits(frequent, filter_bits)
+        level = cut_lineage(merged(counted(texts, width, bits, spread, step_bytes=step_bytes), least))
+        frequent = extensions(level)
+        stripes = level if stripes is None else stripes.unionByName(level)
+        if width < MOST_WORDS - 1:
+            totals = totals.unionByName(frequent)
     found = cut_lineage(extensions(stripes).withColumn("w", F.split("phrase", " ")))
-    totals = cut_lineage(stripes.groupBy("lang", F.col("prefix").alias("part")).agg(
-        F.sum("total").alias("f"), F.max("most").alias("most")))
+    totals = cut_lineage(totals.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")))
+    right = stripes.where("most > 0").groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("most").alias("most"))
     left = found.groupBy("lang", F.array_join(F.slice("w", 2, MOST_WORDS), " ").alias("phrase")).agg(F.max("a").alias("most"))
-    longer = totals.select("lang", F.col("part").alias("phrase"), "most").unionByName(left).groupBy(
-        "lang", "phrase").agg(F.max("most").alias("most"))
+    longer = right.unionByName(left).groupBy("lang", "phrase").agg(F.max("most").alias("most"))
     kept = found.join(longer, ["lang", "phrase"], "left").filter(
         F.coalesce(F.col("most").cast("decimal(20,0)") * 5 < F.col("a").cast("decimal(20,0)") * 4, F.lit(True)))
     cuts = kept.select("lang", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("k"))
