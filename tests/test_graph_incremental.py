@@ -158,3 +158,58 @@ def test_motifs_against_bindings(spark, part, split):
 def test_motifs_of_an_empty_graph(spark):
     e = spark.createDataFrame([], "src long, dst long, timestamp double")
     assert crossing.count_square_motif(e).first().cnt == 0 and crossing.count_fork_motif(e).first().cnt == 0
+
+
+# ---- strong components ----
+
+def reachable(pairs):
+    out = {}
+    for a, b in pairs:
+        out.setdefault(a, set()).add(b)
+        out.setdefault(b, set())
+    reach = {}
+    for v in out:
+        seen, todo = {v}, [v]
+        while todo:
+            for w in out[todo.pop()] - seen:
+                seen.add(w)
+                todo.append(w)
+        reach[v] = seen
+    return reach
+
+
+def check_strong(spark, pairs, **more):
+    from rill.operators.graph.components import strongly_connected_components
+
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    got = {r.id: r.scc for r in strongly_connected_components(e, **more).collect()}
+    reach = reachable(pairs)
+    assert got == {v: min(w for w in reach[v] if v in reach[w]) for v in reach if "rounds" not in more or v in got}
+    return got
+
+
+def test_strong_components_of_random_graphs(spark):
+    rng = random.Random(11)
+    for n, m in ((12, 14), (40, 60), (60, 62)):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        check_strong(spark, pairs + [(100, 100), (101, 102), (102, 101)])
+
+
+def test_strong_components_with_more_than_63_pivots_worth(spark):
+    """Many small components in a row, none of them a chain."""
+    pairs = []
+    for c in range(80):
+        v = [4 * c + k for k in range(4)]
+        pairs += [(a, b) for a in v for b in v if a != b] + [(v[0], v[3] + 1), (v[1], v[3] + 2)]
+    got = check_strong(spark, pairs)
+    assert len(set(got.values())) >= 80
+    check_strong(spark, pairs, rounds=1)
+
+
+def test_a_ring_takes_few_rounds(spark):
+    from rill.operators.graph.components import strongly_connected_components
+
+    steps = []
+    ring = spark.range(10_000).select(F.col("id").alias("src"), ((F.col("id") + 1) % 10_000).alias("dst"))
+    got = strongly_connected_components(ring, told=lambda *s: steps.append(s))
+    assert got.agg(F.max("scc"), F.count("*")).first()[:] == (0, 10_000) and len(steps) < 60
