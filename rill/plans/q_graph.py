@@ -49,6 +49,13 @@ _AE = f"""ae AS (SELECT user_id AS src,
 _SL = f"sl AS (SELECT * FROM ae WHERE timestamp > {MOTIF_WINDOW[0]} AND timestamp <= {MOTIF_WINDOW[1]})"
 
 
+# Layers of the order graph; a vertex is 4 * key + layer.
+_LAYERED = """lg AS (
+  SELECT 4 * CAST(c_nationkey AS BIGINT) AS src, 4 * CAST(c_custkey AS BIGINT) + 1 AS dst FROM customer
+  UNION SELECT 4 * CAST(o_custkey AS BIGINT) + 1, 4 * CAST(o_orderkey AS BIGINT) + 2 FROM orders
+  UNION SELECT 4 * CAST(l_orderkey AS BIGINT) + 2, 4 * CAST(l_partkey AS BIGINT) + 3 FROM lineitem)"""
+
+
 def _stored(edges):
     """Edge lists read more than once (loops, degree + join, subgraphs) are
     derived from lineitem once per query and read back from the checkpoint
@@ -324,6 +331,39 @@ def ppr_subgraph_edges(spark, sf_dir):
                               sub.agg(F.count(F.lit(1)).alias("edges"))])
 
 
+#: Rounds after which ranks on the layered graph (three edges deep) do not change.
+LAYERED_ROUNDS = 5
+
+
+def _layered_ppr_sql() -> str:
+    ctes = [_LAYERED, "od AS (SELECT src, COUNT(*) AS n FROM lg GROUP BY src)",
+            "srcv AS (SELECT src AS s FROM lg WHERE src % 4 = 0 GROUP BY src ORDER BY COUNT(*) DESC, src ASC LIMIT 1)",
+            "r0 AS (SELECT s AS id, 1.0::DOUBLE AS rank FROM srcv)"]
+    for k in range(1, LAYERED_ROUNDS + 1):
+        ctes.append(f"""r{k} AS MATERIALIZED (
+  SELECT id, CASE WHEN id = (SELECT s FROM srcv) THEN 0.15 ELSE 0.0 END + 0.85 * SUM(c) AS rank
+  FROM (SELECT e.dst AS id, r.rank / od.n AS c
+        FROM lg e JOIN od ON od.src = e.src JOIN r{k - 1} r ON r.id = e.src
+        UNION ALL SELECT s, 0.0 FROM srcv)
+  GROUP BY id)""")
+    return "WITH " + ",\n".join(ctes)
+
+
+@query("ppr_subgraph_layered", sql=_layered_ppr_sql() + f""",
+top AS (SELECT id FROM r{LAYERED_ROUNDS} ORDER BY round(rank, 9) DESC, id ASC LIMIT {PPR_SUBGRAPH_TOP})
+SELECT (SELECT COUNT(*) FROM r{LAYERED_ROUNDS}) AS ranked, (SELECT COUNT(*) FROM top) AS vertices,
+       (SELECT COUNT(*) FROM lg WHERE src IN (SELECT id FROM top) AND dst IN (SELECT id FROM top)) AS edges
+""")
+def ppr_subgraph_layered(spark, sf_dir):
+    """G14/P17 where the 2000 best are not all: rank personalised to the nation of
+    most customers on the order graph, and the subgraph of its best vertices."""
+    g = _stored(ds.layered_edges(spark, sf_dir).distinct())
+    r = _stored(personalized_pagerank(g, _ppr_source(g.where("src % 4 = 0")), rounds=LAYERED_ROUNDS))
+    top = r.orderBy(F.round("rank", 9).desc(), F.col("id").asc()).limit(PPR_SUBGRAPH_TOP).select("id")
+    return merge_single_rows([r.agg(F.count(F.lit(1)).alias("ranked")), top.agg(F.count(F.lit(1)).alias("vertices")),
+                              induced_subgraph(g, top).agg(F.count(F.lit(1)).alias("edges"))])
+
+
 #: Tolerance of the rank, and rounds of the SQL (those after the last push change nothing).
 PPR_TOL = 0.01
 PPR_SQL_ROUNDS = 24
@@ -461,11 +501,6 @@ def community_sizes(spark, sf_dir):
 
 # ---- DAG distances and a custom vertex program ----
 
-# Layers of the order graph; a vertex is 4 * key + layer.
-_LAYERED = """lg AS (
-  SELECT 4 * CAST(c_nationkey AS BIGINT) AS src, 4 * CAST(c_custkey AS BIGINT) + 1 AS dst FROM customer
-  UNION SELECT 4 * CAST(o_custkey AS BIGINT) + 1, 4 * CAST(o_orderkey AS BIGINT) + 2 FROM orders
-  UNION SELECT 4 * CAST(l_orderkey AS BIGINT) + 2, 4 * CAST(l_partkey AS BIGINT) + 3 FROM lineitem)"""
 _DAG_SQL = f"""WITH RECURSIVE {_LAYERED},
 d(v, k) AS (SELECT id, 0 FROM (SELECT src AS id FROM lg UNION SELECT dst FROM lg)
             UNION SELECT e.dst, d.k + 1 FROM d JOIN lg e ON e.src = d.v)
