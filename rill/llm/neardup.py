@@ -46,7 +46,7 @@ from rill.session import cut_lineage
 ROWS, BANDS = 4, 24
 LEAST, AGREE = 0.8, 58                # similarity; registers of 96 for a check
 #: Bytes of text signed or checked at once; texts and bytes of a part of a bucket.
-STEP_BYTES, PART, PART_BYTES = 2 << 20, 256, 2 << 20
+STEP_BYTES, PART, PART_BYTES = 2 << 20, 1024, 2 << 20
 
 
 def signed(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*",)) -> DataFrame:
