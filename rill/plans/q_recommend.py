@@ -12,8 +12,8 @@ from rill.plans.registry import query
 from rill.session import cut_lineage
 
 # A small grid whose outcome SQL can state (two ranks, two regularisations, one
-# number of rounds, three folds).  ``als_grid_full`` runs the published 27 points
-# with five folds.
+# number of rounds, three folds).  ``grid_search`` defaults to the published 27
+# points and five folds; README has what a run of it takes.
 SMALL_GRID = {"ranks": (5, 10), "regs": (0.1, 0.01), "rounds": (8,), "folds": 3}
 
 
@@ -44,11 +44,3 @@ def als_grid_mse(spark, sf_dir):
     spread = r.agg(F.variance("rating")).first()[0]
     grid = grid_search(r, parallelism=4, **SMALL_GRID)
     return grid.select("rank", "reg", "rounds", (F.col("mse") < spread).alias("learned"))
-
-
-@query("als_grid_full")
-def als_grid_full(spark, sf_dir):
-    """The published grid, 27 points with five folds each: the mean
-    squared error of every point, and which is the best."""
-    r = cut_lineage(ds.ratings(spark, sf_dir))
-    return grid_search(r, parallelism=8)
