@@ -386,11 +386,12 @@ def _residual_sql(tol: float, rounds: int) -> str:
     return "WITH " + ",\n".join(ctes)
 
 
+# twelve decimals: at fewer, ranks such as 0.0032778125 lie on the edge of rounding
 @query("personalized_pagerank_tolerance", sql=_residual_sql(PPR_TOL, PPR_SQL_ROUNDS) + f"""
-SELECT id, round(0.15 * total, 9) AS rank, (SELECT MAX(pushes) FROM p{PPR_SQL_ROUNDS}) AS rounds,
-       (SELECT round(MAX(res), 9) FROM p{PPR_SQL_ROUNDS}) AS residual
+SELECT id, round(0.15 * total, 12) AS rank, (SELECT MAX(pushes) FROM p{PPR_SQL_ROUNDS}) AS rounds,
+       (SELECT round(MAX(res), 12) FROM p{PPR_SQL_ROUNDS}) AS residual
 FROM p{PPR_SQL_ROUNDS} WHERE id <> (SELECT s FROM srcv)
-ORDER BY round(0.15 * total, 9) DESC, id ASC LIMIT {PPR_TOP}
+ORDER BY round(0.15 * total, 12) DESC, id ASC LIMIT {PPR_TOP}
 """)
 def personalized_pagerank_tolerance(spark, sf_dir):
     """Rank personalised to the busiest vertex, residuals pushed until none
@@ -399,9 +400,9 @@ def personalized_pagerank_tolerance(spark, sf_dir):
     s = _ppr_source(g)
     r = residual_pagerank(g, s, PPR_TOL)
     release(g)
-    return (r.ranks.where(F.col("id") != F.lit(s)).select("id", F.round("rank", 9).alias("rank"))
+    return (r.ranks.where(F.col("id") != F.lit(s)).select("id", F.round("rank", 12).alias("rank"))
             .orderBy(F.col("rank").desc(), F.col("id").asc()).limit(PPR_TOP)
-            .select("id", "rank", F.lit(r.rounds).cast("long").alias("rounds"), F.round(F.lit(r.residual), 9).alias("residual")))
+            .select("id", "rank", F.lit(r.rounds).cast("long").alias("rounds"), F.round(F.lit(r.residual), 12).alias("residual")))
 
 
 # ---- components and communities ----
