@@ -9,13 +9,15 @@ filters over single bytes).  Each filter's largest response over the whole text
 Training (Adam, gradients by hand: through max pooling only the winning chunk
 of each filter learns) uses a bounded sample of labelled documents: at most
 ``max_labels`` label rows, chosen by a hash of the id from the allowed folds,
-and of each text a stretch of at most ``STRETCH`` characters.  Scoring runs in
-Arrow batches inside tasks.
+one text per id, and of each text at most ``stretch`` characters from a place
+chosen by the hash.  Scoring reads whole texts, in Arrow batches inside tasks.
 
 Defined cases: a null text is empty; an empty text gets the score of a text
 without chunks; without labels every score is 0.5; repeated labels all count;
-null ids stay null and are never trained on; equal texts get equal scores;
-further columns are ignored; an empty table gives no rows.
+null ids stay null and are never trained on; of several rows with a labelled id
+one is trained on (the text with the least hash); equal texts get equal scores;
+the input's columns travel in a struct, so their names cannot clash (one named
+like the result gives way to it); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rill.llm.common import plain_text, raw, text_steps
+from rill.session import cut_lineage
 
 HALF, DIM, FILTERS, DENSE, STRETCH = 8, 6, 48, 16, 4000
 LAGS = range(2, 21)
@@ -47,9 +50,13 @@ def half_chunks(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
         padded[np.arange(len(data)) + shift] = data
     repeats = np.zeros((at[-1], len(LAGS)), "f4")
     ones = np.uint64(0x0101010101010101)
+    begin = at[:-1][count > 0] * HALF
     for k, lag in enumerate(LAGS):
         same = np.zeros(len(padded), np.uint8)
         np.equal(padded[lag:], padded[:-lag], out=same[lag:].view(bool))
+        # no byte equals one of the text before
+        head = (begin[:, None] + np.arange(lag)).reshape(-1)
+        same[head[head < len(same)]] = 0
         repeats[:, k] = (same.view(np.uint64) * ones >> np.uint64(56)).astype("f4")
     repeats *= 1 / HALF
     return padded.reshape(-1, HALF), repeats, at
@@ -101,7 +108,11 @@ class Model:
                     halves, repeats, at = half_chunks(part, np.array([0, len(part)]))
                     skip = 4 if s > lo else 0   # their lags reach before the span
                     x = self.inputs(halves, repeats)[skip:]
-                    top[first] = np.maximum(top[first], self.pool(x, np.array([0, len(x)]))[0][0])
+                    response = self.pool(x, np.array([0, len(x)]))[1]
+                    # the last half's chunk goes on in the next span
+                    response = response[:len(x) - (s + SPAN < hi)]
+                    if len(response):
+                        top[first] = np.maximum(top[first], response.max(0))
             first = stop
         return self.head(top)[1].astype("f8")
 
@@ -151,19 +162,26 @@ class Model:
                     w -= speed * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
 
 
+def order_of(id_col: str, seed: int) -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+
+
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, label_col: str = "quality", text_col: str = "text",
-          id_col: str = "doc_id", max_labels: int = 2400, seed: int = 1) -> Model | None:
+          id_col: str = "doc_id", max_labels: int = 2400, stretch: int = STRETCH, seed: int = 1) -> Model | None:
     """A model from a sample of the allowed label rows (None without any)."""
-    order = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+    order = order_of(id_col, seed)
     rows = labels.filter(allowed & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
-    chosen = rows.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"), order.alias("__order"))
-    chosen = chosen.orderBy("__order", "__label").limit(max_labels)
+    chosen = rows.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), order.alias("order"))
+    # read twice below: at most ``max_labels`` rows of three numbers, which are broadcast
+    chosen = cut_lineage(chosen.orderBy("order", "label").limit(max_labels))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    at = F.floor(F.pmod("__order", F.lit(1000)) / 1000 * F.greatest(F.length(text) - STRETCH, F.lit(0))).cast("int") + 1
-    # at most ``max_labels`` rows of two numbers are broadcast
-    joined = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))
-    got = joined.select("__order", "__label", F.substring(text, at, F.lit(STRETCH)).alias("text")).collect()
-    got = sorted((r["__order"], r["__label"], r["text"]) for r in got)
+    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    at = F.pmod(order_of("id", seed), F.lit(1000)) / 1000 * F.greatest(F.length("text") - stretch, F.lit(0))
+    part = F.substring(F.col("text"), F.floor(at).cast("int") + 1, F.lit(stretch)).alias("text")
+    # one text per id, combined before the shuffle: an id on many rows costs one row per task
+    texts = texts.join(F.broadcast(chosen.select("id").distinct()), "id").select("id", F.xxhash64("text").alias("h"), part)
+    texts = texts.groupBy("id").agg(F.min(F.struct("h", "text"))["text"].alias("text"))
+    got = sorted((r["order"], r["label"], r["text"]) for r in texts.join(F.broadcast(chosen), "id").collect())
     if not got:
         return None
     model = Model(seed)
@@ -174,16 +192,17 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label_col: str =
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", carry: tuple[str, ...] = ("*",),
           name: str = "score") -> DataFrame:
     """The columns in ``carry`` with the probability of label 1."""
-    rows = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = docs.select(F.struct(*carry).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["doc"].dataType
+    kept = [F.col("doc")[c].alias(c) for c in kind.names if c.lower() != name.lower()]
     if model is None:
-        return rows.drop("__text").withColumn(name, F.lit(0.5))
+        return rows.select(*kept, F.lit(0.5).alias(name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for step in text_steps(batch, "__text"):
+            for step in text_steps(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [*step.columns[:-1], pa.array(model.score(step.column("__text")), pa.float64())],
-                    [*step.schema.names[:-1], name])
+                    [step.column("doc"), pa.array(model.score(step.column("text")), pa.float64())], ["doc", "score"])
 
-    return rows.mapInArrow(run, f"{fields}, `{name}` double")
+    scored = rows.mapInArrow(run, f"doc {kind.simpleString()}, score double")
+    return scored.select(*kept, F.col("score").alias(name))
