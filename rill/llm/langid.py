@@ -1,8 +1,9 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-Training (numpy, backpropagation through time) uses a bounded sample: about
-``per_language`` documents of each language, chosen by a hash of the id from
-the allowed folds, and of each a stretch of at most ``STRETCH`` characters.
+Training (numpy, backpropagation through time) uses a bounded sample: at most
+``per_language`` different rows of each language and ``max_rows`` in all, chosen
+by a hash of id and text from the allowed folds, and of each at most ``stretch``
+characters from a place chosen by another hash.
 Each byte is one step, and at every position the two states together give the
 log-odds of the languages; the loss is the cross entropy at every position.
 
@@ -14,9 +15,10 @@ weights (a few ten thousand numbers) are sent to them.
 
 Defined cases: ``und`` with score 0 for a null text and for one without a
 letter, and for all texts if there is nothing to learn from; null languages and
-null texts are not learned from; equal texts get equal results; ties go to the
-language that sorts first; null ids stay null; further columns are ignored; an
-empty table gives no rows.
+null texts are not learned from, of repeated rows one is; equal texts get equal
+results; ties go to the language that sorts first; null ids stay null; the
+input's columns travel in a struct, so their names cannot clash (one named like
+a result gives way to it); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,12 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rill.llm.common import LOWER, plain_text, raw, text_steps
+from rill.session import cut_lineage
 
 HIDDEN, WINDOW, SIDE_BY_SIDE, STRETCH = 12, 96, 2048, 960
+#: Longest gradient of a training step.
+LARGEST = 5.0
 
 
 class Direction:
@@ -144,6 +149,10 @@ class Model:
                 grads += layer.backward(windows, kp, outer)
             grads.append(np.concatenate([b.reshape(-1, HIDDEN).T @ flat for b in both]))
             grads.append(flat.sum(0))
+            norm = np.sqrt(sum(float(np.square(g, dtype="f8").sum()) for g in grads))
+            if not np.isfinite(norm):           # a few equal texts can drive the states out of bounds
+                continue
+            grads = [g * np.float32(min(1, LARGEST / max(norm, 1e-12))) for g in grads]
             speed = rate * min(1, 2 * (1 - step / (steps + 1)))
             for w, g, m, v in zip(weights, grads, first, second, strict=True):
                 m += 0.1 * (g - m)
@@ -179,20 +188,24 @@ class Model:
 
 
 def train(docs: DataFrame, allowed: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          per_language: int = 400, seed: int = 1) -> Model | None:
+          per_language: int = 400, max_rows: int = 50_000, stretch: int = STRETCH, seed: int = 1) -> Model | None:
     """A model from a sample of the allowed rows (None without any)."""
     text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
     rows = docs.filter(allowed & lang.isNotNull() & text.rlike(r"\p{L}"))
-    # one row per language
-    counts = {r["lang"]: r["count"] for r in rows.groupBy(lang.alias("lang")).count().collect()}
-    if not counts:
-        return None
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    share = F.coalesce(*(F.when(lang == k, min(1.0, per_language / n)) for k, n in counts.items()))
-    at = F.floor(draw * 1e6 % 1.0 * F.greatest(F.length(text) - STRETCH, F.lit(0))).cast("int") + 1
-    sample = rows.filter(draw < share).select(lang.alias("lang"), F.substring(text, at, F.lit(STRETCH)).alias("text"),
-                                              F.xxhash64(text).alias("order"))
-    got = sorted(((r["lang"], r["order"], r["text"]) for r in sample.collect()))
+    key = lambda n: F.xxhash64(F.col(id_col).cast("string"), text, F.lit(seed + n))
+    rows = rows.select(lang.alias("lang"), key(0).alias("order"), F.pmod(key(1), F.lit(1000)).alias("at"), text.alias("text"))
+    # a share of each language's different rows, somewhat more than are used
+    # (stored, so that Spark knows its size and broadcasts it if it is small)
+    share = rows.groupBy("lang").agg((1.5 * per_language / F.approx_count_distinct("order", 0.02)).alias("share"))
+    share = cut_lineage(share)
+    draw = F.pmod("order", F.lit(1 << 30)) / float(1 << 30)
+    at = F.floor(F.col("at") / 1000 * F.greatest(F.length("text") - stretch, F.lit(0))).cast("int") + 1
+    sample = rows.join(share, "lang").filter(draw < F.col("share")).select(
+        "lang", "order", F.substring(F.col("text"), at, F.lit(stretch)).alias("text"))
+    sample = sample.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    sample = sample.withColumn("nth", nth).filter(F.col("nth") <= per_language).orderBy("nth", "lang").limit(max_rows)
+    got = sorted((r["lang"], r["order"], r["text"]) for r in sample.collect())
     languages = sorted({g[0] for g in got})
     if not languages:
         return None
@@ -204,22 +217,30 @@ def train(docs: DataFrame, allowed: Column, text_col: str = "text", lang_col: st
 def label(docs: DataFrame, model: Model | None, text_col: str = "text", carry: tuple[str, ...] = ("*",),
           prefix: str = "") -> DataFrame:
     """The columns in ``carry`` with lang_pred and score (names after ``prefix``)."""
-    text = F.col(text_col).cast("string")
     name, value = f"{prefix}lang_pred", f"{prefix}score"
-    rows = docs.select(*carry, F.when(text.rlike(r"\p{L}"), text).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = judged(docs, model, text_col, carry)
+    taken = (name.lower(), value.lower())
+    kept = [F.col("doc")[c].alias(c) for c in rows.schema["doc"].dataType.names if c.lower() not in taken]
+    return rows.select(*kept, F.col("lang_pred").alias(name), F.col("score").alias(value))
+
+
+def judged(docs: DataFrame, model: Model | None, text_col: str = "text", carry: tuple[str, ...] = ("*",)) -> DataFrame:
+    """doc (a struct of the columns in ``carry``), lang_pred, score."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct(*carry).alias("doc"), F.when(text.rlike(r"\p{L}"), text).alias("text"))
     if model is None:
-        return rows.drop("__text").withColumns({name: F.lit("und"), value: F.lit(0.0)})
+        return rows.select("doc", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], object)
         for batch in batches:
-            for step in text_steps(batch, "__text"):
-                odds = model.score(step.column("__text"))
+            for step in text_steps(batch):
+                odds = model.score(step.column("text"))
                 best = np.where(odds.any(1), odds.argmax(1), len(model.languages))
                 yield pa.RecordBatch.from_arrays(
-                    [*step.columns[:-1], pa.array(names[best], pa.string()),
+                    [step.column("doc"), pa.array(names[best], pa.string()),
                      pa.array(np.clip(odds.max(1, initial=0.0), 0, 1), pa.float64())],
-                    [*step.schema.names[:-1], name, value])
+                    ["doc", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"{fields}, `{name}` string, `{value}` double")
+    return rows.mapInArrow(run, f"doc {kind}, lang_pred string, score double")
