@@ -6,11 +6,18 @@ is too short or repeats itself.  All further limits come from the data: for
 each language and source, mergeable KLL quantile sketches of each share are
 built from the documents that pass the base rules (partial sketches per task,
 merged after one small shuffle, so a source that holds a third of all rows is
-no hot key).  A limit is the median plus the larger of a least margin and a
-multiple of the quartile distance.  Sketches of small groups are replaced by
-those merged over the language, or over everything.  The table of limits has
+no hot key).  An upper limit is the median plus a multiple of the quartile
+distance, at most half a margin above the 99th percentile (so a wide spread does
+not put it out of reach), at least a margin above the median; word length has a
+lower limit by the same rule downwards.  Limits of a group of n documents weigh
+n / (n + HALF_WEIGHT) against those of its language, and these against those of
+everything, so that no limit jumps when a group grows.  The table of limits has
 one row per language and source and is joined to the measures.
 
+KLL sketches compact at random: a percentile's rank may be off by about 0.3 % of
+the documents (k = 1024), so a document within that distance of a limit may be
+judged differently by another run.
+
 Repeated windows are found inside a row: 64-bit hashes of the windows are
 packed with their positions, sorted as plain longs, and windows whose packed
 hashes have an equal neighbour are compared by their whole hash.
@@ -33,13 +40,14 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
-#: Least distance of a limit from the median, by measure.
+#: Least distance of a limit from the median, by measure (upper and lower limits).
 MARGIN = {"symbol_share": 0.05, "capital_share": 0.3, "dup_line_share": 0.4,
           "repeat_share": 0.3, "word_length": 3.5}
+LOWER = ("word_length",)
 #: Quartile distances between the median and the limit.
 SPREAD = 8.0
-#: Groups of fewer documents use the sketches of their language, then all.
-MIN_GROUP = 200
+#: Documents at which a group's own limits weigh as much as the wider ones.
+HALF_WEIGHT = 40
 SKETCH_K = 1024
 
 
@@ -97,8 +105,16 @@ def measure(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         failed.alias("base_failed"))
 
 
+def limit(sketch: Column, margin: float, side: int) -> Column:
+    """The upper (``side`` 1) or lower (-1) limit from one sketch."""
+    tail = 0.99 if side > 0 else 0.01
+    q = F.kll_sketch_get_quantile_double(sketch, F.array(*(F.lit(p) for p in (0.25, 0.5, 0.75, tail))))
+    spread = F.least(SPREAD * (q[2] - q[0]), side * (q[3] - q[1]) + margin / 2)
+    return q[1] + side * F.greatest(F.lit(margin), spread)
+
+
 def limits(measured: DataFrame) -> DataFrame:
-    """One row per language and source: a limit for each share."""
+    """One row per language and source: max_ and min_ limits of the measures."""
     groups = measured.filter(~F.col("base_failed")).groupBy("lang", "source").agg(
         F.count("*").alias("n"), *(F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in MARGIN))
     merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in MARGIN)]
@@ -108,13 +124,14 @@ def limits(measured: DataFrame) -> DataFrame:
     by_lang = wider("lang").select(F.col("lang").alias("l"), F.col("s").alias("by_lang"))
     whole = groups.select("*", one).groupBy("one").agg(F.struct(*merged).alias("whole"))
     table = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left").join(whole, "one", "left")
-    used = F.when(F.col("own.n") >= MIN_GROUP, F.col("own")).when(
-        F.col("by_lang.n") >= MIN_GROUP, F.col("by_lang")).otherwise(F.col("whole"))
-    table = table.select("lang", "source", used.alias("s"))
+    weight = lambda g: F.col(f"{g}.n") / (F.col(f"{g}.n") + HALF_WEIGHT)
     out = []
     for m, margin in MARGIN.items():
-        q = F.kll_sketch_get_quantile_double(F.col(f"s.{m}"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        out.append((q[1] + F.greatest(F.lit(margin), SPREAD * (q[2] - q[0]))).alias(f"max_{m}"))
+        for side in (1, -1) if m in LOWER else (1,):
+            own_, lang_, whole_ = (limit(F.col(f"{g}.{m}"), margin, side) for g in ("own", "by_lang", "whole"))
+            wide = weight("by_lang") * lang_ + (1 - weight("by_lang")) * whole_
+            mixed = weight("own") * own_ + (1 - weight("own")) * wide
+            out.append(mixed.alias(f"max_{m}" if side > 0 else f"min_{m}"))
     return table.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *out)
 
 
@@ -130,6 +147,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     fine = F.lit(True)
     for m in MARGIN:
         fine &= F.coalesce(F.col(m) <= F.col(f"max_{m}"), F.lit(True))
+    for m in LOWER:
+        fine &= F.coalesce(F.col(m) >= F.col(f"min_{m}"), F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & fine).drop("g_lang", "g_source")
 
 
