@@ -105,3 +105,86 @@ def test_long_text_is_scored_whole():
     halves, repeats, at = quality_cnn.half_chunks(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
     whole = model.head(model.pool(model.inputs(halves, repeats), at)[0])[1]
     assert model.score(pa.array([text, "a"]))[0] == pytest.approx(whole[0], abs=1e-5)
+
+
+def test_spans_give_the_scores_of_whole_texts(monkeypatch):
+    """Naive convolution over all chunks of each text, against spans of 256 bytes."""
+    monkeypatch.setattr(quality_cnn, "SPAN", 256)
+    rng, half = np.random.default_rng(5), quality_cnn.HALF
+    for seed in range(3):
+        model = quality_cnn.Model(seed)
+        texts = ["".join(chr(c) for c in rng.integers(97, 101, n)) for n in (0, 5, 200, 255, 256, 257, 300, 448, 449, 480, 1500)]
+        want = []
+        for t in texts:
+            data = np.frombuffer(t.encode(), np.uint8)
+            data = np.append(data, np.zeros(-len(data) % half, np.uint8))
+            best = np.zeros(quality_cnn.FILTERS)
+            halves = []
+            for i in range(0, len(data), half):
+                lags = [sum(data[k] == data[k - lag] for k in range(i, i + half) if k >= lag) / half for lag in quality_cnn.LAGS]
+                halves.append(np.append(model.bytes[data[i:i + half]].reshape(-1), lags))
+            for k, x in enumerate(halves):
+                response = x @ model.filters[0]
+                if k + 1 < len(halves):
+                    response = response + halves[k + 1] @ model.filters[1]
+                best = np.maximum(best, response)
+            want.append(model.head(best[None].astype("f4"))[1][0])
+        assert model.score(pa.array(texts)) == pytest.approx(np.array(want), abs=1e-5)
+
+
+def sampled(monkeypatch, model_class):
+    """Records what a model is fitted on."""
+    seen = {}
+
+    def fit(self, texts, labels, **_):
+        seen["texts"], seen["labels"] = list(texts), list(labels)
+
+    monkeypatch.setattr(model_class, "fit", fit)
+    return seen
+
+
+def hot_rows(spark):
+    """One id on most rows, null ids, an empty language, one row repeated."""
+    rows = [(7, f"row number {i} of the hot id", "en") for i in range(3000)]
+    rows += [(None, f"row {i} without id", "en") for i in range(600)] + [(9, "always the same row", "de")] * 900
+    rows += [(10 + i, f"another text {i}", "fr") for i in range(30)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+
+
+def test_language_sample_is_bounded_by_language(spark, monkeypatch):
+    seen = sampled(monkeypatch, langid.Model)
+    model = langid.train(hot_rows(spark), F.lit(True), per_language=50)
+    by = {name: seen["labels"].count(k) for k, name in enumerate(model.languages)}
+    assert by == {"en": 50, "de": 1, "fr": 30}
+    langid.train(hot_rows(spark), F.lit(True), per_language=50, max_rows=20)
+    assert len(seen["texts"]) == 20 and len(set(seen["labels"])) == 3
+
+
+def test_quality_sample_takes_one_text_per_id(spark, monkeypatch):
+    seen = sampled(monkeypatch, quality_cnn.Model)
+    labels = spark.createDataFrame([(7, 1), (7, 1), (9, 0), (10, 0), (11, 1), (None, 1)], "doc_id long, quality int")
+    quality_cnn.train(hot_rows(spark), labels, F.lit(True))
+    assert len(seen["texts"]) == 5 and sum(seen["labels"]) == 3 and len(set(seen["texts"])) == 4
+    quality_cnn.train(hot_rows(spark), labels, F.lit(True), max_labels=2)
+    assert len(seen["texts"]) == 2
+
+
+def test_clashing_columns(spark):
+    names = ["doc_id", "text", "lang", "__text", "__lang_pred", "__score", "doc", "h", "order", "id"]
+    docs = spark.createDataFrame([(i, f"the thing and {i}", "ende"[2 * (i % 2):][:2]) + ("x",) * 7 for i in range(40)],
+                                 f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names[2:])}")
+    model = langid.train(docs, F.lit(True))
+    got = langid.label(docs, model, prefix="__")
+    assert all(0 <= r["__score"] <= 1 for r in got.collect())
+    assert sorted(got.columns) == sorted(names) and {r["__lang_pred"] for r in got.collect()} <= {"en", "de"}
+    assert langid.label(docs, model).columns == [*names, "lang_pred", "score"]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    scored = quality_cnn.score(docs, quality_cnn.train(docs, labels, F.lit(True)), name="__score")
+    assert sorted(scored.columns) == sorted(names) and all(0 <= r["__score"] <= 1 for r in scored.collect())
+
+
+def test_scores_do_not_depend_on_the_texts_before():
+    model, rng = quality_cnn.Model(2), np.random.default_rng(9)
+    texts = ["".join(chr(c) for c in rng.integers(97, 99, n)) for n in rng.integers(0, 60, 80)]
+    alone = np.concatenate([model.score(pa.array([t])) for t in texts])
+    assert model.score(pa.array(texts)) == pytest.approx(alone, abs=1e-6)
