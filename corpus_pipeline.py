@@ -15,8 +15,9 @@ from rill.llm import langid, neardup, packing, pii, quality_rules
 from rill.llm.common import fold, table, vocabulary_file
 from rill.session import cut_lineage
 
-#: Least pooled probability of the predicted language.
-LEAST_LANGUAGE = 0.35
+#: Least pooled probability of the predicted language, as a share of the way from
+#: an even guess among the languages (0) to certainty (1).
+LEAST_CERTAINTY = 0.1
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,10 +26,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose language is recognised with some certainty."""
+    """Documents with letters whose language is recognised with some certainty;
+    without labels to learn from, all documents with letters."""
     model = langid.train(docs, fold(F.col("doc_id")) != 1)
-    named = langid.label(docs, model, prefix="__")
-    return named.filter((F.col("__lang_pred") != "und") & (F.col("__score") >= LEAST_LANGUAGE)).select(*docs.columns)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    even = 1 / len(model.languages)
+    sure = F.col("score") >= even + LEAST_CERTAINTY * (1 - even)
+    named = langid.judged(docs, model).filter((F.col("lang_pred") != "und") & (sure | F.lit(len(model.languages) == 1)))
+    return named.select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
