@@ -79,49 +79,45 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), step) % 10 == 0
 
 
-def accepted(kind: str, m: Column) -> Column:
-    """Does a base match pass the check of its kind?"""
-    digits = digits_of(m)
-    if kind == "card":
-        return F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(F.lit(False))
-    if kind == "phone":
-        return F.length(digits).between(10, 15)
-    if kind == "ip":
-        return F.forall(F.split(m, r"\."), lambda p: F.length(F.regexp_replace(p, "^0+", "")).between(0, 3)
-                        & (F.when(F.length(F.regexp_replace(p, "^0+", "")) <= 3, F.regexp_replace(p, "^0+(?=.)", "")
-                                  .cast("int")).otherwise(F.lit(999)) <= 255))
-    return F.lit(True)
-
-
-def found(kind: str, pattern: str, matches: Column, between: Column, base: bool) -> Column:
-    """The spans of one generator with their features."""
-    number = KINDS.index(kind) + 1
-    ends = F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
-        lambda s, i: F.struct(
-            (s["at"] + F.length(F.get(between, i)) + F.length(F.get(matches, i))).alias("at"),
-            F.array_append(s["all"], s["at"] + F.length(F.get(between, i)) + F.length(F.get(matches, i))).alias("all")))
+def accepted(kind: Column, m: Column) -> Column:
+    """Does a base match pass the check of its kind (a number from 1)?"""
+    count = F.length(digits_of(m))
+    part = lambda p: (F.length(F.regexp_replace(p, "^0+", "")) <= 3) & (
+        F.when(F.length(F.regexp_replace(p, "^0+", "")) <= 3, F.regexp_replace(p, "^0+(?=.)", "").cast("int"))
+        .otherwise(F.lit(999)) <= 255)
+    return (F.when(kind == 3, F.when(count.between(14, 19), luhn(digits_of(m))).otherwise(F.lit(False)))
+            .when(kind == 4, count.between(10, 15))
+            .when(kind == 2, F.forall(F.split(m, r"\."), part))
+            .otherwise(F.lit(True)))
+
+
+def found(generator: Column) -> Column:
+    """The spans of one generator (kind, base, matches and what is between
+    them) with their features."""
+    kind, matches, between = generator["kind"], generator["m"], generator["b"]
     around = lambda c: F.when(c.rlike(r"^[\p{L}_]"), 1).when(c.rlike("^[0-9]"), 2).when(c.rlike(r"^\S"), 3).otherwise(0)
 
+    def ends(s: Column, i: Column) -> Column:
+        end = s["at"] + F.length(F.get(between, i)) + F.length(F.get(matches, i))
+        return F.struct(end.alias("at"), F.array_append(s["all"], end).alias("all"))
+
     def span(end: Column, i: Column) -> Column:
         m = F.get(matches, i)
         digits = digits_of(m)
         count = F.length(digits)
         return F.struct(
-            F.lit(number).alias("kind"), (end - F.length(m)).alias("s"), end.alias("e"),
-            (accepted(kind, m) if base else F.lit(None).cast("boolean")).alias("base"),
+            kind.alias("kind"), (end - F.length(m)).alias("s"), end.alias("e"),
+            F.when(generator["base"], accepted(kind, m)).alias("base"),
             F.least(count, F.lit(24)).alias("digits"),
             F.least(F.size(F.split(m, "[^0-9]+")), F.lit(8)).alias("groups"),
             (m.rlike(r"\x20").cast("int") + 2 * m.rlike("-").cast("int") + 4 * m.rlike(r"[()]").cast("int")
              + 8 * m.rlike(r"\.").cast("int")).alias("marks"),
             around(F.right(F.get(between, i), F.lit(1))).alias("before"),
             around(F.left(F.get(between, i + 1), F.lit(1))).alias("after"),
-            (F.when(count.between(14, 19), luhn(digits).cast("int")).otherwise(F.lit(2)) if kind == "card"
-             else F.lit(3)).alias("luhn"))
+            F.when(kind != 3, F.lit(3)).when(count.between(14, 19), luhn(digits).cast("int")).otherwise(F.lit(2)).alias("luhn"))
 
-    spans = F.transform(ends["all"], span)
-    return F.when(F.size(matches) > 0, spans)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    return F.transform(F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, ends, lambda s: s["all"]), span)
 
 
 def candidates(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*",)) -> DataFrame:
@@ -132,15 +128,15 @@ def candidates(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] =
     rows = rows.withColumn("some", F.col("t").rlike(ANY))
     generators = [(k, p, True) for k, p in BASE.items()] + [(k, p, False) for k, p in MORE]
     none = F.array().cast("array<string>")
-    rows = rows.select("doc", *(c for i, (_, p, _) in enumerate(generators) for c in (
-        F.when(F.col("some"), F.regexp_extract_all("t", F.lit(p), F.lit(0))).otherwise(none).alias(f"m{i}"),
-        F.when(F.col("some"), F.split("t", p, -1)).otherwise(none).alias(f"b{i}"))))
-    rows = rows.select("doc", *(found(k, p, F.col(f"m{i}"), F.col(f"b{i}"), base).alias(f"c{i}")
-                                for i, (k, p, base) in enumerate(generators)))
-    kind = rows.schema["c0"].dataType.simpleString()
-    empty = F.array().cast(kind)
-    rows = rows.select("doc", F.concat(*(F.coalesce(F.col(f"c{i}").cast(kind), empty)
-                                         for i in range(len(generators)))).alias("c"))
+    rows = rows.select("doc", *(F.struct(
+        F.lit(KINDS.index(k) + 1).alias("kind"), F.lit(base).alias("base"),
+        F.when(F.col("some"), F.regexp_extract_all("t", F.lit(p), F.lit(0))).otherwise(none).alias("m"),
+        F.when(F.col("some"), F.split("t", p, -1)).otherwise(none).alias("b")).alias(f"g{i}")
+        for i, (k, p, base) in enumerate(generators)))
+    # one expression for the spans of all generators: what Spark has to compile
+    # and the virtual machine to inline does not grow with their number
+    all_of = F.filter(F.array(*(f"g{i}" for i in range(len(generators)))), lambda g: F.size(g["m"]) > 0)
+    rows = rows.select("doc", F.flatten(F.transform(all_of, found)).alias("c"))
     rows = rows.select("doc", F.filter("c", lambda x: x["base"]).alias("b"),
                        F.filter("c", lambda x: ~F.coalesce(x["base"], F.lit(False))).alias("c"))
     base = F.col("b")
@@ -168,10 +164,43 @@ class Tree:
             t = t.low if row[t.feature] <= t.bound else t.high
         return t.value
 
-    def column(self, x: Column) -> Column:
-        if not self.feature:
-            return F.lit(float(self.value))
-        return F.when(x[self.feature] <= self.bound, self.low.column(x)).otherwise(self.high.column(x))
+    def laid_out(self, depth: int) -> tuple[list[tuple[int, int]], list[float]]:
+        """The tree as a full one of this depth, level by level: (number of the
+        feature, bound) of its inner nodes, and its leaves.  Below a leaf that
+        stands higher up, all leaves have its value."""
+        if not depth:
+            return [], [float(self.value)]
+        low, high = (t.laid_out(depth - 1) for t in ((self.low, self.high) if self.feature else (self, self)))
+        nodes = [(FEATURES.index(self.feature), self.bound) if self.feature else (0, 0)]
+        for level in range(depth - 1):
+            here = slice((1 << level) - 1, (2 << level) - 1)
+            nodes += low[0][here] + high[0][here]
+        return nodes, low[1] + high[1]
+
+
+def score(trees: list[Tree], x: Column) -> Column:
+    """The trees' values for a candidate, added up in their order.
+
+    The nodes are literal arrays that one short expression walks through: as an
+    expression of its own for every node, the trees cost each executor gigabytes
+    while they are compiled."""
+    nodes, leaves = zip(*(t.laid_out(DEPTH) for t in trees), strict=True)
+    of = lambda rows, kind: F.lit([v for r in rows for v in r]).cast(f"array<{kind}>")
+    feature = of([[f for f, _ in n] for n in nodes], "int")
+    bound = of([[b for _, b in n] for n in nodes], "int")
+    leaf = of(leaves, "double")
+    values = F.array(*(x[f].cast("int") for f in FEATURES))
+    inner = (1 << DEPTH) - 1
+
+    def down(at: Column, tree: Column) -> Column:
+        node = tree * inner + at
+        return at * 2 + F.when(F.get(values, F.get(feature, node)) <= F.get(bound, node), 1).otherwise(2)
+
+    def add(total: Column, tree: Column) -> Column:
+        at = F.aggregate(F.sequence(F.lit(1), F.lit(DEPTH)), F.lit(0), lambda at, _: down(at, tree))
+        return total + F.get(leaf, tree * (inner + 1) + at - inner)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(trees) - 1)), F.lit(0.0), add)
 
 
 def grow(rows: list[tuple[dict[str, int], float, float]], depth: int) -> Tree:
@@ -232,11 +261,10 @@ def find(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("*",
     plain = lambda a: F.array_sort(F.transform(a, place))
     if not limits:
         return stored.select("doc", plain(F.col("base")).alias("base"), plain(F.col("base")).alias("spans"))
-    score = lambda x: functools.reduce(lambda a, t: a + t.column(x), trees, F.lit(0.0))
     enough = lambda x: functools.reduce(
         lambda c, k: c.when(x["kind"] == k, F.lit(limits[k])), limits, F).otherwise(F.lit(math.inf))
     scored = F.transform(F.filter("other", lambda x: x["label"].isNull()), lambda x: F.struct(
-        (-score(x)).alias("minus"), x["s"].alias("s"), (-x["e"]).alias("me"), x["kind"].alias("kind"), x["e"].alias("e"),
+        (-score(trees, x)).alias("minus"), x["s"].alias("s"), (-x["e"]).alias("me"), x["kind"].alias("kind"), x["e"].alias("e"),
         enough(x).alias("least")))
     ranked = F.array_sort(F.filter(scored, lambda x: -x["minus"] >= x["least"]))
     none = F.filter(F.transform(ranked, place), lambda x: F.lit(False))

@@ -1,10 +1,12 @@
 """Base spans against plain patterns; further spans beside other numbers."""
 
+import functools
 import hashlib
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from rill.llm import pii
 
@@ -93,3 +95,24 @@ def test_empty_table_and_no_candidates(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.digest(docs).count() == 0
     assert pii.redact(spark.createDataFrame([(1, "a b")], docs.schema)).collect()[0]["text"] == "a b"
+
+
+def test_trees_as_arrays_score_like_trees(spark):
+    rng = random.Random(9)
+    top = {"kind": 4, "digits": 24, "groups": 8, "marks": 15, "before": 3, "after": 3, "luhn": 3}
+    draw = lambda: {f: rng.randint(0, top[f]) for f in pii.FEATURES}
+    trees = [pii.grow([(draw(), rng.uniform(-1, 1), rng.random()) for _ in range(n)], pii.DEPTH) for n in (0, 1, 2, 5, 40, 200)]
+    rows = [draw() for _ in range(50)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{f} int" for f in rows[0]))
+    got = df.select(F.struct("*").alias("x")).select(pii.score(trees, F.col("x")).alias("s")).collect()
+    assert [g.s for g in got] == [functools.reduce(lambda a, t: a + t.predict(r), trees, 0.0) for r in rows]  # noqa: B023
+
+
+def test_expressions_stay_small(spark):
+    """Executors compile these; large ones took gigabytes of their memory."""
+    trees = [pii.grow([({f: (i * 7 + k) % 5 for k, f in enumerate(pii.FEATURES)}, (-1.0) ** i, 1.0) for i in range(40)], pii.DEPTH)] * pii.ROUNDS
+    docs = spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")
+    nodes = lambda df: str(df._jdf.queryExecution().analyzed()).count("lambda ")
+    assert nodes(pii.candidates(docs)) < 250
+    x = F.struct(*(F.lit(1).alias(f) for f in pii.FEATURES)).alias("x")
+    assert nodes(docs.select(x).select(pii.score(trees, F.col("x")))) < 20
