@@ -41,6 +41,8 @@ from rill.session import cut_lineage
 
 #: Words that a worker remembers (then it starts afresh), and words to a call.
 REMEMBERED, GROUP = 400_000, 500
+#: Text bytes handled at once; a worker takes up to twenty times as much for them.
+STEP_BYTES = 8 << 20
 
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -140,7 +142,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int,
         seen = np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
         for batch in batches:
-            for step in text_steps(batch):
+            for step in text_steps(batch, limit=STEP_BYTES):
                 ids, before = tokens(step.column("text"))
                 at = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1][before] if len(ids) else before
                 data = memoryview(ids.buffers()[2] or b"") if len(ids) else memoryview(b"")
