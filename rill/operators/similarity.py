@@ -1,15 +1,16 @@
 """User-user co-occurrence over a (user, item) table, in DataFrame operators.
 
-Users of the same item are paired by one equi-join on the item, with
-``u1 < u2`` so that every pair is built once, counted by one aggregate (partial
-counts before the shuffle) and mirrored afterwards.
-
-An item with many users would put all its pairs into one join task.  So an item
-of degree d is dealt into ``ceil(d / SPLIT)`` parts: on the left each row goes
-to one part, on the right to all of them.  A rare item has one part and is not
-repeated at all, a hot one is spread over many tasks, and every pair still
-meets exactly once.  The score follows from the shared count and both users'
-item counts, which travel with the rows.
+Each (user, item) row meets the list of the item's users; the lists go to the
+user's partition, where one aggregate counts how often each other user stands in
+them and the best are chosen.  So a pair crosses the network once, as an element
+of a sorted list of numbers; counting and ranking need no further exchange.  There
+are as many partitions as the number of pairs asks for (``PAIRS`` in each), which
+bounds a task's memory whatever the input.
+
+An item with many users would make rows of any length.  So an item of degree d is
+dealt into ``ceil(d / SPLIT)`` parts: each part has a list of its own, and a row of
+the item meets all of them.  The score follows from the shared count and both
+users' item counts, which travel with the rows.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from rill.session import cut_lineage
 
-#: Users of an item in one part of the join's left side.
-SPLIT = 2_000
+#: Users in one list of an item, and list elements of one partition.
+SPLIT, PAIRS = 2_000, 2_000_000
+#: Elements that make a partition worth while, up to the session's number of partitions.
+FEW_PAIRS = 50_000
 
 
 def score_column(kind: str, shared="shared", n1="n1", n2="n2"):
@@ -35,31 +38,39 @@ def score_column(kind: str, shared="shared", n1="n1", n2="n2"):
     raise ValueError(kind)
 
 
+def _counted(baskets: DataFrame, user: str, item: str, split: int, both: bool) -> DataFrame:
+    """``u1, u2, shared, n1, n2``, partitioned by u1, of all pairs in both orders or with u1 < u2."""
+    rows = baskets.select(F.col(user).alias("user"), F.col(item).alias("item")).dropna().distinct()
+    n_items = cut_lineage(rows.groupBy("user").agg(F.count(F.lit(1)).alias("n")))
+    parts = cut_lineage(rows.groupBy("item").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+                        .select("item", "d", F.ceil(F.col("d") / F.lit(split)).cast("int").alias("parts")))
+    pairs = int(parts.agg(F.sum(F.col("d").cast("double") * F.col("d"))).first()[0] or 0) // (1 if both else 2)
+    most = int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, -(-pairs // PAIRS), min(most, -(-pairs // FEW_PAIRS)))
+    rows = rows.join(n_items, "user").join(parts.drop("d"), "item")
+    part = F.pmod(F.xxhash64("user"), F.col("parts")).cast("int").alias("part")
+    lists = rows.groupBy("item", part).agg(F.array_sort(F.collect_list(F.struct("user", "n"))).alias("all"))
+    met = rows.select("item", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                      F.col("user").alias("u1"), F.col("n").alias("n1")).join(lists, ["item", "part"])
+    others = F.filter("all", lambda x: (x["user"] != F.col("u1")) if both else (x["user"] > F.col("u1")))
+    met = met.select("u1", "n1", others.alias("all")).select(        # plain arrays are a third as long
+        "u1", "n1", F.transform("all", lambda x: x["user"]).alias("u2"), F.transform("all", lambda x: x["n"].cast("int")).alias("n2"))
+    one = met.repartition(tasks, "u1").select("u1", "n1", F.explode(F.arrays_zip("u2", "n2")).alias("x"))
+    one = one.select("u1", F.col("x.u2").alias("u2"), "n1", F.col("x.n2").cast("long").alias("n2"))
+    return one.groupBy("u1", "u2", "n1", "n2").agg(F.count(F.lit(1)).alias("shared")).select("u1", "u2", "shared", "n1", "n2")
+
+
 def unordered_pairs(baskets: DataFrame, user: str = "user_id", item: str = "item_id", *,
                     split: int = SPLIT) -> DataFrame:
     """``u1, u2, shared, n1, n2`` for every pair ``u1 < u2`` of users that
     share an item; ``n1``/``n2`` are the users' distinct item counts."""
-    rows = baskets.select(F.col(user).alias("user"), F.col(item).alias("item")).dropna().distinct()
-    n_items = cut_lineage(rows.groupBy("user").agg(F.count(F.lit(1)).alias("n")))
-    parts = cut_lineage(rows.groupBy("item").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
-                        .select("item", F.ceil(F.col("d") / F.lit(split)).cast("int").alias("parts")))
-    rows = rows.join(n_items, "user").join(parts, "item")
-    left = rows.select("item", F.pmod(F.xxhash64("user"), F.col("parts")).cast("int").alias("part"),
-                       F.col("user").alias("u1"), F.col("n").alias("n1"))
-    right = rows.select("item", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                        F.col("user").alias("u2"), F.col("n").alias("n2"))
-    met = left.join(right, ["item", "part"]).where(F.col("u1") < F.col("u2"))
-    return met.groupBy("u1", "u2", "n1", "n2").agg(F.count(F.lit(1)).alias("shared")).select(
-        "u1", "u2", "shared", "n1", "n2")
+    return _counted(baskets, user, item, split, both=False)
 
 
 def co_occurrence(baskets: DataFrame, user: str = "user_id", item: str = "item_id", *,
                   split: int = SPLIT) -> DataFrame:
     """The same pairs in both orders (u1 != u2)."""
-    both = F.explode(F.array(F.struct("u1", "u2", "shared", "n1", "n2"),
-                             F.struct(F.col("u2").alias("u1"), F.col("u1").alias("u2"), "shared",
-                                      F.col("n2").alias("n1"), F.col("n1").alias("n2"))))
-    return unordered_pairs(baskets, user, item, split=split).select(both.alias("p")).select("p.*")
+    return _counted(baskets, user, item, split, both=True)
 
 
 def top_k_similar(baskets: DataFrame, user: str = "user_id", item: str = "item_id", *,

@@ -57,3 +57,18 @@ def test_top_k_ties_smaller_id(spark):
     df = spark.createDataFrame(rows, "user_id long, item_id long")
     top = top_k_similar(df, k=1, split=2).where(F.col("u1") == 1).collect()
     assert [(r.u2, r.sim) for r in top] == [(2, 1.0)]
+
+
+def test_pairs_are_counted_and_ranked_after_one_exchange(spark):
+    df = spark.createDataFrame(skewed_rows(), "user_id long, item_id long")
+    plan = top_k_similar(df, k=3)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Generate explode")]        # what follows once lists are taken apart
+    assert "Exchange" not in above and "Window" in above
+
+
+def test_filter_on_user_reaches_the_lists_before_the_exchange(spark):
+    df = spark.createDataFrame(skewed_rows(), "user_id long, item_id long")
+    top = top_k_similar(df, k=3).where(F.col("u1").cast("string").like("%5"))
+    below = top._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "EndsWith" in below
+    assert {r.u1 % 10 for r in top.collect()} == {5}
