@@ -148,3 +148,17 @@ def test_average_per_distinct_of_an_empty_table(spark):
 
     df = spark.createDataFrame([], "k int, y int, v double")
     assert average_per_distinct(df, "k", "y", "v").count() == 0
+
+
+def test_mapper_sees_bounded_text(spark):
+    import pandas as pd
+
+    from rill.operators.custom import STEP_CHARS, steps
+
+    texts = ["ab " * (STEP_CHARS // 6), None, "x" * (3 * STEP_CHARS), "", "cd " * (STEP_CHARS // 6), "e", "f g"]
+    got = list(steps(pd.DataFrame({"text": texts})))
+    assert [t for s in got for t in s.text] == texts
+    assert all(len(s) == 1 or s.text.fillna("").str.len().sum() <= STEP_CHARS for s in got)
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = {r.word: r.cnt for r in map_combine(df, tokenize_counts, "word string, cnt long", "word", "cnt").collect()}
+    assert counts == {"ab": STEP_CHARS // 6, "x" * (3 * STEP_CHARS): 1, "cd": STEP_CHARS // 6, "e": 1, "f": 1, "g": 1}
