@@ -98,6 +98,8 @@ def top_pairs(baskets: DataFrame, user: str = "user_id", item: str = "item_id",
     (ties: smaller u1, then smaller u2)."""
     # the first k pairs in either order come from the first k with u1 < u2
     half = unordered_pairs(baskets, user, item, **kw).orderBy(F.col("shared").desc(), "u1", "u2").limit(k)
-    cand = half.select("u1", "u2", "shared").union(half.select("u2", "u1", "shared"))
+    both = F.explode(F.array(F.struct("u1", "u2", "shared"),
+                             F.struct(F.col("u2").alias("u1"), F.col("u1").alias("u2"), "shared")))
+    cand = half.select(both.alias("p")).select("p.*")          # counted once, unlike a union with itself
     return (cand.orderBy(F.col("shared").desc(), "u1", "u2").limit(k)
             .select("u1", "u2", F.col("shared").alias("common_cnt")))

@@ -72,3 +72,13 @@ def test_filter_on_user_reaches_the_lists_before_the_exchange(spark):
     below = top._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
     assert "EndsWith" in below
     assert {r.u1 % 10 for r in top.collect()} == {5}
+
+
+def test_top_pairs_counts_once(spark):
+    from rill.operators.similarity import top_pairs
+
+    df = spark.createDataFrame(skewed_rows(), "user_id long, item_id long")
+    top = top_pairs(df, k=4)
+    assert top._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    best = sorted(((-n, a, b) for (a, b), n in brute_pairs(skewed_rows()).items()))[:4]
+    assert [(-r.common_cnt, r.u1, r.u2) for r in top.collect()] == best
