@@ -11,12 +11,15 @@ after it: the intervals cross.
   later one to all, so a busy vertex is spread over tasks.
 * ``crossings``: pairs of intervals of one group that cross, for several groupings
   at once.  Conditions such as "a is not b" are differences of such counts.
-  The pairs are counted, not made: an interval counts the intervals of its group
-  that began before it began and ended before it ends, by running sums over
-  halves, quarters, ... of the group in order of begin; those that had ended before
-  it began are taken off.
-* A group of more than ``PART`` intervals is dealt into parts; every two parts meet
-  in one cell, where ``C(i + j) - C(i) - C(j)`` are the pairs across.
+  The pairs are counted, not made: of intervals i and j in order of begin, those
+  with ``end i < end j`` are the ascending pairs of a permutation
+  (``count_ascents``); those with ``end i <= begin j`` are taken off.
+* Intervals travel packed: a task sends a cell one row with a column's numbers as
+  bytes.  A cell holds many small groups, or one slab of time of a group of more
+  than ``PART`` intervals.  Such an interval is sent to the slab it begins in and
+  to the one it ends in: pairs that share either are counted there, the others
+  follow from the numbers of intervals per pair of slabs.  Intervals that begin
+  or end at one time lie in one slab, however many they are.
 
 Rows in proportion to the intervals, that is to the squares of the out-degrees;
 bindings of four edges, their squares once more, are never made.
@@ -28,10 +31,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-SPLIT, PART = 4000, 1 << 18
+from rill.operators.sorting import add_row_index
+from rill.session import cut_lineage
+
+SPLIT, PART = 4000, 1 << 20
+#: Intervals that a task packs at once, and those of small groups in a cell.
+CHUNK, CELL = 1 << 20, 1 << 19
+
+
+def _numbered(edges: DataFrame, time_col: str) -> DataFrame:
+    """Edges with their time's place among all times (``t``): whole numbers, which pack well."""
+    e = edges.select("src", "dst", F.col(time_col).alias("time")).where("time is not null")
+    places = add_row_index(e.select("time").distinct(), "time", "t")
+    return e.join(places, "time").select("src", "dst", "t")
 
 
 def intervals(edges: DataFrame, time_col: str = "timestamp", split: int = SPLIT) -> DataFrame:
@@ -48,86 +64,263 @@ def intervals(edges: DataFrame, time_col: str = "timestamp", split: int = SPLIT)
             .select(F.col("src").alias("id"), "s", "y", "begin", "end"))
 
 
+def count_ascents(x: np.ndarray) -> int:
+    """Pairs (i, j) with i < j and x[i] < x[j] of a permutation of 0 .. n - 1.
+
+    Sorted by one binary digit after the other, the highest first: a block holds
+    the values of equal higher digits in their old order, and each value with digit
+    one counts the values with digit zero before it in the block."""
+    n = len(x)
+    if n < 2:
+        return 0
+    size = block = 1 << (n - 1).bit_length()
+    x = np.concatenate([x, np.arange(n, size)]).astype(np.int32 if size <= 1 << 30 else np.int64)
+    total = -(n * (size - n) + (size - n) * (size - n - 1) // 2)         # what the filling adds
+    while block > 1:
+        half = block >> 1
+        one = (x & half) != 0
+        at = np.flatnonzero(one)
+        total += int((at & (block - 1)).sum()) - size // block * (half * (half - 1) // 2)
+        new = np.empty((size // block, 2, half), x.dtype)
+        new[:, 0] = x[~one].reshape(-1, half)
+        new[:, 1] = x[at].reshape(-1, half)
+        x, block = new.reshape(-1), half
+    return total
+
+
+def _codes(n: int, columns: Sequence[np.ndarray]) -> np.ndarray:
+    """Numbers 0, 1, ... of the different rows of ``columns``, in the smallest type."""
+    out = np.zeros(n, np.int64)
+    for c in columns:
+        k = pd.factorize(c)[0]
+        out = pd.factorize(out * (int(k.max(initial=0)) + 1) + k)[0]
+    return out.astype(np.min_scalar_type(int(out.max(initial=0))))
+
+
+def _orders(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of begin (of equal ones the later end first), and its places in order of
+    end (of equal ones the later place first): pairs of equal begin or end never ascend."""
+    by_begin = np.lexsort((-end, begin))
+    return by_begin, np.lexsort((-np.arange(len(end)), end[by_begin]))
+
+
+def _ascending(group: np.ndarray, by_begin: np.ndarray, by_end: np.ndarray) -> int:
+    """Pairs of one group that ascend in both begin and end."""
+    n = len(group)
+    g = group[by_begin]
+    place, x = np.empty(n, np.int64), np.empty(n, np.int64)
+    place[np.argsort(g, kind="stable")] = np.arange(n)                  # group, then begin
+    x[place[by_end[np.argsort(g[by_end], kind="stable")]]] = np.arange(n)   # group, then end
+    sizes = np.bincount(group)
+    return count_ascents(x) - (n * n - int((sizes * sizes).sum())) // 2     # pairs of two groups all ascend
+
+
+def _ended(g_end: np.ndarray, end: np.ndarray, g_begin: np.ndarray, begin: np.ndarray) -> int:
+    """Pairs of one group with end i <= begin j."""
+    if not len(end) or not len(begin):
+        return 0
+    m = len(end)
+    g, t = np.concatenate([g_end, g_begin]), np.concatenate([end, begin])
+    order = np.argsort(t, kind="stable")                                # of equal times the ends first
+    order = order[np.argsort(g[order], kind="stable")]
+    is_end = order < m
+    sizes = np.bincount(g_end, minlength=int(g.max()) + 1)
+    base = np.cumsum(sizes) - sizes
+    return int((np.cumsum(is_end)[~is_end] - base[g[order[~is_end]]]).sum())
+
+
 def count_crossings(group: np.ndarray, begin: np.ndarray, end: np.ndarray) -> int:
     """Pairs (i, j) of one group with begin i < begin j < end i < end j."""
-    m = len(group)
-    if m < 2:
+    if not len(group):
         return 0
-    times, place = np.unique(np.concatenate([begin, end]), return_inverse=True)
-    b, e = place[:m], place[m:]
-    group = np.unique(group, return_inverse=True)[1].astype(np.int64)
-    # in order of begin; of equal begins the later end first, which then never counts
-    order = np.lexsort((-e, b, group))
-    group, b, e = group[order], b[order], e[order]
-    first = np.searchsorted(group, group)               # where its group begins
-    at = np.arange(m) - first
-    # those that ended no later than j began
-    key = group * (len(times) + 1)
-    ended = np.searchsorted(np.sort(key + e), key + b, side="right") - first
-    total = -int(ended.sum())
-    # those before j with a lower end: the left halves that j lies to the right of
-    by_end = np.lexsort((-at, e, group))                 # of equal ends the later begin first
-    level = 0
-    while (1 << level) <= int(at.max()):
-        block = first + (at >> (level + 1) << (level + 1))
-        rows = by_end[np.argsort(block[by_end], kind="stable")]
-        left = (at[rows] >> level & 1) == 0
-        before = np.cumsum(left)
-        start = np.searchsorted(block[rows], block[rows])
-        base = before[start] - left[start]
-        right = ~left
-        total += int((before[right] - base[right]).sum())
-        level += 1
-    return total
+    group = _codes(len(group), [group])
+    return _ascending(group, *_orders(begin, end)) - _ended(group, end, group, begin)
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Whole numbers in the smallest signed type that has them all."""
+    low, high = int(x.min()), int(x.max())
+    kind = next(t for t in ("i1", "i2", "i4", "i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return x.astype(kind).tobytes()
+
+
+def _unpack(parts: list[tuple[int, list[bytes]]], width: int) -> list[np.ndarray]:
+    """The columns of all packed rows of a cell."""
+    columns = [[np.frombuffer(row[c], f"i{len(row[c]) // n}").astype(np.int64) for n, row in parts] for c in range(width)]
+    return [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
+
+
+def _large_groups(rows: DataFrame, group: list[str], part: int) -> tuple[int, pd.DataFrame, list[np.ndarray]]:
+    """The number of intervals, the groups of more than ``part``, and the times that
+    cut each of these into slabs: at most two numbers for each ``part`` intervals."""
+    seen = Observation()
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).observe(seen, F.sum("n").alias("all"))
+    large = sizes.where(F.col("n") > part).collect()
+    total = seen.get["all"] or 0
+    if not large:
+        return total, pd.DataFrame(columns=group), []
+    steps = min(10_000, 4 * -(-2 * max(r.n for r in large) // part))
+    at = [i / steps for i in range(1, steps)]
+    named = rows.sparkSession.createDataFrame(large, sizes.schema).select(*group, "n")
+    spread = rows.join(F.broadcast(named), group).groupBy(*group, "n").agg(
+        F.percentile_approx("begin", at).alias("b"), F.percentile_approx("end", at).alias("e")).collect()
+    cuts = []
+    for r in spread:
+        both, slabs = np.sort(np.array(r.b + r.e)), -(-2 * r.n // part)
+        cuts.append(np.unique(both[[len(both) * i // slabs for i in range(1, slabs)]]))
+    return total, pd.DataFrame([r[:len(group)] for r in spread], columns=group), cuts
 
 
 def crossings(rows: DataFrame, group: Sequence[str], finer: dict[str, Sequence[str]], part: int = PART) -> DataFrame:
     """One row: per name in ``finer`` the crossing pairs of intervals that agree in
-    ``group`` and in the columns named there (decimals)."""
-    rows = rows.withColumn("key", F.xxhash64(*group))
-    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).cast("int").alias("parts"))
-    rows = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id", "s", "y", "begin", "end"), "parts").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("*", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
-    columns = list(dict.fromkeys([*group, *[c for cs in finer.values() for c in cs], "begin", "end"]))
-    # C over all pairs = sum over p < q of C(p + q) - (parts - 2) * sum of C(p)
-    schema = "sign long, " + ", ".join(f"`{n}` long" for n in finer)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ``group`` and in the columns named there (decimals).  All columns are whole numbers."""
+    group, names = list(group), list(finer)
+    keys = list(dict.fromkeys([*group, *[c for cs in finer.values() for c in cs]]))
+    rows = rows.select(*[F.col(c).cast("long").alias(c) for c in (*keys, "begin", "end")])
+    total, large, cuts = _large_groups(rows, group, part)
+    buckets = max(1, -(-total // min(CELL, part)))
+    base = buckets + np.cumsum([0, *[len(c) + 1 for c in cuts]])         # first cell of each large group
+    wide = len(keys) + 2
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += len(batch)
+            if n >= CHUNK:
+                yield from packed(held)
+                held, n = [], 0
+        if n:
+            yield from packed(held)
+
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        cols = [t.column(c).to_numpy() for c in (*keys, "begin", "end")]
+        begin, end = cols[-2:]
+        spread = np.zeros(len(begin), np.uint64)
+        for c in cols[:len(group)]:
+            spread = (spread ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            spread ^= spread >> np.uint64(29)
+        cell = (spread % np.uint64(buckets)).astype(np.int64)
+        late = np.zeros(len(begin), bool)
+        last, started = cell.copy(), np.zeros(len(begin), np.int64)
+        if cuts:
+            known = large.assign(k=range(len(large)))
+            which = pd.DataFrame(dict(zip(group, cols))).merge(known, "left", group)["k"].fillna(-1).to_numpy().astype(int)
+            order = np.argsort(which, kind="stable")
+            bounds = np.searchsorted(which[order], np.arange(len(large) + 1))
+            for k, cut in enumerate(cuts):
+                at = order[bounds[k]:bounds[k + 1]]
+                started[at] = np.searchsorted(cut, begin[at], side="right")
+                cell[at], last[at] = base[k] + started[at], base[k] + np.searchsorted(cut, end[at], side="right")
+            late = last != cell
+        yield from sent(cell, cols, 0)
+        if late.any():                     # where they end, with the slab they began in
+            yield from sent(last[late], [c[late] for c in (*cols[:-2], started, end)], 1)
+
+    def sent(cell: np.ndarray, cols: list[np.ndarray], kind: int) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(cell, kind="stable")
+        cell, cols = cell[order], [c[order] for c in cols]
+        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        ends = np.r_[starts[1:], len(cell)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cell[starts]), pa.array(np.full(len(starts), kind, np.int32)), pa.array(ends - starts),
+             *[pa.array([_pack(c[i:j]) for i, j in zip(starts, ends)], pa.binary()) for c in cols]],
+            ["cell", "kind", "n", *[f"c{i}" for i in range(wide)]])
+
+    # numbers of a cell, and how many intervals of a slab end in which
+    result = ", ".join(["name int", *[f"k{i} long" for i in range(len(keys))], "began int", "ended int", "n long", "found long"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        cell, held = None, ([], [])
+        for batch in batches:
+            blobs = [batch.column(f"c{i}") for i in range(wide)]
+            for i, (c, kind, n) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("cell", "kind", "n")))):
+                if c != cell and cell is not None:
+                    yield from counted(cell, *held)
+                    held = ([], [])
+                cell = c
+                held[kind].append((n, [b[i].as_py() for b in blobs]))
+        if cell is not None:
+            yield from counted(cell, *held)
+
+    def counted(cell: int, here: list, late: list) -> Iterator[pa.RecordBatch]:
+        cols, more = _unpack(here, wide), _unpack(late, wide)
+        begin, end = cols[-2:]
+        m, orders = len(begin), _orders(begin, end)
+        k = int(np.searchsorted(base, cell, side="right")) - 1
+        slab = cell - int(base[k]) if k >= 0 else 0
+        ended = np.searchsorted(cuts[k], end, side="right") if k >= 0 else np.zeros(m, np.int64)
+        both = [np.concatenate(x) for x in zip(cols, more)]
+        if k >= 0:                         # those that end in this slab, by the slab they began in
+            on = np.concatenate([ended == slab, np.ones(len(more[0]), bool)])
+            since = np.concatenate([np.full(m, slab), more[-2]])[on]
+            slabs_orders = _orders(since, both[-1][on])
+        out = []
+        for name, finest in enumerate(finer.values()):
+            own = [*group, *[c for c in finest if c not in group]]
+            g = _codes(len(both[0]), [both[keys.index(c)] for c in own])
+            found = _ascending(g[:m], *orders) if m else 0
+            if k < 0:
+                found -= _ended(g, end, g, begin)
+            else:
+                found += _ascending(g[on], *slabs_orders) if on.any() else 0
+                found -= _ended(g[on], both[-1][on], g[:m], begin)
+                tab = pd.DataFrame({f"k{i}": cols[i] if c in own else 0 for i, c in enumerate(keys)} | {"ended": ended})
+                tab = tab.groupby(list(tab.columns), sort=False).size().rename("n").reset_index()
+                out.append(tab.assign(name=name, began=slab, found=0))
+            out.append(pd.DataFrame({"name": [name], "began": 0, "ended": 0, "n": 0, "found": found} | {f"k{i}": 0 for i in range(len(keys))}))
+        t = pa.Table.from_pandas(pd.concat(out)[[x.split()[0] for x in result.split(", ")]], preserve_index=False)
+        kinds = pa.schema([(f, pa.int32() if kind == "int" else pa.int64()) for f, kind in (x.split() for x in result.split(", "))])
+        yield from t.cast(kinds).to_batches(max_chunksize=10_000)
+
+    blobs = ", ".join(f"c{i} binary" for i in range(wide))
+    cells = rows.mapInArrow(pack, f"cell long, kind int, n long, {blobs}").repartition("cell").sortWithinPartitions("cell")
+    counts = cells.mapInArrow(count, result)
+    if cuts:
+        counts = cut_lineage(counts)
+        per = ["name", *[f"k{i}" for i in range(len(keys))]]
+        table = counts.where("n > 0").groupBy(*per, "began", "ended").agg(F.sum("n").alias("n"))
+        apart = table.repartition(*per).sortWithinPartitions(*per).mapInPandas(_apart(per), "name int, found long")
+        counts = counts.select("name", "found").unionByName(apart)
+    return counts.agg(*[F.coalesce(F.sum(F.when(F.col("name") == i, F.col("found").cast("decimal(38,0)"))), F.lit(0))
+                        .cast("decimal(38,0)").alias(n) for i, n in enumerate(names)])
+
+
+def _apart(per: list[str]):
+    """Crossing pairs of intervals that share no slab, from rows ``per, began, ended, n``
+    in order of ``per``."""
+    def pairs(b: pd.DataFrame) -> pd.DataFrame:
+        g = b.groupby(per, sort=False).ngroup().to_numpy()
+        began, ended, n = (b[c].to_numpy() for c in ("began", "ended", "n"))
+        shape = int(g.max()) + 1, int(max(began.max(), ended.max())) + 1
+        found = np.zeros(shape[0], np.int64)
+        before, begins, ends = np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+        for s in range(shape[1]):
+            on = began == s
+            np.add.at(found, g[on], n[on] * (before.cumsum(1) - before)[g[on], ended[on]])
+            np.add.at(before, (g[on], ended[on]), n[on])
+        np.add.at(begins, (g, began), n)
+        np.add.at(ends, (g, ended), n)
+        found -= (begins * (ends.cumsum(1) - ends)).sum(1)
+        name = b["name"].to_numpy()[np.unique(g, return_index=True)[1]]
+        return pd.DataFrame({"name": name, "found": found})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
         for b in batches:
             b = b if kept is None else pd.concat([kept, b], ignore_index=True)
-            cell = b[["key", "p", "q"]].to_numpy()
             if not len(b):
                 continue
-            last = np.flatnonzero((cell != cell[-1]).any(1))
-            cut = last[-1] + 1 if len(last) else 0
+            key = b[per].to_numpy()
+            other = np.flatnonzero((key != key[-1]).any(1))
+            cut = other[-1] + 1 if len(other) else 0
             if cut:
-                yield from cells(b.iloc[:cut])
+                yield pairs(b.iloc[:cut])
             kept = b.iloc[cut:].reset_index(drop=True)
         if kept is not None and len(kept):
-            yield from cells(kept)
-
-    def cells(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        cell = b.groupby(["key", "p", "q"], sort=False).ngroup().to_numpy()
-        sign = np.where(b["p"] == b["q"], np.where(b["parts"] == 1, 1, 2 - b["parts"]), 1)
-        for s in np.unique(sign):
-            on = sign == s
-            here = b[on]
-            out = {"sign": [int(s)]}
-            for name, more in finer.items():
-                keys = [pd.factorize(here[c])[0] for c in (*group, *more)]
-                number = cell[on]
-                for k in keys:
-                    number = np.unique(number * (int(k.max(initial=0)) + 1) + k, return_inverse=True)[1]
-                out[name] = [count_crossings(number, here["begin"].to_numpy(), here["end"].to_numpy())]
-            yield pd.DataFrame(out)
-
-    columns = [c for c in columns if c not in ("key", "p", "q", "parts")]
-    dealt = rows.select("key", "p", "q", "parts", *columns).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    counts = dealt.mapInPandas(count, schema)
-    exact = lambda c: F.col(c).cast("decimal(19,0)")
-    return counts.agg(*[F.coalesce(F.sum((exact("sign") * exact(n)).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias(n) for n in finer])
+            yield pairs(kept)
+    return run
 
 
 def count_square_motif(edges: DataFrame, time_col: str = "timestamp", part: int = PART, split: int = SPLIT) -> DataFrame:
@@ -137,7 +330,7 @@ def count_square_motif(edges: DataFrame, time_col: str = "timestamp", part: int
     v1's interval goes from v2 to v3, v4's from v3 to v2: crossing pairs over the
     same two targets, less those in the same direction, each less those of one
     vertex with itself."""
-    rows = intervals(edges, time_col, split).withColumns({"low": F.least("s", "y"), "high": F.greatest("s", "y")})
+    rows = intervals(_numbered(edges, time_col), "t", split).withColumns({"low": F.least("s", "y"), "high": F.greatest("s", "y")})
     c = crossings(rows, ["low", "high"], {"all": [], "same_way": ["s"], "same_id": ["id"], "same_both": ["s", "id"]}, part)
     return c.select((F.col("all") - F.col("same_way") - F.col("same_id") + F.col("same_both")).cast("decimal(38,0)").alias("cnt"))
 
@@ -148,6 +341,8 @@ def count_fork_motif(edges: DataFrame, time_col: str = "timestamp", part: int =
 
     Both intervals end at v3: crossing pairs with the same end, less those of one
     vertex with itself, less those with the same beginning, plus those with both."""
-    c = crossings(intervals(edges, time_col, split), ["y"],
-                  {"all": [], "same_id": ["id"], "same_start": ["s"], "same_both": ["s", "id"]}, part)
-    return c.select((F.col("all") - F.col("same_id") - F.col("same_start") + F.col("same_both")).cast("decimal(38,0)").alias("cnt"))
+    rows = intervals(_numbered(edges, time_col), "t", split)
+    c = crossings(rows, ["y"], {"all": [], "same_start": ["s"]}, part)
+    own = crossings(rows, ["id"], {"same_id": ["y"], "same_both": ["y", "s"]}, part)      # small groups
+    return c.crossJoin(own).select(
+        (F.col("all") - F.col("same_id") - F.col("same_start") + F.col("same_both")).cast("decimal(38,0)").alias("cnt"))

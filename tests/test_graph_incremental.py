@@ -155,6 +155,27 @@ def test_motifs_against_bindings(spark, part, split):
     assert crossing.count_fork_motif(e, part=part, split=split).first().cnt == fork
 
 
+def test_ascending_pairs_of_permutations():
+    rng = np.random.default_rng(2)
+    for n in [0, 1, 2, 3, 8, *rng.integers(2, 70, 60)]:
+        x = rng.permutation(int(n))
+        assert crossing.count_ascents(x) == sum(
+            x[i] < x[j] for j in range(len(x)) for i in range(j))
+
+
+@pytest.mark.parametrize("part", [1 << 20, 100])
+def test_slabs_of_a_large_group(spark, part):
+    """One group of 3000 intervals in 60 slabs, many with equal times."""
+    rng = np.random.default_rng(3)
+    begin = np.minimum(rng.integers(0, 400, 3000), 300)
+    end, kind = begin + rng.integers(1, 90, 3000), rng.integers(0, 5, 3000)
+    rows = spark.createDataFrame([(1, *map(int, r)) for r in zip(kind, begin, end)], "g long, s long, begin long, end long")
+    got = crossing.crossings(rows, ["g"], {"all": [], "same": ["s"]}, part).first()
+    b, e = begin[:, None], end[:, None]
+    pairs = (b < begin) & (begin < e) & (e < end)
+    assert (got["all"], got["same"]) == (pairs.sum(), (pairs & (kind[:, None] == kind)).sum())
+
+
 def test_motifs_of_an_empty_graph(spark):
     e = spark.createDataFrame([], "src long, dst long, timestamp double")
     assert crossing.count_square_motif(e).first().cnt == 0 and crossing.count_fork_motif(e).first().cnt == 0
