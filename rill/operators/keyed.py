@@ -21,9 +21,11 @@ from rill.session import cut_lineage, release
 DEFAULT_SPLITS = ("20", "40", "60")
 
 
-def with_row_keys(df: DataFrame, order, key: str = "row_key") -> DataFrame:
-    """String row keys ``'0' .. str(n-1)`` following a total ``order``."""
-    return add_row_index(df, order, "__ix").withColumn(key, F.col("__ix").cast("string")).drop("__ix")
+def with_row_keys(df: DataFrame, order, key: str = "row_key", partitions: int | None = None,
+                  keep: Sequence[str] | None = None) -> DataFrame:
+    """String row keys ``'0' .. str(n-1)`` following a total ``order``
+    (``partitions`` and ``keep`` as in ``add_row_index``)."""
+    return add_row_index(df, order, "__ix", partitions, keep).withColumn(key, F.col("__ix").cast("string")).drop("__ix")
 
 
 def key_region(key: str | Column, splits: Sequence[str] = DEFAULT_SPLITS) -> Column:
@@ -37,11 +39,12 @@ def key_region(key: str | Column, splits: Sequence[str] = DEFAULT_SPLITS) -> Col
     return expr
 
 
-def bulk_load_layout(df: DataFrame, key: str, splits: Sequence[str] = DEFAULT_SPLITS) -> DataFrame:
+def bulk_load_layout(df: DataFrame, key: str, splits: Sequence[str] = DEFAULT_SPLITS,
+                     partitions: int | None = None) -> DataFrame:
     """Rows in key order, range partitioned, so that a region of any size
     is spread over as many tasks as its rows need and each task writes one
     sorted run (regions are ranges of keys, so their order is that of keys)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, key_region(key, splits), key).sortWithinPartitions(key)
 
 
@@ -58,22 +61,22 @@ def upsert(base: DataFrame, changes: DataFrame, key: str = "row_key", version: s
     its puts: per cell the put of the highest version wins, of equal ones the
     one whose value sorts last, so the result does not depend on the order of
     rows.  Every put is newer than the base.  The choice is a ``max_by``
-    aggregate, combined map-side before the shuffle.
+    aggregate: the puts of a key are combined map-side first, then meet its base
+    rows.  Keys of the base seldom repeat, so its rows are shuffled as they are
+    and only then given what the aggregate compares.
     """
     value_cols = [c for c in base.columns if c != key]
-    wrote = lambda c, n, v: F.struct(n.alias("n"), v.alias("v"), F.col(c).cast("string").alias("tie"))
-    none = F.lit(None).cast("long")
-    old = base.select(key, *value_cols, *[wrote(c, F.lit(0), none).alias(f"__w_{c}") for c in value_cols])
-    puts = changes
-    for c in value_cols:
-        if c not in puts.columns:
-            puts = puts.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
-    at = F.col(version).cast("long") if version else none
-    kind = {c: old.schema[f"__w_{c}"].dataType for c in value_cols}
-    new = puts.select(key, *value_cols, *[
-        (wrote(c, F.lit(1), at) if c in changes.columns else F.lit(None)).cast(kind[c]).alias(f"__w_{c}")
-        for c in value_cols])
-    return old.unionByName(new).groupBy(key).agg(*[F.max_by(c, f"__w_{c}").alias(c) for c in value_cols])
+    put_cols = [c for c in value_cols if c in changes.columns]
+    at = F.col(version).cast("long") if version else F.lit(None).cast("long")
+    wrote = lambda c, v: F.struct(v.alias("v"), F.col(c).cast("string").alias("tie"))
+    # the winning put of each cell with its version
+    puts = changes.groupBy(key).agg(F.max(F.lit(1)).alias("__put"), *[F.max_by(F.struct(F.col(c).alias("x"), at.alias("v")), wrote(c, at)).alias(c) for c in put_cols])
+    puts = puts.select(key, *[(F.col(c)["x"] if c in put_cols else F.lit(None).cast(base.schema[c].dataType)).alias(c)
+                              for c in value_cols], "__put")
+    rows = base.select(key, *value_cols, F.lit(0).alias("__put")).unionByName(puts).repartition(F.col(key))
+    newest = lambda c: F.struct(F.col("__put"), F.col(c).cast("string").alias("tie"))
+    return rows.groupBy(key).agg(*[
+        F.max_by(c, newest(c) if c in put_cols else F.when(F.col("__put") == 0, newest(c))).alias(c) for c in value_cols])
 
 
 def get(table: DataFrame, key_value: str, key: str = "row_key") -> DataFrame:

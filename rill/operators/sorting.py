@@ -115,25 +115,26 @@ def checksum(df: DataFrame, cols: Sequence[str], name: str = "checksum") -> Colu
 
 
 def add_row_index(df: DataFrame, order, name: str = "row_index",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """Dense row numbers 0..n-1 following ``order`` (which must be a
     total order for a reproducible answer), computed in two passes.
 
     The range-sorted rows are checkpointed, so both passes read the same
-    partitions; the offset table has one row per partition, and Spark picks
-    the join by its size.
+    partitions; the offset table has one row per partition, so it is broadcast:
+    its size is not known when the join is planned, and the rows would be shuffled.
+    ``keep`` names the columns to return, if not all: only these are stored.
     """
     order = _cols(order)
     mono = "__mono"
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = global_sort(df, order, n_parts).withColumn(mono, F.monotonically_increasing_id())
-    ranked = cut_lineage(ranked)
+    ranked = cut_lineage(ranked.select(*keep, mono) if keep is not None else ranked)
     pid = F.shiftright(F.col(mono), _POS_BITS)
     counts = ranked.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     local = F.col(mono).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     off = offsets.select("__pid", "__off")
-    return (ranked.join(off, pid == F.col("__pid"))
+    return (ranked.join(F.broadcast(off), pid == F.col("__pid"))
             .withColumn(name, F.col("__off") + local)
             .drop(mono, "__pid", "__off"))

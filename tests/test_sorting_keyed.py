@@ -100,3 +100,26 @@ def test_keyed_table_follows_its_source(spark, tmp_dir):
     release(second)
     gone._rill_cut = path                       # files gone behind the cache's back
     assert ds.keyed_table(spark, tmp_dir).count() == 25
+
+
+def test_upsert_shuffles_plain_base_rows(spark):
+    """Explicit empty cells, repeated and empty keys; base rows carry no versions through the shuffle."""
+    base = spark.createDataFrame([("a", 1, 9), ("a", 2, None), (None, 3, 3), (None, 4, 1), ("b", 5, 5)], "row_key string, w int, n int")
+    puts = spark.createDataFrame([("a", None, 1), ("b", 7, 1), ("b", None, 2), ("c", 8, 1), (None, 6, 0)], "row_key string, n int, v int")
+    up = kt.upsert(base, puts, version="v")
+    assert {(r.row_key, r.w, r.n) for r in up.collect()} == {("a", 2, None), (None, 4, 6), ("b", 5, None), ("c", None, 8)}
+    assert {tuple(r) for r in kt.upsert(base, puts.select("row_key").where("v = 2")).collect()} == {
+        ("a", 2, 9), (None, 4, 3), ("b", 5, 5)}
+    assert "REPARTITION_BY_COL" in up._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_index_broadcasts_its_offsets(spark):
+    df = spark.range(50).select((F.col("id") * 7 % 50).alias("k"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")         # as if nothing were known to be small
+    try:
+        got = add_row_index(df, "k", keep=["v"])
+        assert sorted(map(tuple, got.collect())) == sorted((i, i * 7 % 50) for i in range(50))
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
