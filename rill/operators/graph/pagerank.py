@@ -103,15 +103,19 @@ def personalized_pagerank(edges: DataFrame, source: int, rounds: int = 20,
     ``r(v) = reset * [v = source] + (1 - reset) * Σ r(u) / outdeg(u)``.
     Runs ``rounds`` rounds, or stops earlier once the largest change is
     below ``tol`` (when given).  No normalisation.  Only vertices with a
-    positive rank are returned.
+    positive rank are returned.  The edges lie in buckets by source vertex, so a
+    round shuffles ranks and sums, never an edge.
     """
-    e, hubs = split_hubs(_weighted_edges(edges))
+    weighted, hubs = split_hubs(_weighted_edges(edges))
+    e = store_bucketed(weighted, ["src", "src_part"])
+    release(weighted)
     spark = edges.sparkSession
     src_row = spark.range(1).select(F.lit(source).cast("long").alias("id"))
     ranks = src_row.withColumn("rank", F.lit(1.0))
     ranks_cut = None
     for i in range(rounds):
-        contrib = e.join(to_parts(ranks, hubs), (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
+        rows = to_parts(ranks, hubs).hint("shuffle_hash")            # so the edges need no sort
+        contrib = e.join(rows, (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
         contrib = contrib.select(F.col("dst").alias("id"), (F.col("rank") / F.col("outdeg")).alias("c"))
         reset_row = src_row.withColumn("c", F.lit(0.0))
         summed = contrib.unionByName(reset_row).groupBy("id").agg(F.sum("c").alias("s"))
