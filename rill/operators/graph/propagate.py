@@ -7,7 +7,8 @@ aggregate, together with the old values.  Every step's state is stored in the
 shared checkpoint folder and the state before is deleted, so a lost executor
 replays one step.
 
-A vertex with very many out-edges is no hot key: its edges are dealt into parts
+The edges lie in buckets by source vertex, and a step shuffles the senders and their
+messages, never an edge.  A vertex with very many out-edges is no hot key: its edges are dealt into parts
 of ``SPLIT`` and its value is sent to each part.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rill.operators.graph.core import split_hubs, to_parts
-from rill.session import cut_lineage, release
+from rill.session import cut_lineage, release, store_bucketed
 
 
 MERGES: dict[str, Callable[[Column], Column]] = {
@@ -44,15 +45,18 @@ def propagate(edges: DataFrame, state: DataFrame,
     the state after that many steps instead.  Returns the final ``id, value``.
     """
     merge_fn = MERGES[merge] if isinstance(merge, str) else merge
-    e, hubs = split_hubs(edges)
+    parts, hubs = split_hubs(edges)
+    e = store_bucketed(parts, ["src", "src_part"])
+    release(parts)
     vtype = state.schema["value"].dataType
     state = cut_lineage(state.select("id", "value", F.lit(True).alias("changed")))
     mtype, step = None, 0
     while max_iter is None or step < max_iter:
         step += 1
         senders = state.where("changed") if only_changed else state
-        trip = to_parts(senders.select("id", "value"), hubs).join(
-            e, (F.col("id") == F.col("src")) & (F.col("part") == F.col("src_part")))
+        # the vertices of a bucket are hashed, so that its edges need no sort
+        rows = to_parts(senders.select("id", "value"), hubs).hint("shuffle_hash")
+        trip = e.join(rows, (F.col("id") == F.col("src")) & (F.col("part") == F.col("src_part")))
         sent = trip.select(F.col("dst").alias("id"), message(F.col("value"), trip).alias("msg"))
         mtype = mtype or sent.schema["msg"].dataType
         rows = state.select("id", F.col("value").alias("self"), F.lit(True).alias("own"), F.lit(None).cast(mtype).alias("msg"))

@@ -91,6 +91,28 @@ def test_buckets_are_joined_as_they_lie(spark):
     assert not spark.catalog.tableExists(name)
 
 
+@pytest.mark.parametrize("run", ["rank", "program"])
+def test_loops_keep_their_edges_in_buckets(spark, monkeypatch, run):
+    from rill.operators.graph import propagate
+
+    stored = []
+    for module in (pagerank, propagate):
+        monkeypatch.setattr(module, "split_hubs", partial(split_hubs, split=3))
+        monkeypatch.setattr(module, "store_bucketed", lambda df, keys: stored.append(keys) or store_bucketed(df, keys), raising=False)
+    pairs, e = graph(spark, 6)
+    before = {t.name for t in spark.catalog.listTables()}
+    if run == "rank":
+        got = {r.id: r["rank"] for r in pagerank.personalized_pagerank(e, 0, rounds=7).collect()}
+        want = settled(pairs, 0, rounds=7)
+        assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
+    else:
+        state = spark.createDataFrame([(v, v) for v in {v for p in pairs for v in p}], "id long, value long")
+        out = propagate.propagate(e, state, lambda v, _e: v, "min", lambda old, msg: F.least(old, msg))
+        reach = reachable(pairs)
+        assert {r.id: r.value for r in out.collect()} == {v: min(w for w in reach if v in reach[w]) for v in reach}
+    assert stored == [["src", "src_part"]] and {t.name for t in spark.catalog.listTables()} == before
+
+
 # ---- votes ----
 
 def plain_labels(pairs, rounds):
@@ -173,7 +195,8 @@ def test_slabs_of_a_large_group(spark, part):
     got = crossing.crossings(rows, ["g"], {"all": [], "same": ["s"]}, part).first()
     b, e = begin[:, None], end[:, None]
     pairs = (b < begin) & (begin < e) & (e < end)
-    assert (got["all"], got["same"]) == (pairs.sum(), (pairs & (kind[:, None] == kind)).sum())
+    want = {"all": int(pairs.sum()), "same": int((pairs & (kind[:, None] == kind)).sum())}
+    assert got.asDict() == want and want["same"] > 0
 
 
 def test_motifs_of_an_empty_graph(spark):
