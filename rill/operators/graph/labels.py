@@ -7,7 +7,9 @@ most often, ties going to the smallest label; a vertex that received
 nothing keeps its label.  The loop ends after ``rounds`` rounds or at a
 fixpoint (which later rounds would not change).
 
-Votes are kept, not counted anew: a table (vertex, label, votes) changes by
+While many vertices switch (more than ``MANY`` of all), votes are counted anew in a
+round, which is one join of the edges in buckets and one count, and not stored.
+Afterwards votes are kept: a table (vertex, label, votes) changes by
 what the vertices that switched labels take away and add.  A round joins the
 edges of those vertices alone, and only vertices whose votes changed choose
 again.  The table is a base in buckets by vertex and the changes since; when
@@ -25,6 +27,10 @@ from rill.operators.graph.core import split_hubs, to_parts, vertices_of
 from rill.session import cut_lineage, release, store_bucketed
 
 
+#: Share of the vertices; beyond it nearly every vertex has a neighbour that switched.
+MANY = 0.02
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, int]:
     """The stored rows and their number, counted while they are written."""
     seen = Observation()
@@ -42,6 +48,13 @@ def _sum_votes(votes: DataFrame) -> DataFrame:
     return votes.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n > 0")
 
 
+def _all_votes(to: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every vertex's votes under ``labels``; no edge is shuffled before it carries one."""
+    rows = to_parts(labels, hubs).hint("shuffle_hash")
+    sent = to.join(rows, (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
+    return sent.select(F.col("dst").alias("id"), "label", "n").groupBy("id", "label").agg(F.sum("n").alias("n"))
+
+
 def label_propagation(edges: DataFrame, rounds: int = 50,
                       told: Callable[[int, int, int], None] = lambda *_: None) -> DataFrame:
     """``id, label`` after up to ``rounds`` synchronous rounds.  ``told`` hears
@@ -53,18 +66,21 @@ def label_propagation(edges: DataFrame, rounds: int = 50,
     parts, hubs = split_hubs(both)
     to = store_bucketed(parts, ["src", "src_part"])
     release(parts)
-    labels = cut_lineage(vertices_of(edges).select("id", F.col("id").alias("label")))
-    base = store_bucketed(to.select(F.col("dst").alias("id"), F.col("src").alias("label"), "n"), "id")
-    in_base, since, in_since = base.count(), [], 0
+    labels, vertices = _counted(vertices_of(edges).select("id", F.col("id").alias("label")))
+    # the votes of the first round are the edges, which go both ways
+    base, in_base, since, in_since = None, to.count(), [], 0
     touched = None                                  # vertices whose votes changed; None: all
     for i in range(rounds):
-        votes = base
-        for d in since:
-            votes = votes.unionByName(d)
-        if touched is not None:
-            votes = votes.join(touched, "id", "left_semi")
-        if since:
-            votes = _sum_votes(votes)
+        if base is not None:
+            votes = base
+            for d in since:
+                votes = votes.unionByName(d)
+            if touched is not None:
+                votes = votes.join(touched, "id", "left_semi")
+            if since:
+                votes = _sum_votes(votes)
+        else:
+            votes = _all_votes(to, hubs, labels) if i else to.select(F.col("src").alias("id"), F.col("dst").alias("label"), "n")
         switched, count = _counted(_choice(votes).join(labels, "id").where(F.col("new") != F.col("label"))
                                    .select("id", F.col("label").alias("old"), "new"))
         release(touched)
@@ -75,6 +91,13 @@ def label_propagation(edges: DataFrame, rounds: int = 50,
         before, labels = labels, cut_lineage(
             labels.join(switched, "id", "left").select("id", F.coalesce("new", "label").alias("label")))
         release(before)
+        if base is None:
+            told(i, count, in_base)
+            release(switched)
+            if count <= MANY * vertices:
+                base = store_bucketed(_all_votes(to, hubs, labels), "id")
+                in_base = base.count()
+            continue
         moved = to.join(to_parts(switched, hubs), (F.col("src") == F.col("id")) & (F.col("src_part") == F.col("part")))
         change = moved.select(F.col("dst").alias("id"), F.explode(F.array(
             F.struct(F.col("old").alias("label"), (-F.col("n")).alias("n")),

@@ -140,6 +140,19 @@ def test_kept_votes_give_the_labels_of_counted_ones(spark, hubs, rounds):
         assert heard[-1][2] == 0 and heard[0][2] == max(h[2] for h in heard)
 
 
+@pytest.mark.parametrize("many", [0.0, 0.3, 1.0])
+def test_votes_are_counted_anew_while_many_switch(spark, monkeypatch, many):
+    monkeypatch.setattr(labels, "MANY", many, raising=False)
+    stored = []
+    monkeypatch.setattr(labels, "store_bucketed", lambda df, keys: stored.append(keys) or store_bucketed(df, keys))
+    pairs, e = graph(spark, 7, 40, 70)
+    heard = []
+    got = labels.label_propagation(e, 6, told=lambda *x: heard.append(x))
+    assert {r.id: r.label for r in got.collect()} == plain_labels(pairs, 6)
+    few = any(0 < n <= many * 40 for _, n, _ in heard)
+    assert ("id" in stored) == few and (few or not many)
+
+
 def test_votes_leave_no_tables_behind(spark):
     before = {t.name for t in spark.catalog.listTables()}
     _, e = graph(spark, 4)
