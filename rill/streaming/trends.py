@@ -39,10 +39,17 @@ def hashtags(lines: DataFrame, value: str = "value", ts: str = "timestamp") -> D
 
 def sliding_counts(tags: DataFrame, window: str = "5 minutes", slide: str = "2 minutes",
                    watermark: str | None = "5 minutes") -> DataFrame:
-    """Count per (sliding event-time window, word)."""
+    """Count per (sliding event-time window, word).  With a slide longer
+    than the window, rows between two windows are in none."""
     t = tags.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     if watermark:
         t = t.withWatermark("timestamp", watermark)
+    if tags.sparkSession.sql(f"SELECT INTERVAL '{slide}' > INTERVAL '{window}'").first()[0]:
+        # Spark's windows are no shorter than their slide: the first part of each slide
+        end = F.col("window.start") + F.expr(f"INTERVAL '{window}'")
+        t = t.withColumn("window", F.window("timestamp", slide)).where(F.col("timestamp") < end)
+        counts = t.groupBy("window", "word").agg(F.count(F.lit(1)).alias("cnt"))
+        return counts.select(F.struct(F.col("window.start").alias("start"), end.alias("end")).alias("window"), "word", "cnt")
     return (t.groupBy(F.window("timestamp", window, slide).alias("window"), "word")
             .agg(F.count(F.lit(1)).alias("cnt")))
 
