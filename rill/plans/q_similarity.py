@@ -28,7 +28,7 @@ def _baskets(spark, sf_dir):
     """The basket table, written once: every similarity query reads it two
     to four times (block plan, users, pairs), and recomputing the
     orders-lineitem join each time would dominate at scale."""
-    return cut_lineage(ds.baskets(spark, sf_dir))
+    return cut_lineage(ds.baskets(spark, sf_dir), tidy=True)
 
 
 def _ranked_lists(b, k):
@@ -87,7 +87,7 @@ FROM r WHERE rk <= 15
 """)
 def top15_similarity_audit(spark, sf_dir):
     """Each user's top 15 with every part of the score kept."""
-    top = top_k_similar(_baskets(spark, sf_dir), k=15)
+    top = top_k_similar(_baskets(spark, sf_dir), k=15, stored=True)
     return top.select(F.col("u1").alias("uid1"), F.col("u2").alias("uid2"),
                       F.col("shared").alias("cmn_cnt"), "all_cnt", "sim", "sim_rank")
 

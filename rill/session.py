@@ -83,18 +83,31 @@ def loop_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame, tidy: bool = False) -> DataFrame:
     """Materialise ``df`` as parquet in the shared checkpoint folder and
     return a DataFrame that starts from those files.
 
     One job writes the rows (``Dataset.checkpoint`` would compute the plan
     twice unless cached); the files live in the fault-tolerant shared folder,
-    so losing an executor never forces a replay of earlier loop rounds.
+    so losing an executor never forces a replay of earlier loop rounds.  With ``tidy``
+    the write's own shuffle files are deleted as soon as it is done.
     """
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{folder}/rill-cut-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if tidy:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("error").parquet(path)
+    finally:
+        if tidy and before is None:
+            spark.conf.unset(_CLEANUP)
+        elif tidy:
+            spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)      # known, so no job reads footers
     out._rill_cut = path          # lets ``release`` delete the files later
     return out

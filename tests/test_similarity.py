@@ -82,3 +82,51 @@ def test_top_pairs_counts_once(spark):
     assert top._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
     best = sorted(((-n, a, b) for (a, b), n in brute_pairs(skewed_rows()).items()))[:4]
     assert [(-r.common_cnt, r.u1, r.u2) for r in top.collect()] == best
+
+
+def test_list_elements_are_one_number_of_least_size(spark):
+    from rill.operators.similarity import _lists, unordered_pairs
+
+    for ids, kind in ((lambda u: u - 30, "int"), (lambda u: u * 10**9 - 5, "bigint"), (lambda u: (u - 30) * 3 * 10**17, "struct<"),
+                      (lambda u: f"user {u}", "struct<")):
+        rows = [(ids(u), i) for u, i in skewed_rows()]
+        df = spark.createDataFrame(rows, f"user_id {'string' if isinstance(rows[0][0], str) else 'long'}, item_id long")
+        assert dict(_lists(df, "user_id", "item_id", 7, True)[0].dtypes)["all"].startswith(f"array<{kind}")
+        for split in (7, 2_000):
+            got = co_occurrence(df, split=split).collect()
+            assert {(r.u1, r.u2): r.shared for r in got} == brute_pairs(rows) and len(got) == len(brute_pairs(rows))
+        half = unordered_pairs(df, split=7).collect()
+        assert {(r.u1, r.u2): r.shared for r in half} == {p: n for p, n in brute_pairs(rows).items() if p[0] < p[1]}
+        n = {u: len({i for v, i in rows if v == u}) for u, _ in rows}
+        assert all((r.n1, r.n2) == (n[r.u1], n[r.u2]) for r in got)
+
+
+def test_unordered_pairs_match_brute_force_whatever_the_split(spark):
+    from rill.operators.similarity import unordered_pairs
+
+    df = spark.createDataFrame([*skewed_rows(), (None, 0), (3, None), (3, 0)], "user_id int, item_id long")
+    for split in (1, 7, 2_000):
+        got = unordered_pairs(df, split=split).collect()
+        want = {p: n for p, n in brute_pairs(skewed_rows()).items() if p[0] < p[1]}
+        assert {(r.u1, r.u2): r.shared for r in got} == want and len(got) == len(want)
+
+
+def test_stored_best_are_found_in_turns_that_leave_no_shuffle_files(spark, monkeypatch):
+    from rill.operators import similarity
+
+    df = spark.createDataFrame(skewed_rows(), "user_id long, item_id long")
+    once = top_k_similar(df, k=3).collect()
+    monkeypatch.setattr(similarity, "SLICE_PAIRS", 2_000)
+    top = top_k_similar(df, k=3, stored=True)
+    assert "RepartitionByExpression" not in top._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(top.collect()) == sorted(once)
+
+
+def test_tidy_cut_deletes_its_shuffle_files(spark):
+    from rill.session import _CLEANUP, cut_lineage
+
+    known = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    ids = lambda: {*known.keySet().mkString(",").split(",")} - {""}
+    before, setting = ids(), spark.conf.get(_CLEANUP, None)
+    out = cut_lineage(spark.range(1000).repartition(5, "id"), tidy=True)
+    assert ids() <= before and out.count() == 1000 and spark.conf.get(_CLEANUP, None) == setting
