@@ -32,7 +32,7 @@ def _baskets(spark, sf_dir):
 
 
 def _ranked_lists(b, k):
-    top = top_k_similar(b, k=k)
+    top = top_k_similar(b, k=k, stored=True)
     ordered = F.array_sort(F.collect_list(F.struct("sim_rank", "u2")))
     return top.groupBy("u1").agg(
         F.concat_ws(",", F.transform(ordered, lambda x: x["u2"].cast("string"))).alias("sim_users"),
