@@ -122,7 +122,7 @@ FROM r WHERE rk <= 3 GROUP BY u1 HAVING COUNT(*) = 3
 def top3_users_wide(spark, sf_dir):
     """Ranks 1-3 as one wide row per user; users with fewer than three
     similar users are dropped, as the three-way inner join does."""
-    top = top_k_similar(_baskets(spark, sf_dir), k=3)
+    top = top_k_similar(_baskets(spark, sf_dir), k=3, stored=True)
     wide = pivot_ranks(top, "u1", "sim_rank", "u2", [1, 2, 3], prefix="v")
     return wide.withColumnsRenamed({"u1": "uid", "v1": "first_similar", "v2": "second_similar", "v3": "third_similar"})
 
