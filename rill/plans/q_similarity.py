@@ -106,7 +106,7 @@ def overlap_ratio_rank(spark, sf_dir):
     a user with fewer than three neighbours would also get all users that it
     shares nothing with (ratio 0); these are left out, as listing them needs a
     users x users product."""
-    top = top_k_similar(_baskets(spark, sf_dir), k=3, score="overlap", rank_fn="rank")
+    top = top_k_similar(_baskets(spark, sf_dir), k=3, score="overlap", rank_fn="rank", stored=True)
     return top.select(F.col("u1").alias("uid1"), F.col("u2").alias("uid2"),
                       F.col("shared").alias("cmn_cnt"),
                       (F.col("n1") * F.col("n2")).alias("all_cnt"),
